@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audix.operators import evaluate, expansion, quality, segments
+from audix.plans.memo import memoized
 from audix.sources import standins, tables
 
 # Run parameters of the registered queries (S21 defaults for the test data).
@@ -26,26 +27,35 @@ RETENTION_RUN_DATE, RETENTION_DAYS = "20250205", 400
 
 # ---- shared building blocks -------------------------------------------------
 
+profiles = memoized(standins.profiles)
+user_clusters = memoized(standins.user_clusters)
+cluster_users = memoized(standins.cluster_users)
+segment_revenue = memoized(standins.segment_revenue)
+
+@memoized
 def top_segments(spark, sf_dir) -> DataFrame:
-    return segments.segment_topk(standins.segment_revenue(spark, sf_dir), SEGMENT_DT, TOP_K_SEGMENTS)
+    return segments.segment_topk(segment_revenue(spark, sf_dir), SEGMENT_DT, TOP_K_SEGMENTS)
 
 
+@memoized
 def seed_ids(spark, sf_dir) -> DataFrame:
     """The audience to expand: members (clicks or not) of the best segment."""
     best = (top_segments(spark, sf_dir)
             .orderBy(F.col("profitability").desc_nulls_last(), F.col("id")).limit(SEED_SEGMENT_RANK))
-    m = segments.segment_members(standins.profiles(spark, sf_dir), best, PROFILE_DT, require_clicks=False)
+    m = segments.segment_members(profiles(spark, sf_dir), best, PROFILE_DT, require_clicks=False)
     return m.select(F.col("raw_id").alias("sid"))
 
 
+@memoized
 def expanded(spark, sf_dir) -> DataFrame:
-    return expansion.expand(seed_ids(spark, sf_dir), standins.user_clusters(spark, sf_dir),
-                            standins.cluster_users(spark, sf_dir))
+    return expansion.expand(seed_ids(spark, sf_dir), user_clusters(spark, sf_dir),
+                            cluster_users(spark, sf_dir))
 
 
+@memoized
 def fresh_profiles(spark, sf_dir) -> DataFrame:
     return expansion.expansion_minus_seed(expanded(spark, sf_dir), seed_ids(spark, sf_dir),
-                                          standins.profiles(spark, sf_dir), PROFILE_DT)
+                                          profiles(spark, sf_dir), PROFILE_DT)
 
 
 def spend_window(spark, sf_dir) -> DataFrame:
@@ -66,12 +76,12 @@ def q_segment_topk(spark, sf_dir):
 
 
 def q_segment_members(spark, sf_dir):
-    m = segments.segment_members(standins.profiles(spark, sf_dir), top_segments(spark, sf_dir), PROFILE_DT)
+    m = segments.segment_members(profiles(spark, sf_dir), top_segments(spark, sf_dir), PROFILE_DT)
     return m.select("raw_id", "segment_id", "clicks")
 
 
 def q_seed_clusters(spark, sf_dir):
-    return expansion.seed_clusters(seed_ids(spark, sf_dir), standins.user_clusters(spark, sf_dir))
+    return expansion.seed_clusters(seed_ids(spark, sf_dir), user_clusters(spark, sf_dir))
 
 
 def q_expand_users(spark, sf_dir):
@@ -79,16 +89,16 @@ def q_expand_users(spark, sf_dir):
 
 
 def q_expand_users_scored(spark, sf_dir):
-    sc = expansion.seed_clusters(seed_ids(spark, sf_dir), standins.user_clusters(spark, sf_dir))
-    return expansion.expand_users_scored(sc, standins.cluster_users(spark, sf_dir))
+    sc = expansion.seed_clusters(seed_ids(spark, sf_dir), user_clusters(spark, sf_dir))
+    return expansion.expand_users_scored(sc, cluster_users(spark, sf_dir))
 
 
 def q_expand_by_segment(spark, sf_dir):
-    m = segments.segment_members(standins.profiles(spark, sf_dir), top_segments(spark, sf_dir),
+    m = segments.segment_members(profiles(spark, sf_dir), top_segments(spark, sf_dir),
                                  PROFILE_DT, require_clicks=False)
     seeds = m.select("segment_id", F.col("raw_id").alias("sid"))
-    return expansion.expand_by_segment(seeds, standins.user_clusters(spark, sf_dir),
-                                       standins.cluster_users(spark, sf_dir))
+    return expansion.expand_by_segment(seeds, user_clusters(spark, sf_dir),
+                                       cluster_users(spark, sf_dir))
 
 
 def q_expansion_minus_seed(spark, sf_dir):
@@ -96,8 +106,8 @@ def q_expansion_minus_seed(spark, sf_dir):
 
 
 def q_expansion_counters(spark, sf_dir):
-    return quality.expansion_counters(seed_ids(spark, sf_dir), standins.user_clusters(spark, sf_dir),
-                                      standins.cluster_users(spark, sf_dir))
+    return quality.expansion_counters(seed_ids(spark, sf_dir), user_clusters(spark, sf_dir),
+                                      cluster_users(spark, sf_dir))
 
 
 def q_audience_size(spark, sf_dir):
@@ -156,3 +166,171 @@ QUERIES = {
     "latest_snapshot": q_latest_snapshot,
     "retention_window": q_retention_window,
 }
+
+
+# ---- features, similarity graph, admission ----------------------------------
+
+from audix.functions import features as feats  # noqa: E402
+from audix.operators import assign, graph, simjoin  # noqa: E402
+
+GRAPH_TOP_K = 100           # evaluation default of the reference
+GRAPH_CUTOFF = simjoin.DEFAULT_CUTOFF
+TEST_AUDIENCE_DIVISOR = 10     # reference uses 1000 (K15); sf0.01 has ~200 candidates
+
+
+@memoized
+def original_members(spark, sf_dir) -> DataFrame:
+    best = (top_segments(spark, sf_dir)
+            .orderBy(F.col("profitability").desc_nulls_last(), F.col("id")).limit(SEED_SEGMENT_RANK))
+    return segments.segment_members(profiles(spark, sf_dir), best, PROFILE_DT, require_clicks=False)
+
+
+@memoized
+def original_features(spark, sf_dir) -> DataFrame:
+    return feats.profile_features(original_members(spark, sf_dir))
+
+
+@memoized
+def selected_features(spark, sf_dir) -> DataFrame:
+    w = standins.support_weights(feats.features_long(original_features(spark, sf_dir)))
+    return feats.top_features(w, GRAPH_TOP_K)
+
+
+@memoized
+def graph_parts(spark, sf_dir):
+    sel = selected_features(spark, sf_dir)
+    proj = feats.project(original_features(spark, sf_dir), sel)
+    vertices = graph.collapse_vertices(proj)
+    edges = graph.build_edges(vertices, GRAPH_CUTOFF)
+    return sel, vertices, edges
+
+
+@memoized
+def candidate_parts(spark, sf_dir):
+    sel = selected_features(spark, sf_dir)
+    cand = feats.profile_features(fresh_profiles(spark, sf_dir))
+    tuples, members = graph.collapse_candidates(feats.project(cand, sel))
+    return cand, tuples, members
+
+
+def _keyed_edges(vertices, edges):
+    kv = vertices.select("vid", "vkey")
+    e = (edges.join(kv.withColumnRenamed("vid", "src").withColumnRenamed("vkey", "a"), "src")
+         .join(kv.withColumnRenamed("vid", "dst").withColumnRenamed("vkey", "b"), "dst"))
+    return e.select(F.least("a", "b").alias("src_key"), F.greatest("a", "b").alias("dst_key"), "w")
+
+
+def q_features_long(spark, sf_dir):
+    return feats.features_long(feats.profile_features(profiles(spark, sf_dir)))
+
+
+def q_graph_lines(spark, sf_dir):
+    m = segments.segment_members(profiles(spark, sf_dir), top_segments(spark, sf_dir), PROFILE_DT)
+    f = feats.profile_features(m, keep=["segment_id"])
+    return f.where(F.col("sid").isNotNull()).select("segment_id", feats.graph_line().alias("value"))
+
+
+def q_training_rows(spark, sf_dir):
+    d = standins.labelled_documents(spark, sf_dir)
+    toks = F.filter(F.transform(feats.split_ws(F.lower("text")), lambda t: feats.clean_keyword(t)),
+                    lambda t: t != "")
+    rows = d.select(F.col("raw_id").alias("doc_id"), *feats.label_importance("clicks"),
+                    F.array("lang").alias("demo"), F.array("source").alias("device"),
+                    F.lit(None).cast("array<string>").alias("app_activities"),
+                    F.lit(None).cast("array<string>").alias("geo"),
+                    F.array_sort(F.array_distinct(toks)).alias("keywords"))
+    return rows.select("doc_id", "label", "importance", feats.training_line().alias("value"))
+
+
+def q_feature_topk(spark, sf_dir):
+    return selected_features(spark, sf_dir)
+
+
+def q_vertex_collapse(spark, sf_dir):
+    _, v, _ = graph_parts(spark, sf_dir)
+    return v.select("vkey", "k")
+
+
+def q_jaccard_pairs(spark, sf_dir):
+    docs = tables.read_table(spark, sf_dir, "documents").select(
+        "doc_id", feats.split_ws(F.lower("text")).alias("tokens"))
+    p = simjoin.similarity_self_join(docs, "doc_id", "tokens", GRAPH_CUTOFF)
+    return p.select(F.col("id_a").alias("doc_a"), F.col("id_b").alias("doc_b"),
+                    F.round("jaccard", 6).alias("jaccard"))
+
+
+def q_jaccard_cross(spark, sf_dir):
+    sel, v, _ = graph_parts(spark, sf_dir)
+    _, tuples, _ = candidate_parts(spark, sf_dir)
+    left = tuples.select(F.col("tid").alias("id"), feats.namespaced_tokens().alias("tokens"))
+    right = v.select(F.col("vid").alias("id"), feats.namespaced_tokens().alias("tokens"))
+    p = simjoin.similarity_join(left, right, cutoff=GRAPH_CUTOFF)
+    return (p.join(tuples.select(F.col("tid").alias("id_a"), "tkey"), "id_a")
+            .join(v.select(F.col("vid").alias("id_b"), "vkey"), "id_b")
+            .select("tkey", "vkey", F.round("jaccard", 6).alias("jaccard")))
+
+
+def q_graph_edges(spark, sf_dir):
+    _, v, e = graph_parts(spark, sf_dir)
+    return _keyed_edges(v, e)
+
+
+def q_vertex_degree(spark, sf_dir):
+    _, v, e = graph_parts(spark, sf_dir)
+    return graph.degree(e).join(v.select("vid", "vkey"), "vid").select("vkey", "degree")
+
+
+def q_community_share(spark, sf_dir):
+    _, v, e = graph_parts(spark, sf_dir)
+    s = graph.community_share(e, standins.fixed_membership(v))
+    return s.select("cid", F.round("a", 9).alias("a"))
+
+
+def q_modularity_of(spark, sf_dir):
+    _, v, e = graph_parts(spark, sf_dir)
+    return graph.modularity(e, standins.fixed_membership(v)).select(F.round("modularity", 9).alias("modularity"))
+
+
+def q_community_affinity(spark, sf_dir):
+    sel, v, _ = graph_parts(spark, sf_dir)
+    _, tuples, _ = candidate_parts(spark, sf_dir)
+    aff = graph.candidate_affinity(tuples, v, standins.fixed_membership(v), GRAPH_CUTOFF)
+    return aff.join(tuples.select("tid", "tkey"), "tid").select("tkey", "cid", "e")
+
+
+def _admitted(spark, sf_dir):
+    sel, v, e = graph_parts(spark, sf_dir)
+    cand, tuples, members = candidate_parts(spark, sf_dir)
+    memb = standins.fixed_membership(v)
+    aff = graph.candidate_affinity(tuples, v, memb, GRAPH_CUTOFF)
+    gated = assign.gate(aff, graph.community_share(e, memb))
+    return cand, assign.admitted_users(gated, members)
+
+
+def q_admit_users(spark, sf_dir):
+    _, users = _admitted(spark, sf_dir)
+    return users.select("sid", "cid", F.round("gain", 6).alias("gain"))
+
+
+def q_final_audience(spark, sf_dir):
+    cand, users = _admitted(spark, sf_dir)
+    top = assign.final_audience(users, cand.count(), TEST_AUDIENCE_DIVISOR)
+    return top.select("sid", F.round("gain", 6).alias("gain"))
+
+
+QUERIES.update({
+    "features_long": q_features_long,
+    "graph_lines": q_graph_lines,
+    "training_rows": q_training_rows,
+    "feature_topk": q_feature_topk,
+    "vertex_collapse": q_vertex_collapse,
+    "jaccard_pairs": q_jaccard_pairs,
+    "jaccard_cross": q_jaccard_cross,
+    "graph_edges": q_graph_edges,
+    "vertex_degree": q_vertex_degree,
+    "community_share": q_community_share,
+    "modularity_of": q_modularity_of,
+    "community_affinity": q_community_affinity,
+    "admit_users": q_admit_users,
+    "final_audience": q_final_audience,
+})

@@ -120,3 +120,135 @@ SELECT dt, COUNT(*) AS n_rows FROM ev
 WHERE CAST(strptime(dt, '%Y%m%d') AS DATE) > CAST(DATE '2025-02-05' - INTERVAL 400 DAY AS DATE)
 GROUP BY dt""",
 }
+
+
+# ---- features and graph (brute force on the SQL side) -----------------------
+
+FEATL = [r"""ordprio AS (SELECT o_custkey AS ck, o_orderpriority AS prio, COUNT(*) AS n FROM orders GROUP BY 1, 2)""",
+         r"""model AS (
+  SELECT ck, regexp_replace(prio, '\s+', '_', 'g') AS token
+  FROM (SELECT ck, prio, row_number() OVER (PARTITION BY ck ORDER BY n DESC, prio) AS rn FROM ordprio) WHERE rn = 1)""",
+         r"""bought AS (
+  SELECT o_custkey AS ck, p_type, p_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN part ON l_partkey = p_partkey)""",
+         r"""featl AS (SELECT DISTINCT sid, ns, token FROM (
+  SELECT CAST(c_custkey AS VARCHAR) AS sid, 'demo' AS ns, unnest(string_split_regex(c_mktsegment, '\s+')) AS token
+    FROM customer WHERE c_custkey % 11 <> 0 AND c_mktsegment NOT IN ('UNKNOWN', 'NULL')
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'demo', CAST(CAST(floor(c_acctbal / 2000) AS BIGINT) * 2000 AS VARCHAR) FROM customer
+  UNION ALL SELECT CAST(ck AS VARCHAR), 'device', token FROM model
+  UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'device', unnest(string_split_regex(o_orderstatus, '\s+')) FROM orders
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'device', unnest(string_split_regex(r_name, '\s+'))
+    FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  UNION ALL SELECT CAST(ck AS VARCHAR), 'app_activities', regexp_replace(p_type, '\s+', '_', 'g') FROM bought
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'geo', CAST(c_nationkey AS VARCHAR) FROM customer
+  UNION ALL SELECT CAST(ck AS VARCHAR), 'keywords', lower(regexp_replace(w, ':|\||\n+|\s+', '', 'g'))
+    FROM (SELECT ck, unnest(string_split(p_name, ' ')) AS w FROM bought)
+) WHERE token IS NOT NULL AND token <> '')"""]
+
+
+def _key_expr(alias: str) -> str:
+    parts = [f"'{ns}[' || coalesce(string_agg(token, ',' ORDER BY token) FILTER (WHERE ns = '{ns}'), '') || ']'"
+             for ns in ["demo", "device", "app_activities", "geo", "keywords"]]
+    return " || ' ' || ".join(parts) + f" AS {alias}"
+
+
+GRAPH = AUDIENCE + FEATL + [
+    """topf AS (
+  SELECT ns, token, CAST(COUNT(*) AS DOUBLE) AS weight FROM featl WHERE sid IN (SELECT sid FROM seeds)
+  GROUP BY ns, token ORDER BY abs(weight) DESC, ns, token LIMIT 100)""",
+    """proj AS (SELECT f.sid, f.ns, f.token FROM featl f JOIN topf t ON f.ns = t.ns AND f.token = t.token
+  WHERE f.sid IN (SELECT sid FROM seeds))""",
+    f"ukeys AS (SELECT sid, {_key_expr('vkey')} FROM proj GROUP BY sid)",
+    "verts AS (SELECT vkey, CAST(COUNT(*) AS BIGINT) AS k FROM ukeys GROUP BY vkey)",
+    "vtok AS (SELECT DISTINCT u.vkey, p.ns || '^' || p.token AS t FROM ukeys u JOIN proj p ON u.sid = p.sid)",
+    "vsz AS (SELECT vkey, COUNT(*) AS n FROM vtok GROUP BY vkey)",
+    """vpairs AS (SELECT a.vkey AS ka, b.vkey AS kb, COUNT(*) AS i FROM vtok a JOIN vtok b
+  ON a.t = b.t AND a.vkey < b.vkey GROUP BY 1, 2)""",
+    """vedges AS (SELECT p.ka, p.kb FROM vpairs p JOIN vsz sa ON sa.vkey = p.ka JOIN vsz sb ON sb.vkey = p.kb
+  WHERE CAST(p.i AS DOUBLE) / (sa.n + sb.n - p.i) >= 0.8)""",
+    """edges AS (
+  SELECT e.ka AS src_key, e.kb AS dst_key, CAST(va.k * vb.k AS BIGINT) AS w
+  FROM vedges e JOIN verts va ON va.vkey = e.ka JOIN verts vb ON vb.vkey = e.kb
+  UNION ALL SELECT vkey, vkey, CAST(k * (k - 1) // 2 AS BIGINT) FROM verts)""",
+    "memb AS (SELECT vkey, CAST(length(vkey) % 4 AS BIGINT) AS cid FROM verts)",
+    """deg AS (SELECT vkey, CAST(COUNT(*) AS BIGINT) AS degree
+  FROM (SELECT src_key AS vkey FROM edges UNION ALL SELECT dst_key FROM edges) GROUP BY vkey)""",
+    """share AS (SELECT m.cid, CAST(SUM(d.degree) AS DOUBLE) / (SELECT SUM(degree) FROM deg) AS a
+  FROM deg d JOIN memb m ON d.vkey = m.vkey GROUP BY m.cid)""",
+]
+
+CANDIDATES = GRAPH + [
+    """cproj AS (SELECT f.sid, f.ns, f.token FROM featl f JOIN topf t ON f.ns = t.ns AND f.token = t.token
+  WHERE f.sid IN (SELECT raw_id FROM fresh))""",
+    f"ckeys AS (SELECT sid, {_key_expr('tkey')} FROM cproj GROUP BY sid)",
+    "ctok AS (SELECT DISTINCT c.tkey, p.ns || '^' || p.token AS t FROM ckeys c JOIN cproj p ON c.sid = p.sid)",
+    "csz AS (SELECT tkey, COUNT(*) AS n FROM ctok GROUP BY tkey)",
+    "xpairs AS (SELECT a.tkey, b.vkey, COUNT(*) AS i FROM ctok a JOIN vtok b ON a.t = b.t GROUP BY 1, 2)",
+    """xsim AS (SELECT x.tkey, x.vkey, CAST(x.i AS DOUBLE) / (sa.n + sb.n - x.i) AS jac
+  FROM xpairs x JOIN csz sa ON sa.tkey = x.tkey JOIN vsz sb ON sb.vkey = x.vkey
+  WHERE CAST(x.i AS DOUBLE) / (sa.n + sb.n - x.i) >= 0.8)""",
+    """aff AS (SELECT x.tkey, m.cid, CAST(SUM(v.k) AS BIGINT) AS e
+  FROM xsim x JOIN verts v ON v.vkey = x.vkey JOIN memb m ON m.vkey = x.vkey GROUP BY 1, 2)""",
+    """best AS (SELECT tkey, cid, e, SUM(e) OVER (PARTITION BY tkey) AS etot,
+  row_number() OVER (PARTITION BY tkey ORDER BY e DESC, cid) AS rn FROM aff)""",
+    """gated AS (SELECT b.tkey, b.cid, b.e - s.a * b.etot AS gain FROM best b JOIN share s ON b.cid = s.cid
+  WHERE b.rn = 1 AND b.e > s.a * b.etot)""",
+    "adm AS (SELECT c.sid, g.cid, g.gain FROM ckeys c JOIN gated g ON c.tkey = g.tkey)",
+]
+
+DOC_TOKENS = r"""toks AS (SELECT DISTINCT doc_id, t FROM (
+  SELECT doc_id, unnest(string_split_regex(lower(text), '\s+')) AS t FROM documents) WHERE t <> '')"""
+
+ORACLE.update({
+    "features_long": _with(FEATL, "SELECT sid, ns, token FROM featl"),
+    "graph_lines": _with([SEGREV, TOPSEG] + FEATL + [
+        """mem AS (SELECT CAST(c_custkey AS VARCHAR) AS sid,
+  c_mktsegment || '-' || CAST(c_nationkey AS VARCHAR) AS segment_id FROM customer
+  WHERE c_custkey % 50 <> 0 AND c_mktsegment || '-' || CAST(c_nationkey AS VARCHAR) IN (SELECT id FROM topseg)
+    AND c_custkey IN (SELECT user_id FROM events WHERE event_type = 'click'))""",
+        """nsl AS (SELECT sid, ns, string_agg(token, ' ' ORDER BY token) AS toks FROM featl
+  WHERE sid IN (SELECT sid FROM mem) GROUP BY sid, ns)"""], """
+SELECT m.segment_id, concat_ws(' ', m.sid,
+  '|demo', max(n.toks) FILTER (WHERE n.ns = 'demo'), '|device', max(n.toks) FILTER (WHERE n.ns = 'device'),
+  '|app_activities', max(n.toks) FILTER (WHERE n.ns = 'app_activities'), '|geo', max(n.toks) FILTER (WHERE n.ns = 'geo'),
+  '|keywords', max(n.toks) FILTER (WHERE n.ns = 'keywords')) AS value
+FROM mem m LEFT JOIN nsl n ON m.sid = n.sid GROUP BY m.segment_id, m.sid"""),
+    "training_rows": _with([r"""dt AS (SELECT doc_id, lower(regexp_replace(t, ':|\||\n+|\s+', '', 'g')) AS t FROM (
+  SELECT doc_id, unnest(string_split_regex(lower(text), '\s+')) AS t FROM documents))""",
+                            """dk AS (SELECT doc_id, string_agg(t, ' ' ORDER BY t) AS toks
+  FROM (SELECT DISTINCT doc_id, t FROM dt WHERE t <> '') GROUP BY doc_id)"""], """
+SELECT CAST(d.doc_id AS VARCHAR) AS doc_id,
+  CASE WHEN l.quality = 1 THEN 1 ELSE -1 END AS label,
+  CAST(CASE WHEN l.quality = 1 THEN 1 + l.toxic ELSE 1 END AS BIGINT) AS importance,
+  concat_ws(' ', CASE WHEN l.quality = 1 THEN '1' ELSE '-1' END,
+            CAST(CASE WHEN l.quality = 1 THEN 1 + l.toxic ELSE 1 END AS VARCHAR),
+            '|demo', d.lang, '|device', d.source, '|keywords', k.toks) AS value
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN dk k ON k.doc_id = d.doc_id"""),
+    "feature_topk": _with(GRAPH[:len(AUDIENCE) + len(FEATL) + 1], "SELECT ns, token, weight FROM topf"),
+    "vertex_collapse": _with(GRAPH, "SELECT vkey, k FROM verts"),
+    "jaccard_pairs": _with([DOC_TOKENS,
+                            "sz AS (SELECT doc_id, COUNT(*) AS n FROM toks GROUP BY 1)",
+                            """pr AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, COUNT(*) AS i
+  FROM toks a JOIN toks b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2)"""], """
+SELECT pr.doc_a, pr.doc_b, ROUND(CAST(i AS DOUBLE) / (sa.n + sb.n - i), 6) AS jaccard
+FROM pr JOIN sz sa ON sa.doc_id = pr.doc_a JOIN sz sb ON sb.doc_id = pr.doc_b
+WHERE CAST(i AS DOUBLE) / (sa.n + sb.n - i) >= 0.8"""),
+    "jaccard_cross": _with(CANDIDATES, "SELECT tkey, vkey, ROUND(jac, 6) AS jaccard FROM xsim"),
+    "graph_edges": _with(GRAPH, "SELECT src_key, dst_key, w FROM edges"),
+    "vertex_degree": _with(GRAPH, "SELECT vkey, degree FROM deg"),
+    "community_share": _with(GRAPH, "SELECT cid, ROUND(a, 9) AS a FROM share"),
+    "modularity_of": _with(GRAPH + [
+        """ec AS (SELECT e.w, ma.cid AS ca, mb.cid AS cb FROM edges e
+  JOIN memb ma ON ma.vkey = e.src_key JOIN memb mb ON mb.vkey = e.dst_key)""",
+        "percs AS (SELECT cid, SUM(w) AS s_c FROM (SELECT ca AS cid, w FROM ec UNION ALL SELECT cb, w FROM ec) GROUP BY cid)",
+        "perin AS (SELECT ca AS cid, SUM(w) AS w_in FROM ec WHERE ca = cb GROUP BY ca)",
+        """t AS (SELECT CAST(SUM(coalesce(w_in, 0)) AS DOUBLE) AS win, SUM(CAST(s_c AS DOUBLE) * s_c) AS ss,
+  CAST(SUM(s_c) AS DOUBLE) / 2 AS W FROM percs LEFT JOIN perin ON percs.cid = perin.cid)"""],
+        "SELECT ROUND(CASE WHEN W > 0 THEN win / W - ss / (4 * W * W) END, 9) AS modularity FROM t"),
+    "community_affinity": _with(CANDIDATES, "SELECT tkey, cid, e FROM aff"),
+    "admit_users": _with(CANDIDATES, "SELECT sid, cid, ROUND(gain, 6) AS gain FROM adm"),
+    "final_audience": _with(CANDIDATES, """
+SELECT sid, ROUND(gain, 6) AS gain FROM (
+  SELECT sid, gain, row_number() OVER (ORDER BY gain DESC, sid) AS rn FROM adm)
+WHERE rn <= LEAST((SELECT COUNT(*) FROM fresh) // 10, (SELECT COUNT(*) FROM adm))"""),
+})

@@ -174,3 +174,17 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (docs.join(labels, "doc_id")
             .select(F.col("doc_id").cast("string").alias("raw_id"), "lang", "source", "text",
                     F.when(F.col("quality") == 1, 1 + F.col("toxic")).otherwise(0).cast("long").alias("clicks")))
+
+
+def support_weights(features_long_df: DataFrame) -> DataFrame:
+    """Stand-in for the learner's weight file when a SQL twin is needed:
+    weight(ns, token) = number of users holding the feature. T3 then keeps the
+    k most supported features (ties by ns, token)."""
+    return (features_long_df.groupBy("ns", "token")
+            .agg(F.count("*").cast("double").alias("weight")))
+
+
+def fixed_membership(vertices: DataFrame) -> DataFrame:
+    """A membership SQL can recompute (length of the tuple text mod 4), so the
+    SQL twins check the graph arithmetic independently of detection."""
+    return vertices.select("vid", (F.length("vkey") % 4).cast("long").alias("cid"))
