@@ -334,3 +334,87 @@ QUERIES.update({
     "admit_users": q_admit_users,
     "final_audience": q_final_audience,
 })
+
+
+# ---- learning and community detection (rows-only: no SQL twin) -------------
+
+from audix.operators import communities, learn  # noqa: E402
+
+CV_FOLDS = 10
+CV_PASSES = 10
+
+
+@memoized
+def doc_training(spark, sf_dir) -> DataFrame:
+    """Labelled documents as training rows: label/importance by F7, features
+    demo = lang, device = source, keywords = cleaned distinct tokens."""
+    d = standins.labelled_documents(spark, sf_dir)
+    toks = F.filter(F.transform(feats.split_ws(F.lower("text")), lambda t: feats.clean_keyword(t)),
+                    lambda t: t != "")
+    rows = d.select(F.col("raw_id").alias("sid"), *feats.label_importance("clicks"),
+                    F.array("lang").alias("demo"), F.array("source").alias("device"),
+                    F.array().cast("array<string>").alias("app_activities"),
+                    F.array().cast("array<string>").alias("geo"),
+                    F.array_distinct(toks).alias("keywords"))
+    return learn.training_frame(rows)
+
+
+def _learn(loss):
+    def q(spark, sf_dir):
+        _, w = learn.train(doc_training(spark, sf_dir), loss, CV_PASSES)
+        return w
+    q.__name__ = f"q_learn_weights_{loss}"
+    return q
+
+
+def q_feature_topk_learned(spark, sf_dir):
+    _, w = learn.train(doc_training(spark, sf_dir), "squared", CV_PASSES)
+    return feats.top_features(w, GRAPH_TOP_K)
+
+
+def q_kfold_sizes(spark, sf_dir):
+    return learn.fold_sizes(doc_training(spark, sf_dir), CV_FOLDS)
+
+
+def q_cv_accuracy(spark, sf_dir):
+    return learn.cross_validate(doc_training(spark, sf_dir), "squared", CV_FOLDS, CV_PASSES)
+
+
+def _communities(method):
+    def q(spark, sf_dir):
+        _, v, e = graph_parts(spark, sf_dir)
+        memb = method(e)
+        return memb.join(v.select("vid", "vkey"), "vid").select("vkey", "cid")
+    q.__name__ = f"q_communities_{method.__name__}"
+    return q
+
+
+def q_community_compare(spark, sf_dir):
+    _, _, e = graph_parts(spark, sf_dir)
+    return communities.compare_methods(e)
+
+
+def q_admit_users_detected(spark, sf_dir):
+    """The full gate: communities found by G6 instead of a fixed membership."""
+    sel, v, e = graph_parts(spark, sf_dir)
+    cand, tuples, members = candidate_parts(spark, sf_dir)
+    memb = communities.greedy_modularity(e)
+    aff = graph.candidate_affinity(tuples, v, memb, GRAPH_CUTOFF)
+    gated = assign.gate(aff, graph.community_share(e, memb))
+    return assign.admitted_users(gated, members).select("sid", "gain")
+
+
+QUERIES.update({
+    "kfold_sizes": q_kfold_sizes,
+    "learn_weights": _learn("squared"),
+    "learn_weights_logistic": _learn("logistic"),
+    "learn_weights_hinge": _learn("hinge"),
+    "learn_weights_quantile": _learn("quantile"),
+    "feature_topk_learned": q_feature_topk_learned,
+    "cv_accuracy": q_cv_accuracy,
+    "communities_greedy": _communities(communities.greedy_modularity),
+    "communities_label_prop": _communities(communities.label_propagation),
+    "communities_eigen": _communities(communities.leading_eigenvector),
+    "community_compare": q_community_compare,
+    "admit_users_detected": q_admit_users_detected,
+})

@@ -1,15 +1,17 @@
 """Per-session reuse of intermediate DataFrames.
 
 Several registered queries share inputs (profiles, cluster matrices, the
-similarity graph). Each is persisted once per (application, data directory);
-persisted blocks lost with an executor are recomputed from lineage.
+similarity graph). Each is materialised once per (application, data
+directory) with a reliable checkpoint into the cluster's shared
+``spark.checkpoint.dir``: later plans start from a short scan instead of the
+whole lineage, and the files survive the loss of any executor.
 """
 
 from __future__ import annotations
 
 import functools
 
-from pyspark import StorageLevel
+from audix.session import cut_lineage
 
 _CACHE: dict = {}
 
@@ -21,8 +23,7 @@ def memoized(fn):
         hit = _CACHE.get(key)
         if hit is None:
             out = fn(spark, sf_dir, *args)
-            hit = tuple(d.persist(StorageLevel.MEMORY_AND_DISK) for d in out) if isinstance(out, tuple) \
-                else out.persist(StorageLevel.MEMORY_AND_DISK)
+            hit = tuple(cut_lineage(d) for d in out) if isinstance(out, tuple) else cut_lineage(out)
             _CACHE[key] = hit
         return hit
     return wrapper
@@ -31,6 +32,4 @@ def memoized(fn):
 def clear(spark=None) -> None:
     for key in list(_CACHE):
         if spark is None or key[0] == spark.sparkContext.applicationId:
-            v = _CACHE.pop(key)
-            for d in (v if isinstance(v, tuple) else (v,)):
-                d.unpersist()
+            _CACHE.pop(key)

@@ -252,3 +252,9 @@ SELECT sid, ROUND(gain, 6) AS gain FROM (
   SELECT sid, gain, row_number() OVER (ORDER BY gain DESC, sid) AS rn FROM adm)
 WHERE rn <= LEAST((SELECT COUNT(*) FROM fresh) // 10, (SELECT COUNT(*) FROM adm))"""),
 })
+
+ORACLE["kfold_sizes"] = """
+WITH lab AS (SELECT d.doc_id FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+n AS (SELECT CAST(ceil(COUNT(*) / 10.0) AS BIGINT) AS sz FROM lab),
+r AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // (SELECT sz FROM n) AS fold FROM lab)
+SELECT CAST(fold AS INTEGER) AS fold, COUNT(*) AS n FROM r GROUP BY fold"""

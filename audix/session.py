@@ -78,7 +78,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared checkpoint dir (survives executor loss)."""
+    """Reliable checkpoint into the shared checkpoint dir (survives executor loss).
+
+    The frame is persisted first so the checkpoint write reads the computed
+    blocks instead of running the plan a second time; the cache is released
+    once the files are written."""
+    from pyspark import StorageLevel
     spark = spark or df.sparkSession
     checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
