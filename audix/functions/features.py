@@ -243,3 +243,15 @@ def tuple_key() -> Column:
     """Canonical text of a projected feature tuple (namespace order, sorted tokens)."""
     return F.concat_ws(" ", *[F.concat(F.lit(ns + "["), F.array_join(F.coalesce(F.col(ns), _empty()), ","), F.lit("]"))
                               for ns in NAMESPACES])
+
+
+def parse_weight_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """Weight file lines ``ns^token:hash:weight`` -> (ns, token, weight).
+    Every line with a '^' is kept (K3: no header line is lost); the weight is
+    ``try_cast`` so a malformed value is null and never ranked."""
+    parts = F.split(F.col(value_col), ":")
+    feature = parts[0]
+    return (lines.where(F.instr(F.col(value_col), "^") > 0)
+            .select(F.substring_index(feature, "^", 1).alias("ns"),
+                    F.expr(f"substr(split({value_col}, ':')[0], instr(split({value_col}, ':')[0], '^') + 1)").alias("token"),
+                    F.element_at(parts, 3).try_cast("double").alias("weight")))

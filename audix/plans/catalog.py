@@ -275,6 +275,11 @@ def q_graph_edges(spark, sf_dir):
     return _keyed_edges(v, e)
 
 
+def q_graph_summary(spark, sf_dir):
+    _, v, e = graph_parts(spark, sf_dir)
+    return graph.graph_summary(v, e)
+
+
 def q_vertex_degree(spark, sf_dir):
     _, v, e = graph_parts(spark, sf_dir)
     return graph.degree(e).join(v.select("vid", "vkey"), "vid").select("vkey", "degree")
@@ -328,6 +333,7 @@ QUERIES.update({
     "jaccard_cross": q_jaccard_cross,
     "graph_edges": q_graph_edges,
     "vertex_degree": q_vertex_degree,
+    "graph_summary": q_graph_summary,
     "community_share": q_community_share,
     "modularity_of": q_modularity_of,
     "community_affinity": q_community_affinity,
@@ -415,6 +421,8 @@ QUERIES.update({
     "communities_greedy": _communities(communities.greedy_modularity),
     "communities_label_prop": _communities(communities.label_propagation),
     "communities_eigen": _communities(communities.leading_eigenvector),
+    "communities_map": _communities(communities.infomap),
+    "communities_walk": _communities(communities.walktrap),
     "community_compare": q_community_compare,
     "admit_users_detected": q_admit_users_detected,
 })

@@ -236,6 +236,10 @@ WHERE CAST(i AS DOUBLE) / (sa.n + sb.n - i) >= 0.8"""),
     "jaccard_cross": _with(CANDIDATES, "SELECT tkey, vkey, ROUND(jac, 6) AS jaccard FROM xsim"),
     "graph_edges": _with(GRAPH, "SELECT src_key, dst_key, w FROM edges"),
     "vertex_degree": _with(GRAPH, "SELECT vkey, degree FROM deg"),
+    "graph_summary": _with(GRAPH, """
+SELECT 'vertices' AS measure, CAST(COUNT(*) AS BIGINT) AS value FROM verts
+UNION ALL SELECT 'edges', CAST(COUNT(*) AS BIGINT) FROM edges
+UNION ALL SELECT 'users', CAST(coalesce(SUM(k), 0) AS BIGINT) FROM verts"""),
     "community_share": _with(GRAPH, "SELECT cid, ROUND(a, 9) AS a FROM share"),
     "modularity_of": _with(GRAPH + [
         """ec AS (SELECT e.w, ma.cid AS ca, mb.cid AS cb FROM edges e
