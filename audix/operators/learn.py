@@ -69,9 +69,11 @@ def _with_label01(df: DataFrame) -> DataFrame:
 
 def _named(spark, vocab: list, coef) -> DataFrame:
     """M3: vocabulary zipped with coefficients -> (ns, token, weight)."""
+    import pandas as pd
     arr = coef.toArray()
-    rows = [(f, float(arr[i])) for i, f in enumerate(vocab) if arr[i] != 0.0]
-    df = spark.createDataFrame(rows, "feature string, weight double")
+    pdf = pd.DataFrame({"feature": pd.Series(vocab, dtype="object"), "weight": arr})
+    pdf = pdf[pdf["weight"] != 0.0]
+    df = spark.createDataFrame(pdf, "feature string, weight double")   # Arrow transfer
     return _split_feature(df, "weight")
 
 

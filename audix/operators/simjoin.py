@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from audix.functions.joins import small_side
 from audix.functions.text import jaccard
+from audix.session import cut_lineage
 
 EPS = 1e-9
 DEFAULT_CUTOFF = 0.8
@@ -79,8 +80,11 @@ def _verify(cand: DataFrame, sa: DataFrame, sb: DataFrame, t: float) -> DataFram
 
 
 def _distinct_sets(sets: DataFrame, id_col: str, tok_col: str) -> DataFrame:
-    return (sets.select(F.col(id_col).alias("id"), F.array_distinct(tok_col).alias("tokens"))
-            .where(F.size("tokens") > 0))
+    """Materialised once: the sets feed the frequencies, the prefixes and both
+    sides of the verification, so their upstream (e.g. tokenising text) must
+    not run four times."""
+    return cut_lineage(sets.select(F.col(id_col).alias("id"), F.array_distinct(tok_col).alias("tokens"))
+                       .where(F.size("tokens") > 0))
 
 
 def similarity_self_join(sets: DataFrame, id_col: str = "id", tok_col: str = "tokens",
