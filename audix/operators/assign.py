@@ -53,3 +53,11 @@ def final_audience(users: DataFrame, n_candidates: int, divisor: int = AUDIENCE_
     else:
         n = audience_size_n(n_candidates, users.count(), divisor)
     return top_audience(users, n)
+
+
+def intake_counts(originals: DataFrame, candidates: DataFrame) -> DataFrame:
+    """A10: rows read on each side, before empty projections are dropped
+    (the candidate count is the N in T4). (measure, value)."""
+    o = originals.agg(F.count("*").alias("value")).select(F.lit("originals_read").alias("measure"), "value")
+    c = candidates.agg(F.count("*").alias("value")).select(F.lit("candidates_read").alias("measure"), "value")
+    return o.unionByName(c)

@@ -79,8 +79,15 @@ def expanded_ids(expanded: DataFrame, dedup: bool = False) -> DataFrame:
     return ids.distinct() if dedup else ids
 
 
-def expand(seeds: DataFrame, user_clusters: DataFrame, cluster_users: DataFrame) -> DataFrame:
-    """Both steps: seeds -> (cluster_id, sid) rows."""
+def expand(seeds: DataFrame, user_clusters: DataFrame, cluster_users: DataFrame,
+           num_partitions: int | None = None) -> DataFrame:
+    """Both steps: seeds -> (cluster_id, sid) rows.
+
+    A5: ``num_partitions`` pins the reducer count of each step (the
+    reference's 32 / 64); by default AQE sizes the shuffles at runtime."""
+    if num_partitions:
+        user_clusters = user_clusters.repartition(num_partitions, "raw_id")
+        cluster_users = cluster_users.repartition(num_partitions, "cluster_id")
     return expand_users(reached_clusters(seed_clusters(seeds, user_clusters)), cluster_users)
 
 

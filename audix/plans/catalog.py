@@ -312,6 +312,10 @@ def _admitted(spark, sf_dir):
     return cand, assign.admitted_users(gated, members)
 
 
+def q_intake_counts(spark, sf_dir):
+    return assign.intake_counts(original_members(spark, sf_dir), fresh_profiles(spark, sf_dir))
+
+
 def q_admit_users(spark, sf_dir):
     _, users = _admitted(spark, sf_dir)
     return users.select("sid", "cid", F.round("gain", 6).alias("gain"))
@@ -337,6 +341,7 @@ QUERIES.update({
     "community_share": q_community_share,
     "modularity_of": q_modularity_of,
     "community_affinity": q_community_affinity,
+    "intake_counts": q_intake_counts,
     "admit_users": q_admit_users,
     "final_audience": q_final_audience,
 })

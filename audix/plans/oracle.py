@@ -250,6 +250,9 @@ UNION ALL SELECT 'users', CAST(coalesce(SUM(k), 0) AS BIGINT) FROM verts"""),
   CAST(SUM(s_c) AS DOUBLE) / 2 AS W FROM percs LEFT JOIN perin ON percs.cid = perin.cid)"""],
         "SELECT ROUND(CASE WHEN W > 0 THEN win / W - ss / (4 * W * W) END, 9) AS modularity FROM t"),
     "community_affinity": _with(CANDIDATES, "SELECT tkey, cid, e FROM aff"),
+    "intake_counts": _with(AUDIENCE, """
+SELECT 'originals_read' AS measure, CAST(COUNT(*) AS BIGINT) AS value FROM seeds
+UNION ALL SELECT 'candidates_read', CAST(COUNT(*) AS BIGINT) FROM fresh"""),
     "admit_users": _with(CANDIDATES, "SELECT sid, cid, ROUND(gain, 6) AS gain FROM adm"),
     "final_audience": _with(CANDIDATES, """
 SELECT sid, ROUND(gain, 6) AS gain FROM (
