@@ -107,10 +107,9 @@ def community_share(edges: DataFrame, membership: DataFrame, weighted: bool = Fa
     strengths / 2W. (cid, a)."""
     per_v = strength(edges).withColumnRenamed("s", "d") if weighted else degree(edges).withColumnRenamed("degree", "d")
     per_c = per_v.join(membership.select("vid", "cid"), "vid").groupBy("cid").agg(F.sum("d").alias("d"))
-    tot = per_v.agg(F.sum("d").cast("double").alias("tot"))
-    # Attach the one-row total to every community (broadcast of a single row).
-    j = per_c.withColumn("_k", F.lit(1)).join(F.broadcast(tot.withColumn("_k", F.lit(1))), "_k")
-    return j.select("cid", (F.col("d") / F.col("tot")).alias("a"))
+    # The total (2 x edge count, or 2W) is one number: fetch it, do not join it.
+    tot = float(per_v.agg(F.sum("d")).first()[0] or 0.0)
+    return per_c.select("cid", (F.col("d") / F.lit(tot) if tot > 0 else F.lit(None).cast("double")).alias("a"))
 
 
 def candidate_affinity(tuples: DataFrame, vertices: DataFrame, membership: DataFrame,

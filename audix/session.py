@@ -72,6 +72,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(a machine-local scratch folder would not survive executor loss)")
         conf_dir = tempfile.mkdtemp(prefix="audix-ckpt-", dir=os.environ.get("AUDIX_SCRATCH", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc._jsc.sc().getCheckpointDir().get()

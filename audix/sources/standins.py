@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from audix.functions.joins import small_side
 from audix.sources.tables import read_table
 
 # Fixed stand-in constants (FIXTURES.md part 2).
@@ -132,7 +133,7 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     geo_region = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
 
-    j = (cust.join(F.broadcast(geo_region), cust.c_nationkey == geo_region.n_nationkey, "left")
+    j = (cust.join(small_side(geo_region, 100_000), cust.c_nationkey == geo_region.n_nationkey, "left")
          .join(ord_agg, cust.c_custkey == ord_agg.ok_cust, "left")
          .join(li_agg, cust.c_custkey == li_agg.lk_cust, "left")
          .join(clicks, cust.c_custkey == clicks.ck_user, "left")
