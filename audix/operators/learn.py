@@ -40,13 +40,16 @@ def training_frame(rows: DataFrame, id_col: str = "sid") -> DataFrame:
 
 
 def vectorize(train: DataFrame, bits: int = DEFAULT_BITS, hashed: bool = False):
-    """M1: binary sparse vectors. Vocabulary (names kept) by default, capped at
-    the reference's hash space 2^bits; ``hashed`` uses HashingTF instead."""
+    """M1: binary sparse vectors. By default a vocabulary sized to the real
+    number of distinct features, so names stay known and no feature is
+    dropped (no cap). ``hashed=True`` uses HashingTF over 2^bits slots, as the
+    reference's learner does; its weights are then keyed by slot."""
     if hashed:
         tf = HashingTF(inputCol="feats", outputCol="features", numFeatures=2 ** bits, binary=True)
         return tf, tf.transform(train)
+    n_feats = train.select(F.explode("feats")).distinct().count()
     cv = CountVectorizer(inputCol="feats", outputCol="features", binary=True, minDF=1.0,
-                         vocabSize=2 ** bits).fit(train)
+                         vocabSize=max(1, n_feats)).fit(train)
     return cv, cv.transform(train)
 
 
@@ -77,6 +80,15 @@ def _named(spark, vocab: list, coef) -> DataFrame:
     return _split_feature(df, "weight")
 
 
+def _slot_weights(spark, coef) -> DataFrame:
+    """Hashed model: non-zero weights keyed by slot (ns '#', token = slot)."""
+    import pandas as pd
+    sv = coef if hasattr(coef, "indices") else coef.toSparse()
+    keep = [(str(i), float(v)) for i, v in zip(sv.indices, sv.values) if v != 0.0]
+    pdf = pd.DataFrame({"ns": ["#"] * len(keep), "token": [t for t, _ in keep], "weight": [v for _, v in keep]})
+    return spark.createDataFrame(pdf, "ns string, token string, weight double")
+
+
 def _split_feature(df: DataFrame, weight_col: str) -> DataFrame:
     return df.select(F.substring_index("feature", "^", 1).alias("ns"),
                      F.expr("substr(feature, instr(feature, '^') + 1)").alias("token"),
@@ -105,7 +117,8 @@ def quantile_weights(train: DataFrame, passes: int = DEFAULT_PASSES, tau: float
     return w
 
 
-def train(rows: DataFrame, loss: str = "squared", passes: int = DEFAULT_PASSES, bits: int = DEFAULT_BITS):
+def train(rows: DataFrame, loss: str = "squared", passes: int = DEFAULT_PASSES, bits: int = DEFAULT_BITS,
+          hashed: bool = False):
     """M2 + M4: returns (predict_fn, weights DataFrame[ns, token, weight])."""
     spark = rows.sparkSession
     if loss == "quantile":
@@ -117,9 +130,12 @@ def train(rows: DataFrame, loss: str = "squared", passes: int = DEFAULT_PASSES,
             s = pairs.join(small_side(w), "feature").groupBy("row_id").agg(F.sum("w").alias("score"))
             return df.join(s, "row_id", "left").fillna(0.0, ["score"])
         return predict, named
-    cv, vec = vectorize(rows, bits)
+    cv, vec = vectorize(rows, bits, hashed)
     model = _estimator(loss, passes).fit(_with_label01(vec))
-    named = _named(spark, cv.vocabulary, model.coefficients)
+    if hashed:
+        named = _slot_weights(spark, model.coefficients)
+    else:
+        named = _named(spark, cv.vocabulary, model.coefficients)
 
     def predict(df):
         v = cv.transform(df)

@@ -51,3 +51,9 @@ def test_planted_model(spark, loss):
 def test_cross_validate(spark):
     cv = {r.fold: r for r in learn.cross_validate(planted(spark, 60), "logistic", k=4, passes=5).collect()}
     assert set(cv) == {-1, 0, 1, 2, 3} and cv[-1].n_test == 60 and cv[-1].accuracy > 0.9
+
+
+def test_hashed_option(spark):
+    tr = planted(spark)
+    predict, w = learn.train(tr, "logistic", passes=10, bits=18, hashed=True)
+    assert learn.accuracy(predict(tr)) > 0.95 and w.where("ns = '#'").count() == w.count() > 0

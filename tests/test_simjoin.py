@@ -74,3 +74,12 @@ def test_rejects_zero_cutoff(spark):
     df = spark.createDataFrame([(1, ["a"])], "id long, tokens array<string>")
     with pytest.raises(ValueError):
         similarity_self_join(df, cutoff=0.0)
+
+
+def test_independent_of_partitioning(spark):
+    rng = random.Random(11)
+    sets = random_sets(rng, 60, 25, 7)
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in sets], "id long, tokens array<string>")
+    one = {tuple(r) for r in similarity_self_join(df.repartition(1), cutoff=0.7).collect()}
+    many = {tuple(r) for r in similarity_self_join(df.repartition(13), cutoff=0.7).collect()}
+    assert one == many
