@@ -230,6 +230,12 @@ def q_graph_lines(spark, sf_dir):
     return f.where(F.col("sid").isNotNull()).select("segment_id", feats.graph_line().alias("value"))
 
 
+def q_feature_lines_roundtrip(spark, sf_dir):
+    """The graph lines parsed back into (sid, ns, token)."""
+    lines = q_graph_lines(spark, sf_dir).select("value")
+    return feats.features_long(feats.parse_feature_lines(lines))
+
+
 def q_training_rows(spark, sf_dir):
     d = standins.labelled_documents(spark, sf_dir)
     toks = F.filter(F.transform(feats.split_ws(F.lower("text")), lambda t: feats.clean_keyword(t)),
@@ -330,6 +336,7 @@ def q_final_audience(spark, sf_dir):
 QUERIES.update({
     "features_long": q_features_long,
     "graph_lines": q_graph_lines,
+    "feature_lines_roundtrip": q_feature_lines_roundtrip,
     "training_rows": q_training_rows,
     "feature_topk": q_feature_topk,
     "vertex_collapse": q_vertex_collapse,

@@ -213,6 +213,11 @@ SELECT m.segment_id, concat_ws(' ', m.sid,
   '|app_activities', max(n.toks) FILTER (WHERE n.ns = 'app_activities'), '|geo', max(n.toks) FILTER (WHERE n.ns = 'geo'),
   '|keywords', max(n.toks) FILTER (WHERE n.ns = 'keywords')) AS value
 FROM mem m LEFT JOIN nsl n ON m.sid = n.sid GROUP BY m.segment_id, m.sid"""),
+    "feature_lines_roundtrip": _with([SEGREV, TOPSEG] + FEATL, """
+SELECT f.sid, f.ns, f.token FROM featl f JOIN customer c ON f.sid = CAST(c.c_custkey AS VARCHAR)
+WHERE c.c_custkey % 50 <> 0
+  AND c.c_mktsegment || '-' || CAST(c.c_nationkey AS VARCHAR) IN (SELECT id FROM topseg)
+  AND c.c_custkey IN (SELECT user_id FROM events WHERE event_type = 'click')"""),
     "training_rows": _with([r"""dt AS (SELECT doc_id, lower(regexp_replace(t, ':|\||\n+|\s+', '', 'g')) AS t FROM (
   SELECT doc_id, unnest(string_split_regex(lower(text), '\s+')) AS t FROM documents))""",
                             """dk AS (SELECT doc_id, string_agg(t, ' ' ORDER BY t) AS toks
