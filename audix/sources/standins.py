@@ -120,11 +120,13 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(part, li.l_partkey == part.p_partkey)
               .select("o_custkey", "p_type", (F.col("l_linenumber") % 6).alias("slot"),
                       F.split("p_name", " ").alias("words")))
-    slot_words = [F.array_sort(F.array_distinct(F.flatten(
-        F.collect_list(F.when(F.col("slot") == i, F.col("words")).otherwise(F.array()))))).alias(f"kw{i}")
-        for i in range(6)]
-    li_agg = bought.groupBy(F.col("o_custkey").alias("lk_cust")).agg(
-        F.array_sort(F.collect_set("p_type")).alias("ptypes"), *slot_words)
+    # collect_set aggregates map-side, so even a customer with a third of all
+    # line items holds at most (types + 6 x name words) values per buffer.
+    slot_words = [F.array_sort(F.collect_set(F.when(F.col("slot") == i, F.col("word")))).alias(f"kw{i}")
+                  for i in range(6)]
+    li_agg = (bought.select("o_custkey", "p_type", "slot", F.explode("words").alias("word"))
+              .groupBy(F.col("o_custkey").alias("lk_cust"))
+              .agg(F.array_sort(F.collect_set("p_type")).alias("ptypes"), *slot_words))
 
     clicks = (events.where(F.col("event_type") == "click").groupBy(F.col("user_id").alias("ck_user"))
               .agg(F.count("*").alias("clicks")))
