@@ -87,25 +87,59 @@ def _distinct_sets(sets: DataFrame, id_col: str, tok_col: str) -> DataFrame:
                        .where(F.size("tokens") > 0))
 
 
+def _collapse_copies(s: DataFrame):
+    """Identical token sets -> one representative (smallest id). Returns
+    (reps[id, tokens], members[id, rep, n]). Candidate generation then runs
+    on distinct sets only, so exact copies never inflate a prefix token."""
+    keyed = s.select("id", F.array_sort("tokens").alias("tokens"))
+    keyed = keyed.withColumn("h", F.xxhash64("tokens"))
+    reps = cut_lineage(keyed.groupBy("h", "tokens").agg(F.min("id").alias("rep")))
+    members = keyed.join(reps, ["h", "tokens"]).select("id", "rep", F.size("tokens").alias("n"))
+    return reps.select(F.col("rep").alias("id"), "tokens"), members
+
+
+def _expand_pairs(rep_pairs: DataFrame, ma: DataFrame, mb: DataFrame, ordered: bool) -> DataFrame:
+    a = ma.select(F.col("id").alias("xa"), F.col("rep").alias("id_a"))
+    b = mb.select(F.col("id").alias("xb"), F.col("rep").alias("id_b"))
+    j = rep_pairs.join(a, "id_a").join(b, "id_b")
+    if ordered:
+        lo, hi = F.least("xa", "xb"), F.greatest("xa", "xb")
+    else:
+        lo, hi = F.col("xa"), F.col("xb")
+    return j.select(lo.alias("id_a"), hi.alias("id_b"), "inter", "n_a", "n_b", "jaccard")
+
+
 def similarity_self_join(sets: DataFrame, id_col: str = "id", tok_col: str = "tokens",
                          cutoff: float = DEFAULT_CUTOFF) -> DataFrame:
     """All pairs id_a < id_b with Jaccard >= cutoff.
 
     Returns (id_a, id_b, inter, n_a, n_b, jaccard). Empty sets never match
-    (C11 gives 0). Ids must be unique and orderable."""
+    (C11 gives 0). Ids must be unique and orderable. Exact copies are
+    collapsed first; their mutual pairs (Jaccard 1) are part of the output."""
     _check_cutoff(cutoff)
     s = _distinct_sets(sets, id_col, tok_col)
-    pref = _prefix_rows(s, _token_freq(s), cutoff)
+    reps, members = _collapse_copies(s)
+    pref = _prefix_rows(reps, _token_freq(reps), cutoff)
     cand = _candidates(pref, pref, cutoff, ordered=True)
-    return _verify(cand, s, s, cutoff)
+    rep_pairs = _verify(cand, reps, reps, cutoff)
+    between = _expand_pairs(rep_pairs, members, members, ordered=True)
+    ca = members.select(F.col("id").alias("id_a"), "rep", "n")
+    cb = members.select(F.col("id").alias("id_b"), "rep")
+    within = (ca.join(cb, "rep").where(F.col("id_a") < F.col("id_b"))
+              .select("id_a", "id_b", F.col("n").alias("inter"), F.col("n").alias("n_a"),
+                      F.col("n").alias("n_b"), F.lit(1.0).alias("jaccard")))
+    return between.unionByName(within)
 
 
 def similarity_join(left: DataFrame, right: DataFrame, left_id: str = "id", right_id: str = "id",
                     tok_col: str = "tokens", cutoff: float = DEFAULT_CUTOFF) -> DataFrame:
-    """All (left, right) pairs with Jaccard >= cutoff; (id_a = left id, id_b = right id)."""
+    """All (left, right) pairs with Jaccard >= cutoff; (id_a = left id, id_b = right id).
+    Exact copies on either side are collapsed before candidate generation."""
     _check_cutoff(cutoff)
     sl = _distinct_sets(left, left_id, tok_col)
     sr = _distinct_sets(right, right_id, tok_col)
-    freq = _token_freq(sl, sr)
-    cand = _candidates(_prefix_rows(sl, freq, cutoff), _prefix_rows(sr, freq, cutoff), cutoff, ordered=False)
-    return _verify(cand, sl, sr, cutoff)
+    rl, ml = _collapse_copies(sl)
+    rr, mr = _collapse_copies(sr)
+    freq = _token_freq(rl, rr)
+    cand = _candidates(_prefix_rows(rl, freq, cutoff), _prefix_rows(rr, freq, cutoff), cutoff, ordered=False)
+    return _expand_pairs(_verify(cand, rl, rr, cutoff), ml, mr, ordered=False)
