@@ -266,7 +266,7 @@ def q_jaccard_pairs(spark, sf_dir):
 
 
 def q_jaccard_cross(spark, sf_dir):
-    sel, v, _ = graph_parts(spark, sf_dir)
+    _, v, _ = graph_parts(spark, sf_dir)
     _, tuples, _ = candidate_parts(spark, sf_dir)
     left = tuples.select(F.col("tid").alias("id"), feats.namespaced_tokens().alias("tokens"))
     right = v.select(F.col("vid").alias("id"), feats.namespaced_tokens().alias("tokens"))
@@ -303,14 +303,14 @@ def q_modularity_of(spark, sf_dir):
 
 
 def q_community_affinity(spark, sf_dir):
-    sel, v, _ = graph_parts(spark, sf_dir)
+    _, v, _ = graph_parts(spark, sf_dir)
     _, tuples, _ = candidate_parts(spark, sf_dir)
     aff = graph.candidate_affinity(tuples, v, standins.fixed_membership(v), GRAPH_CUTOFF)
     return aff.join(tuples.select("tid", "tkey"), "tid").select("tkey", "cid", "e")
 
 
 def _admitted(spark, sf_dir):
-    sel, v, e = graph_parts(spark, sf_dir)
+    _, v, e = graph_parts(spark, sf_dir)
     cand, tuples, members = candidate_parts(spark, sf_dir)
     memb = standins.fixed_membership(v)
     aff = graph.candidate_affinity(tuples, v, memb, GRAPH_CUTOFF)
@@ -414,8 +414,8 @@ def q_community_compare(spark, sf_dir):
 
 def q_admit_users_detected(spark, sf_dir):
     """The full gate: communities found by G6 instead of a fixed membership."""
-    sel, v, e = graph_parts(spark, sf_dir)
-    cand, tuples, members = candidate_parts(spark, sf_dir)
+    _, v, e = graph_parts(spark, sf_dir)
+    _, tuples, members = candidate_parts(spark, sf_dir)
     memb = communities.greedy_modularity(e)
     aff = graph.candidate_affinity(tuples, v, memb, GRAPH_CUTOFF)
     gated = assign.gate(aff, graph.community_share(e, memb))
