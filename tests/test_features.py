@@ -118,3 +118,13 @@ def test_weight_lines(spark):
     assert got == {("demo", "F"): 0.5, ("keywords", "car"): -1.25, ("geo", "1"): None}
     top = feats.top_features(feats.parse_weight_lines(lines), 1).collect()
     assert (top[0].ns, top[0].token) == ("keywords", "car")
+
+
+def test_dates_and_casts(spark):
+    from audix.functions import text as T
+    df = spark.createDataFrame([("-2.5",), ("x",)], "s string")
+    got = [r.v for r in df.select(T.safe_abs_double(F.col("s")).alias("v")).collect()]
+    assert got == [2.5, None]
+    r = spark.range(1).select(T.day_offset("20250205", -400).alias("a"), T.day_offset("20240101", -1).alias("b"),
+                              T.day_offset("20240101", 30).alias("c")).first()
+    assert (r.a, r.b, r.c) == ("20240102", "20231231", "20240131")
