@@ -29,6 +29,7 @@ from audix.session import cut_lineage
 LOSSES = ("squared", "logistic", "hinge", "quantile")
 DEFAULT_BITS = 24
 DEFAULT_PASSES = 10
+NO_CAP = 1 << 30
 
 
 def training_frame(rows: DataFrame, id_col: str = "sid") -> DataFrame:
@@ -47,9 +48,10 @@ def vectorize(train: DataFrame, bits: int = DEFAULT_BITS, hashed: bool = False):
     if hashed:
         tf = HashingTF(inputCol="feats", outputCol="features", numFeatures=2 ** bits, binary=True)
         return tf, tf.transform(train)
-    n_feats = train.select(F.explode("feats")).distinct().count()
+    # CountVectorizer keeps min(distinct terms, vocabSize): with this bound
+    # every distinct feature gets a column.
     cv = CountVectorizer(inputCol="feats", outputCol="features", binary=True, minDF=1.0,
-                         vocabSize=max(1, n_feats)).fit(train)
+                         vocabSize=NO_CAP).fit(train)
     return cv, cv.transform(train)
 
 
