@@ -25,6 +25,9 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Iterative jobs checkpoint every round: let Spark delete the files of
+    # rounds that are no longer referenced instead of filling shared storage.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -50,7 +53,7 @@ def build_session(master: str | None = None, app: str = "audix",
 def apply_conf(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.ui"):
+        if k.startswith("spark.ui") or k.startswith("spark.cleaner"):
             continue
         try:
             spark.conf.set(k, v)
