@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from audix.llm import near_duplicates as near
+from audix.llm import packing
 from audix.llm.shared import read_table
 
 
+def word_vocabulary() -> str:
+    """Place of the word tokenizer's file."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents at 85 of 100."""
     return near.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
 
 
-QUERIES = {"op7_near_duplicates": op7_near_duplicates}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    return packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), word_vocabulary())
+
+
+QUERIES = {"op7_near_duplicates": op7_near_duplicates, "op8_packing": op8_packing}
 ORACLE: dict[str, str] = {}

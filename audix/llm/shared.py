@@ -49,3 +49,9 @@ def join_by_key(rows: DataFrame, table: DataFrame, key: list[str], count: str, t
 
 def text_bytes(c: str = "text") -> Column:
     return F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("long")
+
+
+def join_decision(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of whole documents with a table of distinct ids; a
+    null id is never in the table."""
+    return docs.join(ids.where(F.col("doc_id").isNotNull()).distinct(), "doc_id", how)

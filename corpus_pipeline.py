@@ -1,3 +1,39 @@
-STAGES = []
+"""Training-data pipeline: five stages over ``documents``, each written and reread.
+
+STAGES lists (name, function); a function takes (spark, docs, sf_dir) and returns
+the documents it keeps with their columns, the last one the packed pieces.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from audix.llm import near_duplicates as near
+from audix.llm import packing
+from audix.llm.queries import word_vocabulary
+from audix.llm.shared import join_decision, read_table, stored
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays."""
+    found = near.near_duplicates(docs.select("doc_id", "text"))
+    return join_decision(docs, found.where("not kept").select("doc_id"), "left_anti")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The kept documents as pieces of sequences of 4096 tokens."""
+    return packing.pack(docs, word_vocabulary())
+
+
+STAGES = [("near_dedup", near_dedup), ("packing", pack)]
+
+# Tokenisation and sketching have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
-run = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
