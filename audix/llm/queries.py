@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from audix.llm import near_duplicates as near
-from audix.llm import packing
+from audix.llm import packing, suffix_dedup
 from audix.llm.shared import read_table
 
 
@@ -25,5 +25,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), word_vocabulary())
 
 
-QUERIES = {"op7_near_duplicates": op7_near_duplicates, "op8_packing": op8_packing}
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of 200-byte strings that occur more than once, cut from all documents."""
+    return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"op4_suffix_dedup": op4_suffix_dedup, "op7_near_duplicates": op7_near_duplicates, "op8_packing": op8_packing}
 ORACLE: dict[str, str] = {}
