@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from audix.llm import near_duplicates as near
-from audix.llm import packing, suffix_dedup
+from audix.llm import language, line_dedup, packing, suffix_dedup
 from audix.llm.shared import read_table
 
 
@@ -25,10 +26,32 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), word_vocabulary())
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without their later repeated runs of lines; the text as a digest."""
+    found = line_dedup.line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"),
+                        F.col("n_removed").cast("long").alias("n_removed"),
+                        F.col("n_runs").cast("long").alias("n_runs"),
+                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from those that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    taught = docs.where(~language.held_out())
+    return language.identify(docs.select("doc_id", "text", language.held_out().alias("held_out")), taught)
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of 200-byte strings that occur more than once, cut from all documents."""
     return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"op4_suffix_dedup": op4_suffix_dedup, "op7_near_duplicates": op7_near_duplicates, "op8_packing": op8_packing}
+QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op3_language_id": op3_language_id,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op7_near_duplicates": op7_near_duplicates,
+    "op8_packing": op8_packing,
+}
 ORACLE: dict[str, str] = {}

@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audix.llm.batches import flat, mix64, random_words, spread, text_slices
+from audix.llm.batches import flat, mix64, spread, text_slices
+from audix.llm.rolling import RollingHash
 from audix.llm.run_index import RunIndex
 from audix.llm.shared import join_by_key, stored
 
@@ -42,32 +43,6 @@ SHARD_BYTES = 2 << 20
 HOT_CONTENTS = 4096
 CHUNK = 1 << 20              # window starts handled at once
 
-_BYTE = random_words(256, 23)
-_BASE = int(random_words(1, 29)[0]) | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-class _Rolling:
-    """Hashes of any byte range of a chunk, from prefix sums modulo 2**64."""
-
-    powers = inverses = np.zeros(0, np.uint64)
-
-    def __init__(self, data: np.ndarray):
-        n = len(data)
-        if len(_Rolling.powers) <= n:
-            size = max(n + 1, CHUNK + WINDOW + 1)
-            _Rolling.powers = np.cumprod(np.append(np.uint64(1), np.full(size, _BASE, np.uint64)))
-            _Rolling.inverses = np.cumprod(np.append(np.uint64(1), np.full(size, _INVERSE, np.uint64)))
-        self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[data] * _Rolling.powers[:n], out=self.sums[1:])
-
-    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self.sums[end] - self.sums[start]) * _Rolling.inverses[start])
-
-    def all(self, size: int) -> np.ndarray:
-        n = len(self.sums) - size
-        return mix64((self.sums[size:] - self.sums[:n]) * _Rolling.inverses[:n])
-
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours, by block prefix and suffix minima."""
@@ -91,7 +66,7 @@ def fragments(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram:
     for a in range(0, max(len(data) - window + 1, 0), chunk):
         part = data[a:a + chunk + window - 1]
         starts = len(part) - window + 1
-        roll = _Rolling(part)
+        roll = RollingHash(part)
         grams = roll.all(gram)
         low = np.uint64((1 << 24) - 1)
         key = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
@@ -186,7 +161,7 @@ def _windows(window: int):
             data, offsets = flat(batch.column(batch.schema.get_field_index("bytes")))
             n = np.maximum(np.diff(offsets) - window + 1, 0)
             at, owner = spread(offsets[:-1], n), pa.array(np.repeat(np.arange(len(n)), n))
-            hashes = _Rolling(data).of(at, at + window)
+            hashes = RollingHash(data).of(at, at + window)
             lo = np.repeat(batch.column(batch.schema.get_field_index("lo")).to_numpy(), n)
             names = ["did", "th", "anchor", "alone"]
             yield pa.RecordBatch.from_arrays(
