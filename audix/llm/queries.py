@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audix.llm import near_duplicates as near
-from audix.llm import language, line_dedup, packing, suffix_dedup
+from audix.llm import byte_bpe, language, line_dedup, packing, suffix_dedup
 from audix.llm.shared import read_table
 
 
@@ -47,11 +47,19 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of all documents, and the bytes they decode to, as digests."""
+    import public_tokenizers
+    return byte_bpe.encode_texts(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_packing": op8_packing,
+    "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE: dict[str, str] = {}
