@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from audix.llm.batches import ragged, spread, text_slices
 
 LEAF_BYTES = 48
-CACHE_CUTS = 300_000
+CACHE_CUTS = 600_000
 CACHE_PAIRS = 500_000
 
 _SPACE = np.zeros(256, bool)

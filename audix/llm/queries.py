@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audix.llm import near_duplicates as near
-from audix.llm import byte_bpe, graph_search, language, line_dedup, packing, suffix_dedup, top_k
+from audix.llm import byte_bpe, graph_search, id_files, language, line_dedup, packing, suffix_dedup, top_k
 from audix.llm.shared import read_table
 
 
@@ -16,6 +16,12 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written in context-mixed blocks and read back."""
+    files = id_files.write_ids(read_table(spark, sf_dir, "documents").select("doc_id", "text"), word_vocabulary())
+    return id_files.read_ids(files)
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents at 85 of 100."""
     return near.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"), percent=85)
@@ -71,6 +77,7 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_graph_search": op5_graph_search,
+    "op6_id_files": op6_id_files,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_packing": op8_packing,
     "op9_exact_top_k": op9_exact_top_k,
