@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audix.llm import near_duplicates as near
-from audix.llm import byte_bpe, graph_search, id_files, language, line_dedup, packing, suffix_dedup, top_k
+from audix.llm import byte_bpe, graph_search, id_files, language, licences, line_dedup, packing, suffix_dedup, top_k
 from audix.llm.shared import read_table
 
 
@@ -32,6 +32,20 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents").select("doc_id", "text"), word_vocabulary())
 
 
+def document_paths(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: a folder for each source, folders of 512
+    ids in it, and folders of 32 ids in those."""
+    return docs.select(F.col("doc_id").alias("file_id"), "text", F.concat_ws(
+        "/", "source", F.expr("doc_id div 512").cast("string"), F.expr("doc_id div 32").cast("string"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))).alias("path"))
+
+
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, by its notices or its nearest ancestor folder."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return licences.scan(document_paths(docs)).withColumnRenamed("file_id", "doc_id")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without their later repeated runs of lines; the text as a digest."""
     found = line_dedup.line_dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -73,6 +87,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licence_scan": op1_licence_scan,
     "op2_line_dedup": op2_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_suffix_dedup": op4_suffix_dedup,

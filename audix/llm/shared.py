@@ -47,6 +47,19 @@ def join_by_key(rows: DataFrame, table: DataFrame, key: list[str], count: str, t
     return rows.join(heavy, key, how).unionByName(rest.join(light, key, how))
 
 
+# Size up to which a table is broadcast instead of shuffled against.
+BROADCAST_BYTES = 32 << 20
+
+
+def small(table: DataFrame, row_bytes: int, lists: Column | None = None) -> DataFrame:
+    """``table`` (a stored one) marked for broadcast if its counted rows, and
+    the counted items of its lists, take at most BROADCAST_BYTES; else as it
+    is, for a shuffle join of the same rows."""
+    items = F.sum(lists) if lists is not None else F.lit(0)
+    n = table.agg(F.count("*").alias("rows"), F.coalesce(items, F.lit(0)).alias("items")).first()
+    return F.broadcast(table) if n.rows * row_bytes + n["items"] * 8 <= BROADCAST_BYTES else table
+
+
 def text_bytes(c: str = "text") -> Column:
     return F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("long")
 
