@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from audix.llm.batches import mix64, text_slices
 from audix.llm.rolling import RollingHash
-from audix.llm.shared import join_by_key, stored
+from audix.llm.shared import join_by_key, small, stored
 
 NOISE, WINDOW = 2, 2
 
@@ -152,16 +152,18 @@ def line_dedup(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) -> Dat
     per_doc = runs.groupBy("did", "th").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     covered = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"]))))
     hit = stored(per_doc.select("did", "th", F.size("runs").alias("n_runs"), covered.alias("covered")), "covered")
-    joined = base.join(hit, ["did", "th"], "left")
+    joined = base.join(small(hit, 64, F.size("covered")), ["did", "th"], "left")
 
     lines = F.split("text", "\n")
     solid = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(_NOT_BLANK), i)), lambda i: i.isNotNull())
-    hit_rows = joined.where("n_runs is not null").withColumn("lines", lines).withColumn("solid", solid)
-    gone = hit_rows.withColumn("gone", F.transform("covered", lambda k: F.get("solid", k)))
+    gone = F.transform("covered", lambda k: F.get("solid", k))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
-    cut = gone.withColumn("text", F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")) \
-        .withColumn("n_lines", F.size("solid")).withColumn("n_removed", F.size("covered"))
-    rest = joined.where("n_runs is null").withColumn("n_runs", F.lit(0)).withColumn("n_removed", F.lit(0)) \
-        .withColumn("n_lines", F.coalesce(F.size(F.filter(lines, lambda x: x.rlike(_NOT_BLANK))), F.lit(0)))
-    names = [*docs.columns, "n_lines", "n_removed", "n_runs"]
-    return cut.select(*names).unionByName(rest.select(*names))
+    cut = F.array_join(F.transform(kept, lambda i: F.get("lines", i)), "\n")
+    hit_row = F.col("n_runs").isNotNull()
+    return (joined.withColumn("lines", lines).withColumn("solid", solid)
+            .withColumn("gone", F.when(hit_row, gone))
+            .withColumn("text", F.when(hit_row, cut).otherwise(F.col("text")))
+            .withColumn("n_lines", F.coalesce(F.size("solid"), F.lit(0)))
+            .withColumn("n_removed", F.when(hit_row, F.size("covered")).otherwise(0))
+            .withColumn("n_runs", F.coalesce("n_runs", F.lit(0)))
+            .select(*docs.columns, "n_lines", "n_removed", "n_runs"))
