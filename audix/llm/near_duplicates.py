@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from audix.llm.batches import mix64, ragged, random_words, spread, text_slices
 from audix.llm.components import components
-from audix.llm.shared import join_by_key, stored
+from audix.llm.shared import join_by_key, small, stored
 
 SHINGLE_WORDS = 5
 BANDS, BAND_ROWS = 32, 4
@@ -202,9 +202,9 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = SHINGLE_WOR
     headed = stored(join_by_key(placed.drop("n"), heads, ["key"], "n", n_rows), "headed")
 
     # 3. members against heads, on full sets
-    need = headed.select("doc_id").distinct()
-    sets = stored(base.join(need, "doc_id", "left_semi")
-                  .mapInArrow(_sets(words), "doc_id long, items array<long>"), "sets").dropDuplicates(["doc_id"])
+    need = stored(headed.select("doc_id").distinct(), "need")
+    sets = stored(base.join(small(need, 16), "doc_id", "left_semi")
+                  .mapInArrow(_sets(words), "doc_id long, items array<long>"), "sets")
     star = headed.where(F.col("doc_id") != F.col("head")).select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
     checked = stored(_verified(star.distinct(), sets), "checked")
     linked = 100 * F.col("common") >= percent * F.col("both")
