@@ -30,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from audix.llm.batches import mix64, text_slices
+from audix.llm.batches import text_slices
+from audix.llm.shared import packed
 
 DIMENSIONS = 8192
 GRAMS = (1, 2, 3, 4)
@@ -38,6 +39,7 @@ LANDMARKS = 256
 TRAIN_ROWS = 2000
 RIDGE = 1e-2
 UNKNOWN = "und"
+RESULTS = ["lang_pred", "score"]
 BATCH = 512
 # Most languages told apart: the most frequent labels.
 LANGUAGES = 100
@@ -124,7 +126,7 @@ def training_sample(labelled: DataFrame, rows: int = LANDMARKS + TRAIN_ROWS) ->
     return marks.groupBy("doc_id", "lang").agg(F.min("marks").alias("marks")).orderBy(order, "doc_id", "lang").collect()
 
 
-def _score(model: Model, keep: list[str]):
+def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in text_slices(batches):
             best, top = np.zeros(len(s), np.int64), np.zeros(len(s), np.float32)
@@ -139,8 +141,7 @@ def _score(model: Model, keep: list[str]):
             guess = names[np.where(lettered, best, len(model.languages))]
             score = np.where(lettered, np.clip(top, 0, 1), 0).astype(np.float64)
             yield pa.RecordBatch.from_arrays(
-                [s.rows.column(s.rows.schema.get_field_index(c)) for c in keep]
-                + [pa.array(guess, pa.string()), pa.array(score)], keep + ["lang_pred", "score"])
+                [s.rows.column(0), pa.array(guess, pa.string()), pa.array(score)], ["row", *RESULTS])
     return run
 
 
@@ -152,14 +153,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """All columns of ``docs`` but text, then lang_pred and score. ``labelled``
     (doc_id, text, lang) trains; only its text and language are learned from."""
-    letter = F.col("text").rlike(r"\p{L}")
+    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     sample = training_sample(labelled.where(F.col("lang").isNotNull()))
-    keep = [f for f in docs.schema.fields if f.name != "text"]
-    rows = docs.select(*[f.name for f in keep], F.lower(F.col("text").cast("string")).alias("text"),
-                       F.coalesce(letter, F.lit(False)).alias("lettered"))
+    rows = packed(docs, RESULTS).select("row", F.lower("text").alias("text"), letter.alias("lettered"))
     if not sample:
-        return rows.select(*[f.name for f in keep], F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return rows.select("row.*", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     marks = np.unpackbits(np.frombuffer(b"".join(r.marks for r in sample), np.uint8)).reshape(len(sample), -1)
     model = fit(marks, [r.lang for r in sample])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep) + ", lang_pred string, score double"
-    return rows.mapInArrow(_score(model, [f.name for f in keep]), schema)
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, lang_pred string, score double"
+    return rows.mapInArrow(_score(model), schema).select("row.*", *RESULTS)

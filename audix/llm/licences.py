@@ -34,7 +34,7 @@ from audix.llm.shared import join_by_key, stored
 WORD = "[a-z0-9]+"
 LINE_SHARE = 0.6
 LEAST_COSINE = 0.6
-LICENCE_SHARE = 0.3
+LICENCE_SHARE = 0.5
 LICENCE_NAME = r"(?i)^(un)?licen[cs]e|^copying|^notice"
 
 # Customary notices and opening words of public licences.

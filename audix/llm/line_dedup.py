@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from audix.llm.batches import mix64, text_slices
 from audix.llm.rolling import RollingHash
-from audix.llm.shared import join_by_key, small, stored
+from audix.llm.shared import join_by_key, packed, small, stored
 
 NOISE, WINDOW = 2, 2
 
@@ -142,11 +142,14 @@ def repeated_runs(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) ->
             .drop("part"))
 
 
+RESULTS = ["n_lines", "n_removed", "n_runs"]
+
+
 def line_dedup(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) -> DataFrame:
     """All rows and columns of ``docs``, the text without its later repeated
     runs, with n_lines and n_removed (lines that are not blank) and n_runs."""
-    base = (docs.withColumn("text", F.col("text").cast("string"))
-            .withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)))
+    base = (packed(docs, RESULTS)
+            .withColumn("did", F.coalesce(F.col("doc_id"), F.lit(-2**63)))
             .withColumn("th", F.xxhash64(F.coalesce("text", F.lit("")))))
     runs = repeated_runs(base.select("did", "th", "text"), noise, window)
     per_doc = runs.groupBy("did", "th").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
@@ -166,4 +169,4 @@ def line_dedup(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) -> Dat
             .withColumn("n_lines", F.coalesce(F.size("solid"), F.lit(0)))
             .withColumn("n_removed", F.when(hit_row, F.size("covered")).otherwise(0))
             .withColumn("n_runs", F.coalesce("n_runs", F.lit(0)))
-            .select(*docs.columns, "n_lines", "n_removed", "n_runs"))
+            .select("row.*", "text", *RESULTS))

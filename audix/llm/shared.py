@@ -64,6 +64,15 @@ def text_bytes(c: str = "text") -> Column:
     return F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("long")
 
 
+def packed(docs: DataFrame, results: list[str]) -> DataFrame:
+    """(row, doc_id, text): the columns of ``docs`` travel in one struct, so that
+    no name of theirs meets one of an operator; of columns named like a result,
+    the result stays."""
+    keep = [c for c in docs.columns if c not in ("text", *results)]
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
+                       F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def join_decision(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Semi or anti join of whole documents with a table of distinct ids; a
     null id is never in the table."""

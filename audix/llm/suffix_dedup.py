@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from audix.llm.batches import flat, mix64, spread, text_slices
 from audix.llm.rolling import RollingHash
 from audix.llm.run_index import RunIndex
-from audix.llm.shared import join_by_key, stored
+from audix.llm.shared import join_by_key, packed, stored
 
 WINDOW, GRAM = 200, 64
 SHARD_BYTES = 2 << 20
@@ -193,10 +193,9 @@ def _cut(window: int, keep_text: bool):
                 digests.append(hashlib.sha256(rest).hexdigest())
                 if keep_text:
                     texts.append(rest.decode("utf-8", "ignore"))
-            keep = [c for c in s.rows.schema.names if c not in ("text", "spans")]
-            columns = [s.rows.column(s.rows.schema.get_field_index(c)) for c in keep]
-            columns += [pa.array(np.diff(s.offsets)), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
-                        pa.array(digests, pa.string())]
+            keep = ["row"]
+            columns = [s.rows.column(0), pa.array(np.diff(s.offsets)), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()),
+                       pa.array(digests, pa.string())]
             keep += ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
             if keep_text:
                 columns.append(pa.array(texts, pa.string()))
@@ -247,17 +246,21 @@ def marked_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     return out
 
 
+RESULTS = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"]
+
+
 def suffix_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, keep_text: bool = False) -> DataFrame:
     """Every row of docs(doc_id, text, ...) with its other columns and n_bytes,
     n_removed, n_spans (maximal removed runs), kept_sha256 (and kept_text: the
     remaining bytes, partial characters at the cuts left out)."""
-    base = (docs.withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-            .withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit(-2**63)))
+    base = (packed(docs, RESULTS)
+            .withColumn("text", F.coalesce("text", F.lit("")))
+            .withColumn("did", F.coalesce(F.col("doc_id"), F.lit(-2**63)))
             .withColumn("th", F.xxhash64("text")))
     marks = marked_windows(base, window, gram)
     spans = stored(marks.groupBy("did", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "spans")
-    names = [f for f in docs.schema.fields if f.name != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names)
-    schema += ", n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if keep_text else "")
-    joined = base.join(spans, ["did", "th"], "left").select(*[f.name for f in names], "text", "spans")
-    return joined.mapInArrow(_cut(window, keep_text), schema)
+    joined = base.join(spans, ["did", "th"], "left").select("row", "text", "spans")
+    schema = f"row {base.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, " \
+             "kept_sha256 string" + (", kept_text string" if keep_text else "")
+    return joined.mapInArrow(_cut(window, keep_text), schema) \
+        .select("row.*", *[c for c in RESULTS if keep_text or c != "kept_text"])

@@ -28,23 +28,27 @@ from audix.llm.shared import join_decision, read_table, stored
 LEAST_SCORE = 0.1
 
 
-def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
+def _packed(docs: DataFrame) -> DataFrame:
+    """What operators read, and the whole row beside it."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+
+
+def _with_text(found: DataFrame, columns: list[str], text: str) -> DataFrame:
     """The columns of documents, with a new text and its length."""
     new = {"text": F.col(text), "n_chars": F.length(text).cast("long")}
-    return docs.select(*[new[c].alias(c) if c in new else F.col(c) for c in columns])
+    return found.select(*[new.get(c, F.col(f"document.`{c}`")).alias(c) for c in columns])
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach."""
     taught = docs.where(~language.held_out()).select("doc_id", "text", "lang")
-    found = language.identify(docs.withColumn("whole", F.col("text")), taught)
     clear = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return found.where(clear).withColumnRenamed("whole", "text").select(*docs.columns)
+    return language.identify(_packed(docs), taught).where(clear).select("document.*")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later repeated runs of lines."""
-    return _with_text(line_dedup.line_dedup(docs), docs.columns, "text")
+    return _with_text(line_dedup.line_dedup(_packed(docs)), docs.columns, "text")
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +59,7 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_suffixes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without byte strings of 200 that also start elsewhere."""
-    return _with_text(suffix_dedup.suffix_dedup(docs, keep_text=True), docs.columns, "kept_text")
+    return _with_text(suffix_dedup.suffix_dedup(_packed(docs), keep_text=True), docs.columns, "kept_text")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
