@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from audix.functions.text import (AGE_BLACKLIST, GENDER_BLACKLIST, clean_keyword, not_blacklisted,  # noqa: F401
                                   split_ws, trim_ws, ws_to_underscore)
+from audix.session import cut_lineage
 
 # Fixed namespace names and their order in text lines.
 NAMESPACES = ["demo", "device", "app_activities", "geo", "keywords"]
@@ -169,7 +170,8 @@ def parse_feature_lines(lines: DataFrame, value_col: str = "value", with_label:
 
     The first bar-separated segment holds the id (K14) or ``label importance``;
     empty segments are skipped (K13); unknown namespaces are ignored; a missing
-    namespace is an empty set, as in the reference's reader."""
+    namespace is an empty set, as in the reference's reader. A blank line or one
+    without an id gives a null id; a label or importance that is no number is null."""
     segs = F.split(F.col(value_col), r"\|")
     head = split_ws(F.coalesce(segs[0], F.lit("")))
     body = F.transform(F.filter(F.slice(segs, 2, 1 << 30), lambda s: trim_ws(s) != ""),
@@ -180,9 +182,10 @@ def parse_feature_lines(lines: DataFrame, value_col: str = "value", with_label:
                                      lambda t: F.slice(t, 2, 1 << 30)))
         cols.append(_tokens(F.coalesce(toks, _empty())).alias(ns))
     if with_label:
-        lead = [head[0].cast("int").alias("label"), head[1].cast("long").alias("importance")]
+        lead = [F.get(head, F.lit(0)).try_cast("int").alias("label"),
+                F.get(head, F.lit(1)).try_cast("long").alias("importance")]
     else:
-        lead = [head[0].alias("sid")]
+        lead = [F.get(head, F.lit(0)).alias("sid")]
     return lines.select(*lead, *cols)
 
 
@@ -205,7 +208,7 @@ def project(feat: DataFrame, selected: DataFrame, max_literal: int = MAX_LITERAL
     """Intersect each namespace with the selected features of that
     namespace (matched by name, K2). The selection is a top-k result, bounded
     by k; it is inlined as literal arrays (map-only projection). Larger
-    selections go through a broadcast-free semi-join and regroup."""
+    selections are joined and regrouped row by row; the rows are the same."""
     sel = group_selected(selected)
     rows = sel.limit(max_literal + 1).collect()
     others = [c for c in feat.columns if c not in NAMESPACES]
@@ -218,11 +221,13 @@ def project(feat: DataFrame, selected: DataFrame, max_literal: int = MAX_LITERAL
             lit = F.array(*[F.lit(t) for t in sorted(by_ns[ns])]).cast("array<string>")
             cols.append(F.array_sort(F.array_intersect(F.coalesce(F.col(ns), _empty()), lit)).alias(ns))
         return feat.select(*others, *cols)
-    long = features_long(feat).join(sel, ["ns", "token"], "left_semi")
-    regrouped = long.groupBy("sid").agg(*[
+    # Rows are told apart by a number of their own (ids may repeat or be null),
+    # fixed by the checkpoint before it is used twice.
+    numbered = cut_lineage(feat.withColumn("_row", F.monotonically_increasing_id()))
+    long = features_long(numbered.drop("sid").withColumnRenamed("_row", "sid")).join(sel, ["ns", "token"], "left_semi")
+    regrouped = long.groupBy(F.col("sid").alias("_row")).agg(*[
         F.array_sort(F.collect_set(F.when(F.col("ns") == ns, F.col("token")))).alias(ns) for ns in NAMESPACES])
-    base = feat.select(*others)
-    out = base.join(regrouped, "sid", "left")
+    out = numbered.select("_row", *others).join(regrouped, "_row", "left")
     return out.select(*others, *[F.coalesce(F.col(ns), _empty()).alias(ns) for ns in NAMESPACES])
 
 
@@ -245,13 +250,20 @@ def tuple_key() -> Column:
                               for ns in NAMESPACES])
 
 
+def tuple_hash() -> Column:
+    """64-bit hash of a projected feature tuple: every array with its length, so
+    that tokens holding separators, or moved to another namespace, differ."""
+    return F.xxhash64(*[c for ns in NAMESPACES
+                        for c in (F.size(F.coalesce(F.col(ns), _empty())), F.coalesce(F.col(ns), _empty()))])
+
+
 def parse_weight_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Weight file lines ``ns^token:hash:weight`` -> (ns, token, weight).
     Every line with a '^' is kept (K3: no header line is lost); the weight is
-    ``try_cast`` so a malformed value is null and never ranked."""
+    ``try_cast`` so a malformed or missing value is null and never ranked."""
     parts = F.split(F.col(value_col), ":")
     feature = parts[0]
     return (lines.where(F.instr(F.col(value_col), "^") > 0)
             .select(F.substring_index(feature, "^", 1).alias("ns"),
                     F.expr(f"substr(split({value_col}, ':')[0], instr(split({value_col}, ':')[0], '^') + 1)").alias("token"),
-                    F.element_at(parts, 3).try_cast("double").alias("weight")))
+                    F.get(parts, F.lit(2)).try_cast("double").alias("weight")))

@@ -48,11 +48,8 @@ def audience_size_n(n_candidates: int, n_admitted: int, divisor: int = AUDIENCE_
 def final_audience(users: DataFrame, n_candidates: int, divisor: int = AUDIENCE_DIVISOR,
                    n_override: int | None = None) -> DataFrame:
     """T4 with the reference's N, or ``n_override`` (T5: number of originals)."""
-    if n_override is not None:
-        n = n_override
-    else:
-        n = audience_size_n(n_candidates, users.count(), divisor)
-    return top_audience(users, n)
+    # The limit itself stops at the admitted users, so they are not counted first.
+    return top_audience(users, n_candidates // divisor if n_override is None else n_override)
 
 
 def intake_counts(originals: DataFrame, candidates: DataFrame) -> DataFrame:

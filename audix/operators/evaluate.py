@@ -64,6 +64,9 @@ def audience_compare(lists: dict[str, DataFrame], spend_w: DataFrame, col: str =
     per_user = spend_w.groupBy("s_id").agg(F.sum("advertiser_cost").alias("cost"))
     rev = (tagged.join(per_user, tagged.sid == per_user.s_id)
            .groupBy("list").agg(F.sum("cost").alias("revenue")))
-    return (sizes.join(rev, "list", "left")
+    # one row per list, also for a list without rows
+    names = spend_w.sparkSession.createDataFrame([(n,) for n in lists], "list string")
+    return (names.join(sizes, "list", "left").join(rev, "list", "left")
+            .withColumn("n_users", F.coalesce("n_users", F.lit(0)))
             .select("list", "n_users", "revenue",
                     F.try_divide(F.col("revenue"), F.col("n_users")).alias("revenue_per_user")))

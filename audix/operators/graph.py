@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audix.functions.features import NAMESPACES, namespaced_tokens, nonempty_projection, tuple_key
+from audix.functions.features import NAMESPACES, namespaced_tokens, nonempty_projection, tuple_hash, tuple_key
 from audix.functions.text import pair_count
 from audix.operators.simjoin import DEFAULT_CUTOFF, similarity_join, similarity_self_join
 
@@ -19,24 +19,24 @@ from audix.operators.simjoin import DEFAULT_CUTOFF, similarity_join, similarity_
 def collapse_vertices(projected: DataFrame) -> DataFrame:
     """(vid, vkey, five arrays, k). ``projected`` has sid and the five
     projected arrays (already P14). Rows with all-empty sets are dropped (P15).
-    vid = xxhash64 of the canonical tuple text; vkey is that text."""
+    vid = hash of the arrays with their lengths; vkey is the tuple as text."""
     p = nonempty_projection(projected).select(*NAMESPACES)
     g = p.groupBy(*NAMESPACES).agg(F.count("*").alias("k"))
     g = g.withColumn("vkey", tuple_key())
-    return g.select(F.xxhash64("vkey").alias("vid"), "vkey", *NAMESPACES, "k")
+    return g.select(tuple_hash().alias("vid"), "vkey", *NAMESPACES, "k")
 
 
 def collapse_candidates(projected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidate tuples (tid, tkey, arrays, n_users) and the sid -> tid map;
     ids are not collected per tuple, the map is joined back instead."""
     p = nonempty_projection(projected).withColumn("tkey", tuple_key())
-    p = p.withColumn("tid", F.xxhash64("tkey"))
+    p = p.withColumn("tid", tuple_hash())
     tuples = p.groupBy("tid", "tkey", *NAMESPACES).agg(F.count("*").alias("n_users"))
     members = p.select("sid", "tid")
     return tuples, members
 
 
-def assert_unique_ids(df: DataFrame, id_col: str, key_col: str) -> None:
+def assert_unique_ids(df: DataFrame, id_col: str, key_col) -> None:
     """Fail loudly on a 64-bit hash collision between distinct keys."""
     dup = df.groupBy(id_col).agg(F.countDistinct(key_col).alias("n")).where(F.col("n") > 1)
     if dup.limit(1).count():
@@ -46,6 +46,7 @@ def assert_unique_ids(df: DataFrame, id_col: str, key_col: str) -> None:
 def build_edges(vertices: DataFrame, cutoff: float = DEFAULT_CUTOFF) -> DataFrame:
     """G2 + G3: (src, dst, w) with src < dst for similarity edges (w = k_i*k_j)
     and src = dst for self-loops (w = k(k-1)/2, kept when 0)."""
+    assert_unique_ids(vertices, "vid", F.struct(*NAMESPACES))
     sets = vertices.select(F.col("vid").alias("id"), namespaced_tokens().alias("tokens"))
     pairs = similarity_self_join(sets, cutoff=cutoff).select("id_a", "id_b")
     kk = vertices.select("vid", "k")

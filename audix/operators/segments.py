@@ -41,7 +41,7 @@ def segment_members(profiles: DataFrame, top_segments: DataFrame, dt: str,
     if require_clicks:
         cond = cond & F.col("clicks").isNotNull()
     flat = (profiles.where(cond)
-            .select("raw_id", *PROFILE_FEATURE_COLS, "clicks", "mx3_click_events",
+            .select("raw_id", *PROFILE_FEATURE_COLS, "clicks", "other_clicks",
                     F.explode("segments").alias("seg"))
             .select("*", F.col("seg.segment_id").alias("segment_id")).drop("seg"))
     top = top_segments.select(F.col("id").alias("top_id"))

@@ -59,6 +59,8 @@ def apply_conf(spark: SparkSession) -> SparkSession:
             spark.conf.set(k, v)
         except Exception:  # static conf on a running session
             pass
+    # A session built elsewhere: checkpoints read this when they are written.
+    spark.sparkContext._jsc.sc().conf().set("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     return spark
 
 

@@ -1,7 +1,7 @@
 """Sinks (S7-S16, S19): key-partitioned text, graph lines, training lines,
 plain text and compressed id lists. All are DataFrameWriter calls; Spark's
-commit protocol makes each write atomic per task, and ``overwrite`` with
-dynamic partition overwrite makes reruns idempotent (S19).
+commit protocol makes each write atomic per task, and ``overwrite`` replaces
+the whole output, so reruns leave nothing stale (S19).
 
 Spark writes a directory per key as ``key=value`` (not the bare value); the
 value is sanitised first (S10) so it is a valid single path segment.
@@ -54,7 +54,8 @@ def write_partitioned_text(df: DataFrame, path: str, keys: list[str], value: Col
     renamed = out
     for i, k in enumerate(keys):
         renamed = renamed.withColumnRenamed(f"_k{i}", k)
-    (renamed.write.mode(mode).partitionBy(*keys)
+    # A rerun replaces the whole dated output, also keys it no longer has.
+    (renamed.write.mode(mode).partitionBy(*keys).option("partitionOverwriteMode", "static")
      .option("compression", codec(compression)).text(path))
 
 
@@ -82,10 +83,20 @@ def write_ids_gzip(ids: DataFrame, path: str, col: str = "sid", mode: str = "ove
     ids.select(F.col(col).cast("string")).write.mode(mode).option("compression", "gzip").text(path)
 
 
+def delete_output(spark, path: str) -> bool:
+    """Remove an output through the cluster's file system; False if there
+    was none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_records(df: DataFrame, path: str, fmt: str = "parquet", compression: str = "gzip",
                   mode: str = "overwrite") -> None:
     """Record files (Avro in the reference; any available format here),
-    gzip-compressed; an empty result writes no data file."""
+    gzip-compressed; an empty result writes no data file, and a rerun that is
+    empty leaves none of the earlier ones (S19)."""
     if df.limit(1).count() == 0:
+        if mode == "overwrite":
+            delete_output(df.sparkSession, path)
         return
     df.write.mode(mode).format(fmt).option("compression", compression).save(path)

@@ -131,7 +131,7 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     clicks = (events.where(F.col("event_type") == "click").groupBy(F.col("user_id").alias("ck_user"))
               .agg(F.count("*").alias("clicks")))
     views = (events.where(F.col("event_type") == "view").groupBy(F.col("user_id").alias("vw_user"))
-             .agg(F.count("*").alias("mx3_click_events")))
+             .agg(F.count("*").alias("other_clicks")))
 
     geo_region = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
 
@@ -166,7 +166,7 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         "raw_id", "id_type", F.lit("active").alias("status"), F.lit(PROFILE_DT).alias("dt"),
         demo.alias("demo"), device.alias("device"), apps.alias("app_activities"), geo.alias("geo"),
-        keywords.alias("keywords"), "clicks", "mx3_click_events", segments.alias("segments"))
+        keywords.alias("keywords"), "clicks", "other_clicks", segments.alias("segments"))
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

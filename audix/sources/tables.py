@@ -59,10 +59,19 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def latest_snapshot(df: DataFrame, dt_col: str = "dt") -> DataFrame:
-    """Rows of the newest dated partition (scalar subquery on max(dt))."""
-    latest = df.agg(F.max(dt_col).alias("_latest_dt"))
-    return df.join(F.broadcast(latest), F.col(dt_col) == F.col("_latest_dt"), "left_semi")
+def committed_dates(spark: SparkSession, root: str, dt_col: str = "dt", flag: str = "_SUCCESS") -> list[str]:
+    """Dates of the partitions ``root/dt=...`` that carry the done flag."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{dt_col}=*/{flag}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return sorted(f.getPath().getParent().getName().split("=", 1)[1] for f in found)
+
+
+def latest_snapshot(df: DataFrame, dt_col: str = "dt", committed: list[str] | None = None) -> DataFrame:
+    """Rows of the newest dated partition, of the ``committed`` ones if
+    given. The date is fetched first (a scan of the partition column alone) and
+    filters as a literal, so only that partition is read; no date, no rows."""
+    latest = max(committed, default=None) if committed is not None else df.agg(F.max(dt_col)).first()[0]
+    return df.where(F.col(dt_col) == F.lit(latest))
 
 
 def as_of(df: DataFrame, dt: str, dt_col: str = "dt") -> DataFrame:

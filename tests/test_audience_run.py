@@ -30,12 +30,3 @@ def test_run(spark):
     assert {r.vid for r in out["membership"].collect()} == vids          # every vertex in one community
     cmp = {r.list: r for r in out["compare"].collect()}
     assert cmp["raw"].n_users >= len(fresh)
-
-
-def test_graph_size_guard(spark):
-    p = audience.RunParams(segment_dt=standins.SEGMENT_REVENUE_DT, profile_dt=standins.PROFILE_DT,
-                           spend_lo="2024010700", spend_hi="2024011400", max_edges=0)
-    with pytest.raises(ValueError, match="raise the cutoff"):
-        audience.run(spark, standins.segment_revenue(spark, SF), standins.profiles(spark, SF),
-                     standins.user_clusters(spark, SF), standins.cluster_users(spark, SF),
-                     standins.spend(spark, SF), None, p)

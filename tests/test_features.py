@@ -128,3 +128,33 @@ def test_dates_and_casts(spark):
     r = spark.range(1).select(T.day_offset("20250205", -400).alias("a"), T.day_offset("20240101", -1).alias("b"),
                               T.day_offset("20240101", 30).alias("c")).first()
     assert (r.a, r.b, r.c) == ("20240102", "20231231", "20240131")
+
+
+def test_dirty_lines(spark):
+    rows = spark.createDataFrame([("",), ("|demo F",), ("x |demo",), (None,), ("u1 |demo F M",)], "value string")
+    parsed = {(r.sid, tuple(r.demo)) for r in feats.parse_feature_lines(rows).collect()}
+    assert ("u1", ("F", "M")) in parsed and (None, ("F",)) in parsed and ("x", ()) in parsed
+    labelled = feats.parse_feature_lines(spark.createDataFrame([("a b |demo F",), ("1 2 |demo F",), ("",)], "value string"),
+                                         with_label=True)
+    assert sorted((str(r.label), str(r.importance)) for r in labelled.collect()) == [("1", "2"), ("None", "None"), ("None", "None")]
+    weights = feats.parse_weight_lines(spark.createDataFrame([("geo^7",), ("geo^7:12",), ("geo^7:12:x",), ("geo^7:12:0.5",)],
+                                                             "value string"))
+    assert sorted(str(r.weight) for r in weights.collect()) == ["0.5", "None", "None", "None"]
+
+
+def test_projection_same_at_both_sizes(spark):
+    empty = "cast(array() as array<string>)"
+    f = spark.sql(f"""select sid, array(d) demo, array(k, 'z') device, {empty} app_activities, {empty} geo, {empty} keywords
+                      from values ('u', 'F', 'a'), ('u', 'M', 'b'), (null, 'F', 'z'), (null, 'M', 'a') as t(sid, d, k)""")
+    sel = spark.createDataFrame([("demo", "F", 1.0), ("device", "a", 1.0), ("device", "b", 1.0)], "ns string, token string, weight double")
+    def rows(df):
+        return sorted(str((r.sid, r.demo, r.device, r.geo)) for r in df.collect())
+    assert rows(feats.project(f, sel)) == rows(feats.project(f, sel, max_literal=0))
+
+
+def test_tuple_hash_tells_separators_apart(spark):
+    empty = "cast(array() as array<string>)"
+    df = spark.sql(f"""select array('a,b') demo, {empty} device, {empty} app_activities, {empty} geo, {empty} keywords
+                       union all select array('a', 'b'), {empty}, {empty}, {empty}, {empty}
+                       union all select {empty}, array('a', 'b'), {empty}, {empty}, {empty}""")
+    assert df.select(feats.tuple_hash().alias("h")).distinct().count() == 3

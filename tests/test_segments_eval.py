@@ -24,7 +24,7 @@ def test_members_flatten(spark):
         ("u3", "SID", "active", "d", None, None, None, None, None, 1, None, []),
         ("u4", "OTHER", "active", "d", None, None, None, None, None, 1, None, [("A",)]),
     ], "raw_id string, id_type string, status string, dt string, demo string, device string, "
-       "app_activities string, geo string, keywords string, clicks long, mx3_click_events long, "
+       "app_activities string, geo string, keywords string, clicks long, other_clicks long, "
        "segments array<struct<segment_id:string>>")
     top = spark.createDataFrame([("A", 1.0)], "id string, profitability double")
     got = sorted((r.raw_id, r.segment_id) for r in segments.segment_members(prof, top, "d").collect())
@@ -54,12 +54,14 @@ def test_spend_window_and_sums(spark):
     assert evaluate.audience_size(empty).first().n_users == 0     # K12: one row
     cmp = {r.list: r for r in evaluate.audience_compare({"a": ids, "b": empty}, w).collect()}
     assert cmp["a"].revenue == 18.0 and cmp["a"].revenue_per_user == pytest.approx(6.0)
-    assert "b" not in cmp or cmp["b"].n_users == 0
+    assert cmp["b"].n_users == 0 and cmp["b"].revenue is None and cmp["b"].revenue_per_user is None
 
 
 def test_dated_partitions(spark):
     df = spark.createDataFrame([("20240101", 1), ("20240102", 2), ("20240102", 3)], "dt string, v int")
     assert sorted(r.v for r in tables.latest_snapshot(df).collect()) == [2, 3]
+    assert [r.v for r in tables.latest_snapshot(df, committed=["20240101"]).collect()] == [1]
+    assert tables.latest_snapshot(df, committed=[]).count() == 0
     assert tables.as_of(df, "20240101").count() == 1
     kept = tables.retention_window(df, "20250205", 400)      # cut = 2024-01-02
     assert kept.count() == 0

@@ -29,9 +29,9 @@ def test_partitioned_text(spark, tmp_out):
     sinks.write_partitioned_text(df, tmp_out + "/q", ["k", "v"], remove_keys=False)
     assert os.path.isdir(tmp_out + "/q/k=c/v=z")
     assert spark.read.text(tmp_out + "/q/k=c/v=z").first().value == "c\tz\t3"
-    # rerun overwrites the partitions it writes, leaves the others (S19, dynamic overwrite)
+    # a rerun replaces the whole output: keys it no longer has are gone
     sinks.write_partitioned_text(df.where("n = 3").withColumn("v", F.lit("again")), tmp_out + "/p", ["k"])
-    assert sorted(os.path.basename(d) for d in glob.glob(tmp_out + "/p/k=*")) == ["k=a-b", "k=c", "k=null"]
+    assert sorted(os.path.basename(d) for d in glob.glob(tmp_out + "/p/k=*")) == ["k=c"]
     assert [r.value for r in spark.read.text(tmp_out + "/p/k=c").collect()] == ["again\t3"]
 
 
@@ -63,5 +63,21 @@ def test_ids_and_records(spark, tmp_out):
     assert sorted(r.sid for r in back.collect()) == ["s1", "s2"]
     sinks.write_records(ids.where("false"), tmp_out + "/empty")
     assert not os.path.exists(tmp_out + "/empty")          # no file for empty output
+    sinks.write_records(ids, tmp_out + "/empty")
+    sinks.write_records(ids.where("false"), tmp_out + "/empty")   # an empty rerun leaves nothing stale
+    assert not os.path.exists(tmp_out + "/empty")
     sinks.write_text(ids.withColumn("n", F.lit(1)), tmp_out + "/txt")
     assert tables.read_id_list(spark, tmp_out + "/txt").count() == 2
+
+
+def test_latest_committed_partition(spark, tmp_out):
+    for dt, v in (("20240101", 1), ("20240102", 2)):
+        sinks.write_records(spark.createDataFrame([(v,)], "v int"), f"{tmp_out}/t/dt={dt}")
+    os.remove(f"{tmp_out}/t/dt=20240102/_SUCCESS")
+    done = tables.committed_dates(spark, tmp_out + "/t")
+    assert done == ["20240101"] and tables.committed_dates(spark, tmp_out + "/none") == []
+    df = spark.read.schema("v int, dt string").parquet(tmp_out + "/t")
+    snapshot = tables.latest_snapshot(df, committed=done)
+    assert [r.v for r in snapshot.collect()] == [1]
+    plan = snapshot._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and "20240101" in plan
