@@ -2,20 +2,27 @@
 
 Several registered queries share inputs (profiles, cluster matrices, the
 similarity graph). Each is materialised once per (application, data
-directory) with a reliable checkpoint into the cluster's shared
-``spark.checkpoint.dir``: later plans start from a short scan instead of the
-whole lineage, and the files survive the loss of any executor.
+directory) as Parquet in the cluster's shared ``spark.checkpoint.dir``: later
+plans start from a scan that reads only the columns and rows they need, and the
+files survive the loss of any executor.
 """
 
 from __future__ import annotations
 
 import functools
+import uuid
 
-from audix.session import cut_lineage
+from audix.session import checkpoint_dir
 
 _CACHE: dict = {}
 
 
+def _stored(spark, df, name: str):
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def memoized(fn):
     @functools.wraps(fn)
     def wrapper(spark, sf_dir, *args):
@@ -23,7 +30,8 @@ def memoized(fn):
         hit = _CACHE.get(key)
         if hit is None:
             out = fn(spark, sf_dir, *args)
-            hit = tuple(cut_lineage(d) for d in out) if isinstance(out, tuple) else cut_lineage(out)
+            hit = (tuple(_stored(spark, d, fn.__name__) for d in out) if isinstance(out, tuple)
+                   else _stored(spark, out, fn.__name__))
             _CACHE[key] = hit
         return hit
     return wrapper
