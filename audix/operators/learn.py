@@ -2,7 +2,8 @@
 
 The reference trains an external online learner on text lines. Here the same
 objectives are Spark ML estimators over binary sparse features named
-``namespace^token`` (M1), weighted by importance, without intercept:
+``namespace^token`` and hashed to 2^bits slots (M1), weighted by importance,
+without intercept:
 squared (LinearRegression), logistic (LogisticRegression), hinge (LinearSVC).
 Quantile loss has no Spark ML estimator and is a full-batch subgradient
 DataFrame loop (explode, join weights, group by feature). The weights of an
@@ -15,21 +16,20 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.feature import CountVectorizer, HashingTF
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audix.functions.features import NAMESPACES, namespaced_tokens
-from audix.functions.joins import small_side
 from audix.functions.rank import row_index
 from audix.session import cut_lineage
 
 LOSSES = ("squared", "logistic", "hinge", "quantile")
-DEFAULT_BITS = 24
+# 2^18 slots; the reference uses 2^24 and 2^30 (its weights are 8 bytes a slot).
+DEFAULT_BITS = 18
 DEFAULT_PASSES = 10
-NO_CAP = 1 << 30
 
 
 def training_frame(rows: DataFrame, id_col: str = "sid") -> DataFrame:
@@ -40,19 +40,27 @@ def training_frame(rows: DataFrame, id_col: str = "sid") -> DataFrame:
                        F.array_distinct(namespaced_tokens()).alias("feats"))
 
 
-def vectorize(train: DataFrame, bits: int = DEFAULT_BITS, hashed: bool = False):
-    """M1: binary sparse vectors. By default a vocabulary sized to the real
-    number of distinct features, so names stay known and no feature is
-    dropped (no cap). ``hashed=True`` uses HashingTF over 2^bits slots, as the
-    reference's learner does; its weights are then keyed by slot."""
-    if hashed:
-        tf = HashingTF(inputCol="feats", outputCol="features", numFeatures=2 ** bits, binary=True)
-        return tf, tf.transform(train)
-    # CountVectorizer keeps min(distinct terms, vocabSize): with this bound
-    # every distinct feature gets a column.
-    cv = CountVectorizer(inputCol="feats", outputCol="features", binary=True, minDF=1.0,
-                         vocabSize=NO_CAP).fit(train)
-    return cv, cv.transform(train)
+def _padded(feature) -> Column:
+    """A feature padded to whole 4-byte words: on these, the hash that places
+    features into slots and Spark SQL's ``hash`` agree. Tokens hold no spaces,
+    so different features stay different."""
+    return F.concat(feature, F.repeat(F.lit(" "), F.pmod(-F.octet_length(feature), F.lit(4)).cast("int")))
+
+
+def slot(feature, bits: int) -> Column:
+    """M1: the slot of a feature among 2^bits."""
+    return F.pmod(F.hash(_padded(feature)), F.lit(2 ** bits))
+
+
+def vectorize(train: DataFrame, bits: int = DEFAULT_BITS):
+    """M1: binary sparse vectors over 2^bits hash slots, as the reference's
+    learner has them: the model's size is fixed by ``bits``, not by the data,
+    and no feature is dropped; features that share a slot share a weight."""
+    tf = HashingTF(inputCol="_padded", outputCol="features", numFeatures=2 ** bits, binary=True)
+
+    def transform(df: DataFrame) -> DataFrame:
+        return tf.transform(df.withColumn("_padded", F.transform("feats", _padded))).drop("_padded")
+    return transform, transform(train)
 
 
 def _estimator(loss: str, passes: int):
@@ -72,23 +80,16 @@ def _with_label01(df: DataFrame) -> DataFrame:
     return df.withColumn("label01", F.when(F.col("label") > 0, 1.0).otherwise(0.0))
 
 
-def _named(spark, vocab: list, coef) -> DataFrame:
-    """M3: vocabulary zipped with coefficients -> (ns, token, weight)."""
-    import pandas as pd
-    arr = coef.toArray()
-    pdf = pd.DataFrame({"feature": pd.Series(vocab, dtype="object"), "weight": arr})
-    pdf = pdf[pdf["weight"] != 0.0]
-    df = spark.createDataFrame(pdf, "feature string, weight double")   # Arrow transfer
-    return _split_feature(df, "weight")
-
-
-def _slot_weights(spark, coef) -> DataFrame:
-    """Hashed model: non-zero weights keyed by slot (ns '#', token = slot)."""
-    import pandas as pd
-    sv = coef if hasattr(coef, "indices") else coef.toSparse()
-    keep = [(str(i), float(v)) for i, v in zip(sv.indices, sv.values) if v != 0.0]
-    pdf = pd.DataFrame({"ns": ["#"] * len(keep), "token": [t for t, _ in keep], "weight": [v for _, v in keep]})
-    return spark.createDataFrame(pdf, "ns string, token string, weight double")
+def _named(train: DataFrame, coef, bits: int) -> DataFrame:
+    """M3: (ns, token, weight) of every feature with a weight. The model's slots,
+    at most 2^bits, become a table, and the features' own slots are joined to
+    it, so names never pass through the driver."""
+    values = coef.toArray()
+    pairs = [(int(i), float(values[i])) for i in values.nonzero()[0]]
+    weights = train.sparkSession.createDataFrame(pairs, "slot int, weight double")
+    names = train.select(F.explode("feats").alias("feature")).distinct()
+    found = names.withColumn("slot", slot(F.col("feature"), bits).cast("int")).join(weights, "slot")
+    return _split_feature(found, "weight")
 
 
 def _split_feature(df: DataFrame, weight_col: str) -> DataFrame:
@@ -108,7 +109,7 @@ def quantile_weights(train: DataFrame, passes: int = DEFAULT_PASSES, tau: float
     pairs = cut_lineage(rows.select("row_id", F.explode("feats").alias("feature")))
     w = cut_lineage(pairs.select("feature").distinct().withColumn("w", F.lit(0.0)))
     for p in range(passes):
-        scores = (pairs.join(small_side(w), "feature").groupBy("row_id").agg(F.sum("w").alias("pred")))
+        scores = (pairs.join(w, "feature").groupBy("row_id").agg(F.sum("w").alias("pred")))
         g = (rows.join(scores, "row_id", "left").fillna(0.0, ["pred"])
              .select("row_id", (F.when(F.col("label") > F.col("pred"), -tau).otherwise(1 - tau)
                                 * F.col("importance")).alias("g")))
@@ -119,29 +120,23 @@ def quantile_weights(train: DataFrame, passes: int = DEFAULT_PASSES, tau: float
     return w
 
 
-def train(rows: DataFrame, loss: str = "squared", passes: int = DEFAULT_PASSES, bits: int = DEFAULT_BITS,
-          hashed: bool = False):
+def train(rows: DataFrame, loss: str = "squared", passes: int = DEFAULT_PASSES, bits: int = DEFAULT_BITS):
     """M2 + M4: returns (predict_fn, weights DataFrame[ns, token, weight])."""
-    spark = rows.sparkSession
     if loss == "quantile":
         w = quantile_weights(rows, passes)
         named = _split_feature(w, "w")
 
         def predict(df):
             pairs = df.select("row_id", F.explode("feats").alias("feature"))
-            s = pairs.join(small_side(w), "feature").groupBy("row_id").agg(F.sum("w").alias("score"))
+            s = pairs.join(w, "feature").groupBy("row_id").agg(F.sum("w").alias("score"))
             return df.join(s, "row_id", "left").fillna(0.0, ["score"])
         return predict, named
-    cv, vec = vectorize(rows, bits, hashed)
+    transform, vec = vectorize(rows, bits)
     model = _estimator(loss, passes).fit(_with_label01(vec))
-    if hashed:
-        named = _slot_weights(spark, model.coefficients)
-    else:
-        named = _named(spark, cv.vocabulary, model.coefficients)
+    named = _named(rows, model.coefficients, bits)
 
     def predict(df):
-        v = cv.transform(df)
-        out = model.transform(_with_label01(v))
+        out = model.transform(_with_label01(transform(df)))
         if loss in ("logistic", "hinge"):
             return out.withColumn("score", vector_to_array("rawPrediction")[1])
         return out.withColumn("score", F.col("prediction"))

@@ -385,6 +385,26 @@ def _learn(loss):
     return q
 
 
+def one_hot_training(spark, sf_dir) -> DataFrame:
+    """Labelled documents with their language as the only feature: the optimum
+    of every loss is closed form, so SQL can state it."""
+    rows = standins.labelled_documents(spark, sf_dir).where("lang is not null").select(
+        F.col("raw_id").alias("sid"), *feats.label_importance("clicks"), F.array("lang").alias("demo"),
+        *[F.array().cast("array<string>").alias(ns) for ns in feats.NAMESPACES[1:]])
+    return learn.training_frame(rows)
+
+
+def _learn_one_hot(loss):
+    """Squared: weighted mean label. Logistic: log odds. Hinge and median: the
+    sign of the weighted majority."""
+    def q(spark, sf_dir):
+        _, w = learn.train(one_hot_training(spark, sf_dir), loss, 50)
+        value = F.round("weight", 2) if loss in ("squared", "logistic") else F.signum("weight")
+        return w.select("ns", "token", value.alias("weight"))
+    q.__name__ = f"q_learn_one_hot_{loss}"
+    return q
+
+
 def q_feature_topk_learned(spark, sf_dir):
     _, w = learn.train(doc_training(spark, sf_dir), "squared", CV_PASSES)
     return feats.top_features(w, GRAPH_TOP_K)
@@ -428,6 +448,10 @@ QUERIES.update({
     "learn_weights_logistic": _learn("logistic"),
     "learn_weights_hinge": _learn("hinge"),
     "learn_weights_quantile": _learn("quantile"),
+    "learn_one_hot_squared": _learn_one_hot("squared"),
+    "learn_one_hot_logistic": _learn_one_hot("logistic"),
+    "learn_one_hot_hinge": _learn_one_hot("hinge"),
+    "learn_one_hot_quantile": _learn_one_hot("quantile"),
     "feature_topk_learned": q_feature_topk_learned,
     "cv_accuracy": q_cv_accuracy,
     "communities_greedy": _communities(communities.greedy_modularity),

@@ -270,3 +270,16 @@ WITH lab AS (SELECT d.doc_id FROM documents d JOIN labels l ON d.doc_id = l.doc_
 n AS (SELECT CAST(ceil(COUNT(*) / 10.0) AS BIGINT) AS sz FROM lab),
 r AS (SELECT (row_number() OVER (ORDER BY doc_id) - 1) // (SELECT sz FROM n) AS fold FROM lab)
 SELECT CAST(fold AS INTEGER) AS fold, COUNT(*) AS n FROM r GROUP BY fold"""
+
+# Closed-form optima of the one-hot models: P and N are the weights of the
+# positive and the negative rows of a language.
+_ONE_HOT = """WITH r AS (SELECT d.lang AS token,
+    sum(CASE WHEN l.quality = 1 THEN 1 + l.toxic ELSE 0 END) AS p, sum(CASE WHEN l.quality = 1 THEN 0 ELSE 1 END) AS n
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE d.lang IS NOT NULL GROUP BY d.lang)
+SELECT 'demo' AS ns, token, CAST({value} AS DOUBLE) AS weight FROM r"""
+ORACLE.update({
+    "learn_one_hot_squared": _ONE_HOT.format(value="round((p - n) / (p + n), 2)"),
+    "learn_one_hot_logistic": _ONE_HOT.format(value="round(ln(p / n), 2)"),
+    "learn_one_hot_hinge": _ONE_HOT.format(value="sign(p - n)"),
+    "learn_one_hot_quantile": _ONE_HOT.format(value="sign(p - n)"),
+})

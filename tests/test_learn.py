@@ -53,7 +53,33 @@ def test_cross_validate(spark):
     assert set(cv) == {-1, 0, 1, 2, 3} and cv[-1].n_test == 60 and cv[-1].accuracy > 0.9
 
 
-def test_hashed_option(spark):
+def test_slots_keep_names(spark):
     tr = planted(spark)
-    predict, w = learn.train(tr, "logistic", passes=10, bits=18, hashed=True)
-    assert learn.accuracy(predict(tr)) > 0.95 and w.where("ns = '#'").count() == w.count() > 0
+    _, w = learn.train(tr, "logistic", passes=10, bits=18)
+    names = {(r.ns, r.token) for r in w.collect()}
+    assert names <= {tuple(f.split("^")) for r in tr.collect() for f in r.feats} and len(names) > 30
+    # two features in one slot share its weight, and none is lost
+    _, w = learn.train(tr, "logistic", passes=10, bits=3)
+    assert w.count() == len({f for r in tr.collect() for f in r.feats})
+
+
+def test_slot_is_the_vector_index(spark):
+    df = spark.createDataFrame([([f"demo^{x}"],) for x in ("a", "bc", "éö", "日本", "long token"[:4], "x" * 17)], "feats array<string>")
+    transform, _ = learn.vectorize(df, 10)
+    for r in transform(df).withColumn("slot", learn.slot(F.col("feats")[0], 10)).collect():
+        assert list(r.features.indices) == [r.slot]
+
+
+def test_one_hot_optimum(spark):
+    """One feature a row: the optimum of every loss is closed form."""
+    rows = [("a", 1.0, 3.0), ("a", -1.0, 1.0), ("b", 1.0, 1.0), ("b", -1.0, 4.0), ("b", -1.0, 1.0)]
+    tr = spark.createDataFrame([(str(i), y, k, [f"demo^{f}"]) for i, (f, y, k) in enumerate(rows)],
+                               "row_id string, label double, importance double, feats array<string>")
+    def weights(loss):
+        return {r.token: r.weight for r in learn.train(tr, loss, passes=50)[1].collect()}
+    assert weights("squared") == pytest.approx({"a": 0.5, "b": -4 / 6}, abs=1e-4)
+    import math
+    assert weights("logistic") == pytest.approx({"a": math.log(3), "b": -math.log(5)}, abs=1e-3)
+    for loss in ("hinge", "quantile"):
+        w = weights(loss)
+        assert w["a"] > 0 > w["b"]
