@@ -462,3 +462,63 @@ QUERIES.update({
     "community_compare": q_community_compare,
     "admit_users_detected": q_admit_users_detected,
 })
+
+
+# ---- sinks: written to the shared folder, read back --------------------------
+
+import uuid  # noqa: E402
+
+from audix.session import checkpoint_dir  # noqa: E402
+from audix.sources import sinks  # noqa: E402
+
+
+def _output(spark, name: str) -> str:
+    """A dated output of its own in the cluster's shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/sink-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def q_sink_by_key(spark, sf_dir):
+    """Gzip text by sanitised key; a first run with all
+    customers, then one without the last segment, whose folder is gone."""
+    key = F.when(F.col("c_custkey") % 7 != 0, F.concat(F.substring("c_mktsegment", 1, 2), F.lit("/"),
+                                                        F.substring("c_mktsegment", 3, 20)))
+    rows = tables.read_table(spark, sf_dir, "customer").select(key.alias("segment"), "c_custkey", "c_nationkey")
+    out = _output(spark, "by-key")
+    sinks.write_partitioned_text(rows, out, ["segment"], compression="gz")
+    sinks.write_partitioned_text(rows.where("segment is null or segment <> 'MA/CHINERY'"), out, ["segment"], compression="gz")
+    return spark.read.schema("value string, segment string").text(out).select("segment", "value")
+
+
+def q_sink_two_keys(spark, sf_dir):
+    """Two key levels, the keys kept in the lines."""
+    rows = tables.read_table(spark, sf_dir, "supplier").select(
+        F.col("s_nationkey").alias("nation"), (F.col("s_suppkey") % 3).alias("part"), "s_suppkey")
+    out = _output(spark, "two-keys")
+    sinks.write_partitioned_text(rows, out, ["nation", "part"], delimiter=",", remove_keys=False)
+    return spark.read.schema("value string, nation string, part string").text(out).select("nation", "part", "value")
+
+
+def q_sink_plain(spark, sf_dir):
+    """Tab-separated text and gzip ids, read back as id lists."""
+    ids = tables.read_table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), F.col("c_custkey")).alias("sid"))
+    text, gz = _output(spark, "text"), _output(spark, "ids")
+    sinks.write_text(ids.withColumn("n", F.lit(1)), text)
+    sinks.write_ids_gzip(ids, gz)
+    return (tables.read_id_list(spark, text).select(F.lit("text").alias("sink"), "sid")
+            .unionByName(tables.read_id_lines(spark, gz).select(F.lit("gzip").alias("sink"), "sid")))
+
+
+def q_sink_records(spark, sf_dir):
+    """Record files; a shrinking rerun replaces them, an empty rerun
+    leaves none. (run, rows read back)."""
+    orders = tables.read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    out, counts = _output(spark, "records"), []
+    for run, rows in (("full", orders), ("urgent", orders.where("o_orderpriority = '1-URGENT'")), ("none", orders.where("false"))):
+        sinks.write_records(rows, out)
+        left = 0 if run == "none" and not sinks.output_exists(spark, out) else spark.read.schema(orders.schema).parquet(out).count()
+        counts.append((run, left))
+    return spark.createDataFrame(counts, "run string, n_rows long")
+
+
+QUERIES.update({"sink_by_key": q_sink_by_key, "sink_two_keys": q_sink_two_keys, "sink_plain": q_sink_plain,
+                "sink_records": q_sink_records})

@@ -283,3 +283,21 @@ ORACLE.update({
     "learn_one_hot_hinge": _ONE_HOT.format(value="sign(p - n)"),
     "learn_one_hot_quantile": _ONE_HOT.format(value="sign(p - n)"),
 })
+
+# Sinks: what the last run left, read back.
+ORACLE.update({
+    "sink_by_key": """
+SELECT coalesce(segment, 'null') AS segment, CAST(c_custkey AS VARCHAR) || chr(9) || CAST(c_nationkey AS VARCHAR) AS value
+FROM (SELECT CASE WHEN c_custkey % 7 <> 0 THEN substr(c_mktsegment, 1, 2) || '-' || substr(c_mktsegment, 3) END AS segment,
+             c_custkey, c_nationkey FROM customer)
+WHERE segment IS NULL OR segment <> 'MA-CHINERY'""",
+    "sink_two_keys": """
+SELECT CAST(s_nationkey AS VARCHAR) AS nation, CAST(s_suppkey % 3 AS VARCHAR) AS part,
+       concat_ws(',', s_nationkey, s_suppkey % 3, s_suppkey) AS value FROM supplier""",
+    "sink_plain": """
+SELECT sink, 'c' || CAST(c_custkey AS VARCHAR) AS sid FROM customer, (VALUES ('text'), ('gzip')) AS s(sink)""",
+    "sink_records": """
+SELECT 'full' AS run, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'urgent', count(*) FROM orders WHERE o_orderpriority = '1-URGENT'
+UNION ALL SELECT 'none', 0""",
+})

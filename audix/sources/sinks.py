@@ -90,6 +90,11 @@ def delete_output(spark, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def output_exists(spark, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def write_records(df: DataFrame, path: str, fmt: str = "parquet", compression: str = "gzip",
                   mode: str = "overwrite") -> None:
     """Record files (Avro in the reference; any available format here),
