@@ -2,12 +2,13 @@
 
 Vectors of small integers are kept in vertical layout, one column per dimension.
 A cell of the work is a block of queries against a block of candidates: inner
-products are accumulated dimension block by dimension block; before each block a
+products are accumulated dimension block by dimension block; after each block a
 pair's score can still grow by at most the product of the two remaining masses
-(norms of the dimensions not read yet), and pairs that cannot reach their
-query's k-th best score are compacted away. The k-th best score starts from the
-k candidates of the block with the best first partial scores, evaluated in full,
-and the pairs that survive all dimensions are exact.
+(norms of the dimensions not read yet), and what cannot reach its query's k-th
+best score is compacted away: candidates that no query can use, then single
+pairs once few are left. The k-th best score is bounded from below by full scores
+of the candidates ahead after the first block and half-way, and the pairs that
+survive all dimensions are exact.
 
 Queries are a stated set (a predicate on the ids) against all rows, so every
 query block meets every candidate block once; blocks are dealt by id hash, cells
@@ -29,11 +30,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from audix.llm.shared import stored
+from audix.llm.shared import ship, stored
 
 SCALE = 64
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 8192
 DIMENSION_BLOCK = 8
+# Share of a cell's pairs below which survivors leave the dense layout.
+DENSE_SHARE = 0.03
+# Candidates ahead that are scored in full for a bound, as a multiple of k.
+AHEAD = 8
 SALTS = 64
 
 
@@ -74,31 +79,48 @@ def cell_top(queries: np.ndarray, candidates: np.ndarray, k: int,
     q, columns = np.ascontiguousarray(q[:, order]), columns[order]
     mass_q = np.sqrt(np.square(q.astype(np.float64))[:, ::-1].cumsum(axis=1)[:, ::-1])
     mass_c = np.sqrt(np.square(columns.astype(np.float64))[::-1].cumsum(axis=0)[::-1])
-    partial = q[:, :width] @ columns[:width]
-    if n > k:
-        seeds = np.argpartition(-partial, k - 1, axis=1)[:, :k]
-        full = np.empty(seeds.shape, kind)
-        for i in range(len(q)):
-            full[i] = q[i] @ columns[:, seeds[i]]
-        floor = full.min(axis=1).astype(np.float64)
-    else:
-        floor = np.full(len(q), -np.inf)
-    slack = 1e-9 * (1 + np.abs(floor))
-    if dims <= width:
-        qi, ci = np.nonzero(partial >= (floor - slack)[:, None])
-        return qi, ci, partial[qi, ci].astype(np.int64)
-    rest = np.outer(mass_q[:, width], mass_c[width])
-    qi, ci = np.nonzero(partial + rest * (1 + 1e-9) >= (floor - slack)[:, None])
-    score = partial[qi, ci]
-    for d in range(width, dims, width):
-        for x in range(d, min(d + width, dims)):
-            score = score + q[qi, x] * columns[x][ci]
-        if d + width < dims:
-            rest = mass_q[qi, d + width] * mass_c[d + width][ci]
-            stay = score + rest * (1 + 1e-9) >= floor[qi] - slack[qi]
-            qi, ci, score = qi[stay], ci[stay], score[stay]
-    stay = score >= floor[qi] - slack[qi]
-    return qi[stay], ci[stay], score[stay].astype(np.int64)
+    names = np.arange(n)                       # candidates still in vertical layout
+    partial = np.zeros((len(q), n), kind)
+    floor = np.full(len(q), -np.inf)
+    pairs = None                               # (query, candidate, score) once few are left
+    for d in range(0, dims, width):
+        end = min(d + width, dims)
+        if pairs is None:
+            partial += q[:, d:end] @ columns[d:end]
+            if n > k and (d == 0 or d < dims // 2 <= end or end == dims):
+                floor = np.maximum(floor, _kth_score(q, columns, partial, k, end == dims))
+            low = (floor - 1e-9 * (1 + np.abs(floor)))[:, None]
+            reach = partial if end == dims else partial + np.outer(mass_q[:, end] * (1 + 1e-9), mass_c[end])
+            alive = reach >= low
+            if end == dims or np.count_nonzero(alive) <= DENSE_SHARE * alive.size:
+                qi, ci = np.nonzero(alive)
+                pairs = qi, ci, partial[qi, ci]
+                continue
+            some = alive.any(axis=0)
+            if np.count_nonzero(some) < 0.8 * len(some):
+                names, columns, mass_c, partial = names[some], columns[:, some], mass_c[:, some], partial[:, some]
+        else:
+            qi, ci, score = pairs
+            for x in range(d, end):
+                score = score + q[qi, x] * columns[x][ci]
+            reach = score if end == dims else score + mass_q[qi, end] * mass_c[end][ci] * (1 + 1e-9)
+            stay = reach >= (floor - 1e-9 * (1 + np.abs(floor)))[qi]
+            pairs = qi[stay], ci[stay], score[stay]
+    qi, ci, score = pairs
+    return qi, names[ci], score.astype(np.int64)
+
+
+def _kth_score(q: np.ndarray, columns: np.ndarray, partial: np.ndarray, k: int, final: bool) -> np.ndarray:
+    """A score that k candidates of every query reach: the k-th best full score
+    of those ahead so far, or of all when the partial scores are final."""
+    n = partial.shape[1]
+    if n < k:
+        return np.full(len(q), -np.inf)
+    if final:
+        return np.partition(partial, n - k, axis=1)[:, n - k].astype(np.float64)
+    ahead = min(n, AHEAD * k)
+    some = np.argpartition(-partial, ahead - 1, axis=1)[:, :ahead]
+    return np.array([np.partition(q[i] @ columns[:, some[i]], ahead - k)[ahead - k] for i in range(len(q))], np.float64)
 
 
 def _cell(k: int):
@@ -128,7 +150,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 20, vector: str =
                 scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id, score of the k highest integer inner products of
     floor(scale * x) of every query row of vectors(vec_id, <vector>)."""
-    spark = vectors.sparkSession
+    ship(vectors.sparkSession)
     base = one_per_id(vectors.where(usable(vector)), is_query, vector).withColumn(
         "v", F.transform("v", lambda x: F.floor(F.lit(float(scale)) * x)))
     keyed = stored(base.withColumn("dims", F.size("v")).withColumn("h1", F.xxhash64("v")).withColumn("h2", F.hash("v")), "vectors")
