@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audix.llm import near_duplicates as near
-from audix.llm import byte_bpe, graph_search, id_files, language, licences, line_dedup, packing, suffix_dedup, top_k
+from audix.llm import byte_bpe, graph_search, id_files, language, licences, line_dedup, packing, suffix_dedup, top_k, twins
 from audix.llm.shared import read_table
 
 
@@ -98,18 +98,8 @@ QUERIES = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_byte_bpe": op10_byte_bpe,
 }
-# Twins of the operators that SQL can express at the size of a correctness check.
 ORACLE: dict[str, str] = {
-    "op9_exact_top_k": """
-WITH e AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d, len(embedding) AS n
-           FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
-bad AS (SELECT DISTINCT vec_id FROM e WHERE x IS NULL OR isnan(x) OR isinf(x)),
-v AS (SELECT vec_id, d, n, CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) AS y
-      FROM e WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
-p AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(sum(q.y * c.y) AS BIGINT) AS score
-      FROM v q JOIN v c ON q.d = c.d AND q.n = c.n AND q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id GROUP BY 1, 2),
-r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
-             vec_id, score FROM p)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
-""",
+    "op2_line_dedup": twins.LINE_DEDUP,
+    "op7_near_duplicates": twins.NEAR_DUPLICATES,
+    "op9_exact_top_k": twins.EXACT_TOP_K,
 }
