@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from audix.llm.batches import ragged, spread, text_slices
+from audix.llm.shared import ship
 
 LEAF_BYTES = 48
 CACHE_CUTS = 600_000
@@ -272,6 +273,7 @@ def _digests(path: str, pattern: str, keep_ids: bool):
 def encode_texts(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens and digests of the ids and of the decoded bytes of every
     document; with ``keep_ids`` the ids and bytes themselves."""
+    ship(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<long>, decoded binary" if keep_ids else ""
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

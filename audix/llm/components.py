@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audix.llm.shared import join_by_key, stored
+from audix.llm.shared import discard, join_by_key, stored
 
 
 def _stars(edges: DataFrame, total: int) -> DataFrame:
@@ -38,7 +38,9 @@ def components(links: DataFrame) -> DataFrame:
 
     before = mark(edges)
     while before[0]:
+        last = edges
         edges = stored(_stars(edges, before[0]), "stars")
+        discard(last)
         now = mark(edges)
         if now == before:
             break

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from audix.llm.batches import text_slices
-from audix.llm.shared import packed
+from audix.llm.shared import packed, ship
 
 DIMENSIONS = 8192
 GRAMS = (1, 2, 3, 4)
@@ -153,6 +153,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def identify(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """All columns of ``docs`` but text, then lang_pred and score. ``labelled``
     (doc_id, text, lang) trains; only its text and language are learned from."""
+    ship(docs.sparkSession)
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     sample = training_sample(labelled.where(F.col("lang").isNotNull()))
     rows = packed(docs, RESULTS).select("row", F.lower("text").alias("text"), letter.alias("lettered"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from audix.llm.batches import mix64, text_slices
 from audix.llm.rolling import RollingHash
-from audix.llm.shared import join_by_key, packed, small, stored
+from audix.llm.shared import discard, join_by_key, packed, small, stored
 
 NOISE, WINDOW = 2, 2
 
@@ -115,7 +115,9 @@ def repeated_runs(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) ->
              .agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "at")).alias("lo"),
                   F.max(F.struct("did", "th", "at")).alias("hi"))
              .where(F.col("lo") != F.col("hi")).select("mark", "n"))
-    joined = stored(join_by_key(listed, stored(marks, "marks"), ["mark"], "n", total).drop("n"), "positions")
+    marks = stored(marks, "marks")
+    joined = stored(join_by_key(listed, marks, ["mark"], "n", total).drop("n"), "positions")
+    discard(listed, marks)
 
     # every window against the first place with the same lines
     first = (joined.groupBy("mark", "run")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from audix.llm.batches import text_slices
-from audix.llm.shared import stored
+from audix.llm.shared import ship, stored
 from audix.llm.token_ids import with_end, word_encoder
 
 CAPACITY = 4096
@@ -178,6 +178,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, classes: int
          keep_ids: bool = False, fan_in: int = 64) -> DataFrame:
     """One row per piece: doc_id, start (its document's ids before it), length,
     ids_crc32, doc_tokens, sequence_id, offset, and ids if ``keep_ids``."""
+    ship(docs.sparkSession)
     first = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                    .mapInArrow(_from_texts(tokenizer, capacity, classes, keep_ids), _STORED), "packed")
     levels, open_ = [first.where("sequence_id is not null")], first.where("sequence_id is null")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +18,7 @@ HEAVY_SHARE = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,7 +28,36 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing reads any more: all that was made of
+    them is itself stored."""
+    for table in tables:
+        spark = table.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(table.stored_path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: their Python
+    workers import the operators' task code by name, wherever the driver runs."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    root = Path(__file__).resolve().parents[1]
+    name = Path(tempfile.mkdtemp(prefix="audix-")) / "audix_package.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(name))
 
 
 def tasks(spark: SparkSession) -> int:
@@ -68,6 +101,7 @@ def packed(docs: DataFrame, results: list[str]) -> DataFrame:
     """(row, doc_id, text): the columns of ``docs`` travel in one struct, so that
     no name of theirs meets one of an operator; of columns named like a result,
     the result stays."""
+    ship(docs.sparkSession)
     keep = [c for c in docs.columns if c not in ("text", *results)]
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
                        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from audix.llm.batches import flat, mix64, spread, text_slices
 from audix.llm.rolling import RollingHash
 from audix.llm.run_index import RunIndex
-from audix.llm.shared import join_by_key, packed, stored
+from audix.llm.shared import discard, join_by_key, packed, stored
 
 WINDOW, GRAM = 200, 64
 SHARD_BYTES = 2 << 20
@@ -213,6 +213,8 @@ def marked_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     often = stored(listed.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > 1), "anchors")
     again = stored(join_by_key(listed, often, ["anchor"], "n", total).drop("n"), "again")
 
+    discard(listed, often)
+
     # fragments of equal content: all marked, one stands for them
     groups = stored(again.groupBy("anchor", "content")
                     .agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "lo", "n_starts")).alias("rep")), "groups")
