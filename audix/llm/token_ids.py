@@ -22,6 +22,12 @@ CACHE_WORDS = 800_000
 # tokens, special tokens or composed characters.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_SIGN = np.zeros(256, bool)
+_SIGN[33:127] = ~_ALNUM[33:127]
 
 
 class WordEncoder:
@@ -33,15 +39,26 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.seen: dict[bytes, bytes] = {}
 
-    def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.BinaryArray, np.ndarray]:
-        """Runs without white space (never across texts) and their number per text."""
+    def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """Cuts of the texts (never across texts) and their number per text: runs
+        without white space, with ASCII letters in lower case as the tokenizer
+        has them, and cut again where letters and ASCII signs meet, as the split
+        pattern does. A slice that may hold a special token is only cut at
+        white space and keeps its case."""
         inside = ~_SPACE[data]
         first = inside.copy()
         first[1:] &= ~inside[:-1]
-        last = inside.copy()
-        last[:-1] &= ~inside[1:]
+        if b"<|" not in data.tobytes():
+            data = _LOWER[data]
+            sign, plain = _SIGN[data], _ALNUM[data]
+            letter = plain.copy()
+            letter[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7) & (data[1:] >= 0x80)
+            first[1:] |= sign[1:] & letter[:-1]
+            first[1:] |= plain[1:] & (sign & (data != 0x27))[:-1]
         heads = offsets[:-1][offsets[:-1] < len(data)]
         first[heads] = inside[heads]
+        last = inside.copy()
+        last[:-1] &= ~inside[1:] | first[1:]
         tails = offsets[1:][offsets[1:] > offsets[:-1]] - 1
         last[tails] = inside[tails]
         start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
