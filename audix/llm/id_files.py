@@ -2,11 +2,12 @@
 
 Documents are range-partitioned by doc_id and sorted, one file per range. A file
 is Parquet, written and committed by Spark, so it works on any store the cluster
-reads; each row is a group of whole documents: their ids and sizes, and the
-blocks of their ids. A block is BLOCK_IDS ids coded by ``mixing_coder`` from a
-fresh model, with its number of ids, the CRC-32 of the ids and its payload; it
-can be decoded without any other. Reading decodes the blocks of a group in step,
-checks every CRC and fails on a damaged block.
+reads; each row is a group of whole documents: their doc_ids and sizes, a header
+with the counts of its token ids, and the blocks of these ids. A block is
+BLOCK_IDS ids coded by ``mixing_coder`` from a fresh state, with its number of
+ids, the CRC-32 of the ids and its payload; it can be decoded without any other.
+Reading decodes the blocks of a group in step, checks every CRC and fails on a
+damaged block.
 
 A document's start in the whole collection comes from the group sizes alone
 (column-pruned): a running sum over groups inside a file and over files.
@@ -27,27 +28,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from audix.llm.batches import text_slices
-from audix.llm.mixing_coder import BLOCK_IDS, LANES, checksum, decode_blocks, encode_blocks
-from audix.llm.shared import stored, text_bytes
+from audix.llm.mixing_coder import BLOCK_IDS, LANES, checksum, decode_blocks, encode_blocks, scaled_counts
+from audix.llm.shared import ship, stored, text_bytes
 from audix.llm.token_ids import with_end, word_encoder
 
 END_ID = 2
 FILE_BYTES = 32 << 20           # of text
 GROUP_IDS = BLOCK_IDS * LANES
 
-GROUP = ("file int, part int, n_ids long, doc_ids array<long>, sizes array<long>, "
+GROUP = ("file int, part int, n_ids long, doc_ids array<long>, sizes array<long>, ids array<int>, counts array<int>, "
          "blocks array<struct<n:int,crc:long,payload:binary>>")
 _BLOCK = pa.struct([("n", pa.int32()), ("crc", pa.int64()), ("payload", pa.binary())])
 
 
 def _group(file: int, part: int, docs: list, sizes: list[int], ids: np.ndarray) -> pa.RecordBatch:
     blocks = [ids[a:a + BLOCK_IDS] for a in range(0, len(ids), BLOCK_IDS)]
-    coded = [{"n": len(b), "crc": checksum(b), "payload": p} for b, p in zip(blocks, encode_blocks(blocks))]
+    header = scaled_counts(ids)
+    coded = [{"n": len(b), "crc": checksum(b), "payload": p} for b, p in zip(blocks, encode_blocks(blocks, header))]
     return pa.RecordBatch.from_arrays(
         [pa.array([file], pa.int32()), pa.array([part], pa.int32()), pa.array([len(ids)], pa.int64()),
          pa.array([docs], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())),
-         pa.array([coded], pa.list_(_BLOCK))],
-        ["file", "part", "n_ids", "doc_ids", "sizes", "blocks"])
+         *[pa.array([h.astype(np.int32)], pa.list_(pa.int32())) for h in header], pa.array([coded], pa.list_(_BLOCK))],
+        ["file", "part", "n_ids", "doc_ids", "sizes", "ids", "counts", "blocks"])
 
 
 def _write(path: str):
@@ -77,6 +79,7 @@ def _write(path: str):
 
 def write_ids(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write all documents' ids (each with the end id) and return the files."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = rows.agg(F.sum(text_bytes())).first()[0] or 0
     files = max(1, -(-total // FILE_BYTES))
@@ -86,7 +89,8 @@ def write_ids(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 def decode_group(row: dict) -> list[np.ndarray]:
     """Ids of each document of a group; raises on a wrong checksum."""
-    found = decode_blocks([b["payload"] for b in row["blocks"]], [b["n"] for b in row["blocks"]])
+    header = np.array(row["ids"], np.uint32), np.array(row["counts"], np.int64)
+    found = decode_blocks([b["payload"] for b in row["blocks"]], [b["n"] for b in row["blocks"]], header)
     for k, (block, b) in enumerate(zip(row["blocks"], found)):
         if checksum(b) != block["crc"]:
             raise ValueError(f"block {k} of group {row['part']} in file {row['file']} is damaged")

@@ -1,17 +1,17 @@
-"""Adaptive context-mixing coder for blocks of token ids.
-
-An id below 2**16 is coded as 16 binary decisions, high bit first. Three models
-predict each decision from the bits before it in the id and from no, one or two
-ids before it (order 0 to 2); a model's slot holds a 12-bit probability and a
-small count that sets how fast it learns and how much it is trusted. The three
-predictions are mixed with weights that adapt with every id, and the mixed
-probability drives a carryless binary arithmetic coder.
-
-Blocks start from a fresh model, end with their own bytes, and carry a CRC-32 of
-their ids, so each can be decoded, checked and retried alone. Many blocks are
-coded in step: every array below has one lane per block. The mixture uses single
-sums, products and quotients of 32-bit floats, which IEEE 754 fixes exactly, and
-tables of integers, so coder and decoder agree anywhere.
+"""Adaptive context-mixing range coder for blocks of token ids.
+
+Every id is coded in one step by a mixture of four predictions. Orders 2, 1 and
+0 each name one id: the one that last followed the two ids before, that last
+followed the id before, and that is ahead in the block so far. A prediction has
+a confidence (how often it came true), and for every order and confidence the
+block learns how often such predictions hold; that is the share of the range the
+order gets of what the higher orders leave. The rest goes to all ids by their
+counts in the group of blocks, which the group's header holds.
+
+Blocks start from a fresh state and end with their own words, so each can be
+decoded and checked alone, given the header. Many blocks are coded in step:
+every array has one lane per block, and a step is a fixed number of array
+operations, whatever the ids. All arithmetic is on integers.
 """
 
 from __future__ import annotations
@@ -21,193 +21,228 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 1024
-BITS = 16
-SLOTS = 1 << 13
 LANES = 2048
-
-# A slot is probability * 16 + times seen (up to 15). By slot: its probability,
-# how much it is trusted, and the slot after a zero and after a one.
-_SLOT = np.arange(1 << 16)
-_SEEN, _P = _SLOT & 15, _SLOT >> 4
-_CHANCE = _P.astype(np.float32)
-_TRUST = (1 + 4 * _SEEN).astype(np.float32)
-_SPEED = np.where(_SEEN < 15, 65536 // (_SEEN + 2), 65536 // 20)
-_NEXT = np.concatenate([((_P + (((bit * 4095 - _P) * _SPEED) >> 16)) << 4) | np.minimum(_SEEN + 1, 15)
-                        for bit in (0, 1)]).astype(np.uint16)
-_START = np.uint16(2048 << 4)
-_LINE = 16                   # slots of one nibble, side by side
-
-
-class _Models:
+SLOTS = 1 << 11             # contexts a block tells apart, per order
+STATES = 16                 # confidence: 0 is no prediction yet
+COUNT_BITS = 20             # the header's counts, scaled
+MIX_BITS = 24               # the mixture's range
+RATE = 5
+
+_NONE = np.uint32(0xFFFFFF00)        # a slot is id * 256 + confidence
+_TOP = np.uint64(1 << 48)
+_BOTTOM = np.uint64(1 << 32)
+_WORD = np.uint64(16)
+
+
+def scaled_counts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids, counts) with counts that sum to 2**COUNT_BITS, each at
+    least one; the header of a group of blocks."""
+    found, n = np.unique(ids, return_counts=True)
+    if len(found) == 0:
+        return found.astype(np.uint32), n
+    if len(found) > 1 << (COUNT_BITS - 1):
+        raise ValueError("more distinct ids in a group than its counts can hold")
+    room = (1 << COUNT_BITS) - len(found)
+    scaled = 1 + (n * room) // n.sum()
+    scaled[np.argmax(n)] += (1 << COUNT_BITS) - scaled.sum()
+    return found.astype(np.uint32), scaled
+
+
+class _Base:
+    """Ranges of the header's ids, and the id at every point of the range."""
+
+    def __init__(self, ids: np.ndarray, counts: np.ndarray):
+        self.ids, self.counts = ids.astype(np.int64), counts.astype(np.int64)
+        self.first = np.concatenate(([0], np.cumsum(self.counts)))
+        self._at = None
+        self.index = np.zeros(int(self.ids.max(initial=0)) + 1, np.int64)
+        self.index[self.ids] = np.arange(len(self.ids))
+
+    def place(self, ids: np.ndarray) -> np.ndarray:
+        return self.index.take(ids)
+
+    @property
+    def at(self) -> np.ndarray:
+        if self._at is None:
+            self._at = np.repeat(np.arange(len(self.ids)), self.counts)
+        return self._at
+
+
+class _Mixture:
     """State of all lanes; only the first ``m`` lanes are active at a time."""
 
     def __init__(self, lanes: int):
-        self.table = np.full(3 * lanes * SLOTS, _START, np.uint16)
-        self.base = (np.arange(3 * lanes, dtype=np.int64) * SLOTS).reshape(3, lanes)
-        self.weight = np.tile(np.array([[64], [128], [192]], np.float32), (1, lanes))
+        self.table = np.full(2 * lanes * SLOTS, _NONE, np.uint32)
+        self.base = np.arange(2 * lanes, dtype=np.int64).reshape(2, lanes) * SLOTS
+        self.slot = np.full((3, lanes), _NONE, np.uint32)
+        # 16-bit chance that a prediction of an order and a confidence holds
+        start = 65536 * (np.arange(STATES) + 1) // (np.arange(STATES) + 6)
+        start[0] = 0
+        self.chance = np.tile(start.astype(np.int64), 3 * lanes)
+        self.row = (np.arange(3 * lanes) * STATES).reshape(3, lanes)
         self.before = np.zeros((2, lanes), np.uint32)
 
-    def begin(self, m: int) -> None:
-        """Contexts of the next id of the first m lanes."""
+    def predict(self, m: int) -> None:
+        """ids, confidences and shares (order 2, 1, 0) of the next id, and what
+        is left for the counts."""
         one, two = self.before[0, :m], self.before[1, :m]
-        self.m = m
-        self.context = np.stack((np.zeros(m, np.uint32), (one + np.uint32(1)) * np.uint32(0x9E3779B1),
-                                 ((one + np.uint32(7)) * np.uint32(0x85EBCA6B)) ^ ((two + np.uint32(3)) * np.uint32(0xC2B2AE35))))
-        self.gain = np.zeros((3, m), np.float32)
-
-    def nibble(self, node: np.ndarray) -> None:
-        """The lines of slots for the next four bits, after the bits of ``node``."""
-        h = self.context + node * np.uint32(0x27D4EB2F)
+        h = np.stack(((one + np.uint32(7)) * np.uint32(0x85EBCA6B) ^ (two + np.uint32(3)) * np.uint32(0xC2B2AE35),
+                      (one + np.uint32(1)) * np.uint32(0x9E3779B1)))
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x2C1B3C6D)
-        h >>= np.uint32(32 - (SLOTS // _LINE).bit_length() + 1)
-        self.line = self.base[:, :self.m] + h * np.int64(_LINE)
-
-    def predict(self, node: np.ndarray) -> np.ndarray:
-        """12-bit probability that the next bit is one; node: 1 and the bits of
-        this nibble so far."""
-        self.at = self.line + node
-        self.slot = self.table[self.at]
-        self.p = _CHANCE.take(self.slot)
-        w = self.weight[:, :self.m] * _TRUST.take(self.slot)
-        total = w[0] + w[1]
-        total += w[2]
-        w *= self.p
-        mixed = w[0] + w[1]
-        mixed += w[2]
-        mixed /= total
-        self.mixed = mixed
-        return np.minimum(np.maximum(mixed.astype(np.int64), 1), 4094)
-
-    def update(self, one: np.ndarray) -> None:
-        self.table[self.at] = _NEXT.take(self.slot + one * np.int64(1 << 16))
-
-    def learn(self, one: np.ndarray) -> None:
-        """Note which orders did better than the mixture (once a nibble)."""
-        self.gain += (self.p - self.mixed) * (2 * one - 1).astype(np.float32)
-
-    def end(self, ids: np.ndarray) -> None:
-        """After an id: shift the contexts, move the weights."""
-        m = self.m
-        w = self.weight[:, :m]
-        w *= 1 + np.clip(self.gain / 16384, -0.25, 0.25)
-        np.clip(w, 16, 1024, out=w)
+        self.at = self.base[:, :m] + (h >> np.uint32(32 - SLOTS.bit_length() + 1))
+        slot = self.slot[:, :m]
+        slot[:2] = self.table.take(self.at)
+        self.id = slot >> np.uint32(8)
+        self.state = (slot & np.uint32(255)).astype(np.int64)
+        self.cell = self.row[:, :m] + self.state
+        self.p = self.chance.take(self.cell)
+        # a repeated prediction has no share of its own
+        two, one, top = self.id
+        p = self.p.copy()
+        p[1] *= one != two
+        p[2] *= (top != two) & (top != one)
+        share = np.empty((3, m), np.int64)
+        left = np.full(m, 1 << MIX_BITS, np.int64)
+        for k in range(3):
+            share[k] = ((left >> 16) * p[k] * 15) >> 4
+            left -= share[k]
+        self.share, self.left = share, left
+
+    def update(self, ids: np.ndarray) -> None:
+        """Learn the ids that came."""
+        m = len(ids)
+        hit = self.id == ids
+        target = hit.astype(np.int64) << 16
+        new = self.p + ((target - self.p) >> RATE)
+        self.chance[self.cell] = np.where(self.state > 0, new, 0)
+        stronger = np.minimum(self.state + 1, STATES - 1)
+        state = np.where(hit, stronger, self.state >> 1)
+        replaced = state == 0
+        named = np.where(replaced, ids, self.id)
+        slot = (named << np.uint32(8)) | np.where(replaced, 1, state).astype(np.uint32)
+        self.table[self.at] = slot[:2]
+        self.slot[2, :m] = slot[2]
         self.before[1, :m] = self.before[0, :m]
         self.before[0, :m] = ids
 
 
-def _lanes_by_length(sizes: np.ndarray) -> np.ndarray:
-    return np.argsort(-sizes, kind="stable")
+def _in_order(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lanes from the longest block to the shortest; active lanes per step."""
+    order = np.argsort(-sizes, kind="stable")
+    longest = int(sizes.max(initial=0))
+    return order, np.searchsorted(-sizes[order], -np.arange(1, longest + 1), side="right")
 
 
-def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Payload of every block (uint32 ids below 2**16)."""
-    out: list[bytes] = [b""] * len(blocks)
+def encode_blocks(blocks: list[np.ndarray], header: tuple[np.ndarray, np.ndarray]) -> list[bytes]:
+    """Payload of every block; the header holds all their ids."""
+    base, out = _Base(*header), []
     for a in range(0, len(blocks), LANES):
-        part = blocks[a:a + LANES]
-        for i, payload in zip(range(a, a + len(part)), _encode(part)):
-            out[i] = payload
+        out += _encode(blocks[a:a + LANES], base)
     return out
 
 
-def _encode(blocks: list[np.ndarray]) -> list[bytes]:
-    sizes = np.array([len(b) for b in blocks])
-    order = _lanes_by_length(sizes)
-    lanes, longest = len(blocks), int(sizes.max(initial=0))
+def _encode(blocks: list[np.ndarray], base: _Base) -> list[bytes]:
+    sizes = np.array([len(b) for b in blocks], np.int64)
+    order, active = _in_order(sizes)
+    lanes, longest = len(blocks), len(active)
     ids = np.zeros((longest, lanes), np.uint32)
     for lane, b in enumerate(order):
         ids[:sizes[b], lane] = blocks[b]
-    active = np.searchsorted(-sizes[order], -np.arange(1, longest + 1), side="right")
-    models = _Models(lanes)
-    low, high = np.zeros(lanes, np.int64), np.full(lanes, 0xFFFFFFFF, np.int64)
-    buffer, used = np.zeros((lanes, 2 * longest + 64), np.uint8), np.zeros(lanes, np.int64)
+    mixture = _Mixture(lanes)
+    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    words, used = np.zeros((lanes, 2 * longest + 8), np.uint16), np.zeros(lanes, np.int64)
     for t in range(longest):
         m = int(active[t])
-        models.begin(m)
-        now, node = ids[t, :m], np.ones(m, np.uint32)
-        lo, hi = low[:m], high[:m]
-        if int(used[:m].max(initial=0)) + 64 > buffer.shape[1]:
-            buffer = np.concatenate((buffer, np.zeros_like(buffer)), axis=1)
-        for k in range(BITS - 1, -1, -1):
-            if k % 4 == 3:
-                models.nibble(node)
-                inner = np.ones(m, np.int64)
-            p = models.predict(inner)
-            one = ((now >> np.uint32(k)) & np.uint32(1)).astype(bool)
-            middle = lo + ((hi - lo) >> 12) * p
-            np.copyto(hi, middle, where=one)
-            np.copyto(lo, middle + 1, where=~one)
-            models.update(one)
-            inner += inner + one
-            if k % 4 == 0:
-                models.learn(one)
-                node = (node << np.uint32(4)) | (inner & 15).astype(np.uint32)
-            same = np.flatnonzero((lo ^ hi) < (1 << 24))
-            while len(same):
-                top = hi[same]
-                buffer[same, used[same]] = top >> 24
-                used[same] += 1
-                lo[same] = low_now = (lo[same] << 8) & 0xFFFFFFFF
-                hi[same] = high_now = ((top << 8) & 0xFFFFFFFF) | 255
-                same = same[(low_now ^ high_now) < (1 << 24)]
-        models.end(now)
+        now = ids[t, :m]
+        mixture.predict(m)
+        place = base.place(now)
+        first = (base.first[place] * mixture.left) >> COUNT_BITS
+        size = ((base.first[place + 1] * mixture.left) >> COUNT_BITS) - first
+        before = mixture.share.sum(axis=0)
+        first += before
+        for k in (2, 1, 0):
+            hit = (mixture.id[k] == now) & (mixture.share[k] > 0)
+            before = before - mixture.share[k]
+            first = np.where(hit, before, first)
+            size = np.where(hit, mixture.share[k], size)
+        unit = span[:m] >> np.uint64(MIX_BITS)
+        low[:m] += first.astype(np.uint64) * unit
+        span[:m] = size.astype(np.uint64) * unit
+        lo, sp = low[:m], span[:m]
+        some = np.flatnonzero(((lo ^ (lo + sp)) < _TOP) | (sp < _BOTTOM))
+        while len(some):
+            l, s = lo[some], sp[some]
+            settled = (l ^ (l + s)) < _TOP
+            s = np.where(settled, s, (np.uint64(0) - l) & (_BOTTOM - np.uint64(1)))
+            words[some, used[some]] = l >> np.uint64(48)
+            used[some] += 1
+            l, s = l << _WORD, s << _WORD
+            lo[some], sp[some] = l, s
+            some = some[((l ^ (l + s)) < _TOP) | (s < _BOTTOM)]
+        mixture.update(now)
     payloads = [b""] * lanes
     for lane, b in enumerate(order):
         if sizes[b]:
-            payloads[b] = buffer[lane, :used[lane]].tobytes() + int(high[lane]).to_bytes(4, "big")
+            payloads[b] = words[lane, :used[lane]].astype(">u2").tobytes() + int(low[lane]).to_bytes(8, "big")
     return payloads
 
 
-def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
+def decode_blocks(payloads: list[bytes], sizes: list[int], header: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
     """Ids of every block."""
-    out: list[np.ndarray] = []
+    base, out = _Base(*header), []
     for a in range(0, len(payloads), LANES):
-        out += _decode(payloads[a:a + LANES], np.array(sizes[a:a + LANES], np.int64))
+        out += _decode(payloads[a:a + LANES], np.array(sizes[a:a + LANES], np.int64), base)
     return out
 
 
-def _decode(payloads: list[bytes], sizes: np.ndarray) -> list[np.ndarray]:
-    order = _lanes_by_length(sizes)
-    lanes, longest = len(payloads), int(sizes.max(initial=0))
-    width = max((len(p) for p in payloads), default=0) + 8
-    buffer = np.zeros((lanes, width), np.uint8)
+def _decode(payloads: list[bytes], sizes: np.ndarray, base: _Base) -> list[np.ndarray]:
+    order, active = _in_order(sizes)
+    lanes, longest = len(payloads), len(active)
+    width = max((len(p) for p in payloads), default=0) // 2 + 8
+    words = np.zeros((lanes, width), np.uint64)
     for lane, b in enumerate(order):
-        buffer[lane, :len(payloads[b])] = np.frombuffer(payloads[b], np.uint8)
-    active = np.searchsorted(-sizes[order], -np.arange(1, longest + 1), side="right")
-    models = _Models(lanes)
-    low, high = np.zeros(lanes, np.int64), np.full(lanes, 0xFFFFFFFF, np.int64)
-    code = (buffer[:, :4].astype(np.int64) * np.array([1 << 24, 1 << 16, 1 << 8, 1])).sum(axis=1)
+        w = np.frombuffer(payloads[b][:len(payloads[b]) // 2 * 2], ">u2")
+        words[lane, :len(w)] = w
+    mixture = _Mixture(lanes)
+    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
+    code = (words[:, 0] << np.uint64(48)) | (words[:, 1] << np.uint64(32)) | (words[:, 2] << np.uint64(16)) | words[:, 3]
     used = np.full(lanes, 4, np.int64)
     ids = np.zeros((longest, lanes), np.uint32)
+    most = (1 << MIX_BITS) - 1
     for t in range(longest):
         m = int(active[t])
-        models.begin(m)
-        node = np.ones(m, np.uint32)
-        lo, hi, x = low[:m], high[:m], code[:m]
-        for k in range(BITS - 1, -1, -1):
-            if k % 4 == 3:
-                models.nibble(node)
-                inner = np.ones(m, np.int64)
-            p = models.predict(inner)
-            middle = lo + ((hi - lo) >> 12) * p
-            one = x <= middle
-            np.copyto(hi, middle, where=one)
-            np.copyto(lo, middle + 1, where=~one)
-            models.update(one)
-            inner += inner + one
-            if k % 4 == 0:
-                models.learn(one)
-                node = (node << np.uint32(4)) | (inner & 15).astype(np.uint32)
-            same = np.flatnonzero((lo ^ hi) < (1 << 24))
-            while len(same):
-                lo[same] = low_now = (lo[same] << 8) & 0xFFFFFFFF
-                hi[same] = high_now = ((hi[same] << 8) & 0xFFFFFFFF) | 255
-                x[same] = ((x[same] << 8) & 0xFFFFFFFF) | buffer[same, np.minimum(used[same], width - 1)]
-                used[same] += 1
-                same = same[(low_now ^ high_now) < (1 << 24)]
-        found = node & np.uint32(0xFFFF)
-        ids[t, :m] = found
-        models.end(found)
+        mixture.predict(m)
+        unit = span[:m] >> np.uint64(MIX_BITS)
+        point = np.minimum((code[:m] - low[:m]) // unit, np.uint64(most)).astype(np.int64)
+        before = mixture.share.sum(axis=0)
+        rest = np.maximum(point - before, 0)
+        place = base.at[np.minimum((((rest + 1) << COUNT_BITS) - 1) // mixture.left, (1 << COUNT_BITS) - 1)]
+        now = base.ids[place].astype(np.uint32)
+        first = (base.first[place] * mixture.left) >> COUNT_BITS
+        size = ((base.first[place + 1] * mixture.left) >> COUNT_BITS) - first
+        first += before
+        for k in (2, 1, 0):
+            hit = point < before
+            before = before - mixture.share[k]
+            now = np.where(hit, mixture.id[k], now)
+            first = np.where(hit, before, first)
+            size = np.where(hit, mixture.share[k], size)
+        low[:m] += first.astype(np.uint64) * unit
+        span[:m] = size.astype(np.uint64) * unit
+        lo, sp, x = low[:m], span[:m], code[:m]
+        some = np.flatnonzero(((lo ^ (lo + sp)) < _TOP) | (sp < _BOTTOM))
+        while len(some):
+            l, s = lo[some], sp[some]
+            settled = (l ^ (l + s)) < _TOP
+            s = np.where(settled, s, (np.uint64(0) - l) & (_BOTTOM - np.uint64(1)))
+            x[some] = (x[some] << _WORD) | words[some, np.minimum(used[some], width - 1)]
+            used[some] += 1
+            l, s = l << _WORD, s << _WORD
+            lo[some], sp[some] = l, s
+            some = some[((l ^ (l + s)) < _TOP) | (s < _BOTTOM)]
+        ids[t, :m] = now
+        mixture.update(now)
     out: list[np.ndarray] = [np.zeros(0, np.uint32)] * lanes
     for lane, b in enumerate(order):
         out[b] = ids[:sizes[b], lane].copy()

@@ -33,7 +33,8 @@ def library():
 def odd_texts():
     rng = random.Random(3)
     space = ["\x1c", "\x1f", "\x85", "\xa0", " ", " ", "  ", " ", "　", "​", "\t", "\n", "\r", "\x0b", "᠎"]
-    alphabet = space + list("aaabtheTHE's're'll0123½²٣!?-_é ñß中文字🙂ａ") + ["á", "<|endoftext|>", "\x01"]
+    alphabet = space + list("aaabtheTHE's're'll0123½²٣!?-_=é ñßÉ×÷…‼中文字🙂ａİK")
+    alphabet += ["a\u0301", "\u0338", "\u0301", "<|endoftext|>", "\x01"]
     out = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
     out += ["a" * n for n in range(0, 300, 7)] + ["ab" * n for n in range(0, 90, 5)]
     out += ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(50, 1500))) for _ in range(60)]
@@ -75,9 +76,11 @@ def test_encode_texts(docs, library):
     assert all(hashlib.sha256(r.decoded).hexdigest() == r.decoded_sha256 for r in got)
 
 
-def test_word_ids_equal_the_library(word_ids):
+@pytest.mark.parametrize("special", [False, True])
+def test_word_ids_equal_the_library(word_ids, special):
     from audix.llm.token_ids import with_end, word_encoder
-    texts = odd_texts()
+    texts = [t for t in odd_texts() if ("<|" in t) == special]
+    assert len(texts) > 100
     ids, sizes = with_end(*word_encoder(WORDS).encode(*flat(texts)), 2)
     for t, part in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
         assert part.tolist() == word_ids(t).tolist(), t
@@ -96,8 +99,6 @@ def test_packing(docs, word_ids):
         pieces[r.doc_id] += r.length
     assert pieces == {d: sum(map(len, t)) for d, t in texts.items()}
     padding = 0
-    for _, seq in sorted(collections.Counter(r.sequence_id for r in rows).items()):
-        pass
     by = collections.defaultdict(list)
     for r in rows:
         by[r.sequence_id].append((r.offset, r.length))
@@ -138,18 +139,21 @@ def test_blocks_round_trip_alone():
     rng = np.random.default_rng(0)
     blocks = [rng.integers(0, 65536, n).astype(np.uint32) for n in (0, 1, 5, 700, 1024)]
     blocks += [np.repeat(np.uint32(7), 1024), (rng.zipf(1.3, 1024) % 49408).astype(np.uint32)]
-    coded = mixing_coder.encode_blocks(blocks)
-    for part in mixing_coder.decode_blocks(coded, [len(b) for b in blocks]), \
-            [mixing_coder.decode_blocks([c], [len(b)])[0] for c, b in zip(coded, blocks)]:
+    header = mixing_coder.scaled_counts(np.concatenate(blocks))
+    assert header[1].sum() == 1 << 20 and (header[1] > 0).all()
+    coded = mixing_coder.encode_blocks(blocks, header)
+    for part in mixing_coder.decode_blocks(coded, [len(b) for b in blocks], header), \
+            [mixing_coder.decode_blocks([c], [len(b)], header)[0] for c, b in zip(coded, blocks)]:
         assert all((a == b).all() and len(a) == len(b) for a, b in zip(part, blocks))
     assert len(coded[5]) < 200          # one repeated id costs next to nothing
 
 
 def test_damaged_block_fails():
     ids = np.arange(500, dtype=np.uint32) % 90
-    payload = bytearray(mixing_coder.encode_blocks([ids])[0])
+    header = mixing_coder.scaled_counts(ids)
+    payload = bytearray(mixing_coder.encode_blocks([ids], header)[0])
     payload[len(payload) // 2] ^= 0x55
-    row = {"file": 0, "part": 0, "sizes": [500],
+    row = {"file": 0, "part": 0, "sizes": [500], "ids": header[0].tolist(), "counts": header[1].tolist(),
            "blocks": [{"n": 500, "crc": mixing_coder.checksum(ids), "payload": bytes(payload)}]}
     with pytest.raises(ValueError, match="damaged"):
         id_files.decode_group(row)
@@ -159,3 +163,14 @@ def test_empty_tables(nothing):
     assert byte_bpe.encode_texts(nothing, BYTES, vocabularies.PATTERN).collect() == []
     assert packing.pack(nothing, WORDS).collect() == []
     assert id_files.read_ids(id_files.write_ids(nothing, WORDS)).collect() == []
+
+
+def test_blocks_round_trip_many():
+    rng = np.random.default_rng(7)
+    for n_ids in (1, 2, 50, 40000):
+        blocks = [rng.integers(0, n_ids, rng.integers(0, 1025)).astype(np.uint32) * 3 for _ in range(60)]
+        blocks += [np.tile(rng.integers(0, n_ids, 5), 200).astype(np.uint32) * 3 for _ in range(5)]
+        header = mixing_coder.scaled_counts(np.concatenate(blocks))
+        coded = mixing_coder.encode_blocks(blocks, header)
+        back = mixing_coder.decode_blocks(coded, [len(b) for b in blocks], header)
+        assert all(len(a) == len(b) and (a == b).all() for a, b in zip(back, blocks))
