@@ -522,3 +522,52 @@ def q_sink_records(spark, sf_dir):
 
 QUERIES.update({"sink_by_key": q_sink_by_key, "sink_two_keys": q_sink_two_keys, "sink_plain": q_sink_plain,
                 "sink_records": q_sink_records})
+
+
+# ---- detection and learned features, checked --------------------------------
+
+def _communities_check(method):
+    """One row: vertices, those with exactly one community, and whether the
+    partition beats the one of single vertices (modularity)."""
+    def q(spark, sf_dir):
+        _, v, e = graph_parts(spark, sf_dir)
+        memb = method(e)
+        single = v.select("vid", F.col("vid").alias("cid"))
+        better = (graph.modularity(e, memb).first()[0] or 0.0) >= (graph.modularity(e, single).first()[0] or 0.0)
+        once = memb.groupBy("vid").agg(F.count("*").alias("n")).join(v.select("vid"), "vid").where("n = 1")
+        return (v.agg(F.count("*").alias("n_vertices"))
+                .withColumn("n_once", F.lit(once.count())).withColumn("better", F.lit(better)))
+    q.__name__ = f"q_check_{method.__name__}"
+    return q
+
+
+@memoized
+def learned_features(spark, sf_dir) -> DataFrame:
+    """T3 on weights learned from the users' own profile lines and clicks."""
+    rows = feats.profile_features(profiles(spark, sf_dir), keep=["clicks"]).select("*", *feats.label_importance("clicks"))
+    _, w = learn.train(learn.training_frame(rows), "squared", CV_PASSES)
+    return feats.top_features(w, GRAPH_TOP_K)
+
+
+def q_vertices_learned(spark, sf_dir):
+    """G1 on the learned selection: the originals' distinct feature tuples."""
+    proj = feats.project(original_features(spark, sf_dir), learned_features(spark, sf_dir))
+    return graph.collapse_vertices(proj).select("vkey", "k")
+
+
+def q_admit_users_learned(spark, sf_dir):
+    """The whole chain on learned features: graph, communities, gate."""
+    sel = learned_features(spark, sf_dir)
+    vertices = graph.collapse_vertices(feats.project(original_features(spark, sf_dir), sel))
+    edges = graph.build_edges(vertices, GRAPH_CUTOFF)
+    cand = feats.profile_features(fresh_profiles(spark, sf_dir))
+    tuples, members = graph.collapse_candidates(feats.project(cand, sel))
+    memb = communities.greedy_modularity(edges)
+    gated = assign.gate(graph.candidate_affinity(tuples, vertices, memb, GRAPH_CUTOFF), graph.community_share(edges, memb))
+    return assign.admitted_users(gated, members).select("sid", "gain")
+
+
+CHECKED = {"greedy": communities.greedy_modularity, "label_prop": communities.label_propagation,
+           "eigen": communities.leading_eigenvector, "map": communities.infomap, "walk": communities.walktrap}
+QUERIES.update({f"communities_{name}_check": _communities_check(method) for name, method in CHECKED.items()})
+QUERIES.update({"vertices_learned": q_vertices_learned, "admit_users_learned": q_admit_users_learned})

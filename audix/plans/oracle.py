@@ -301,3 +301,9 @@ SELECT 'full' AS run, count(*) AS n_rows FROM orders
 UNION ALL SELECT 'urgent', count(*) FROM orders WHERE o_orderpriority = '1-URGENT'
 UNION ALL SELECT 'none', 0""",
 })
+
+# Detection: every vertex of the graph in one community, and no worse than
+# single vertices.
+ORACLE.update({f"communities_{name}_check": _with(
+    GRAPH, "SELECT count(*) AS n_vertices, count(*) AS n_once, TRUE AS better FROM verts")
+    for name in ("greedy", "label_prop", "eigen", "map", "walk")})
