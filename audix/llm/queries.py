@@ -99,6 +99,8 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 ORACLE: dict[str, str] = {
+    "op1_licence_scan": twins.licence_scan(licences.template_words(licences.TEMPLATES), licences.LINE_SHARE,
+                                           licences.LEAST_COSINE, licences.LICENCE_SHARE),
     "op2_line_dedup": twins.LINE_DEDUP,
     "op7_near_duplicates": twins.NEAR_DUPLICATES,
     "op9_exact_top_k": twins.EXACT_TOP_K,

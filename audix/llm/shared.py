@@ -60,10 +60,6 @@ def ship(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(name))
 
 
-def tasks(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def join_by_key(rows: DataFrame, table: DataFrame, key: list[str], count: str, total: int,
                 how: str = "inner") -> DataFrame:
     """Equi-join of ``rows`` with ``table`` (one row per key, ``count`` = rows

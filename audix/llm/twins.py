@@ -58,3 +58,48 @@ r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY sc
              vec_id, score FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+
+def licence_scan(words: list[tuple[int, str, str, int]], line_share: float, least: float, licence_share: float) -> str:
+    """Twin of the licence scan for template rows (template, licence, word, count)."""
+    rows = ", ".join(f"({t}, '{name}', '{word}', {n})" for t, name, word, n in words)
+    return rf"""
+WITH tw(template, licence, word, n) AS (VALUES {rows}),
+files AS (SELECT doc_id, coalesce(text, '') AS text,
+                 concat_ws('/', source, CAST(doc_id // 512 AS VARCHAR), CAST(doc_id // 32 AS VARCHAR),
+                           CAST(doc_id AS VARCHAR) || '.txt') AS path FROM documents),
+total AS (SELECT count(*) AS files FROM files),
+fw AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS word FROM files),
+df AS (SELECT word, count(DISTINCT doc_id) AS df FROM fw WHERE word IN (SELECT word FROM tw) GROUP BY 1),
+idf AS (SELECT w.word, ln((files + 1.0) / (coalesce(df, 0) + 1)) + 1 AS idf
+        FROM (SELECT DISTINCT word FROM tw) w LEFT JOIN df USING (word), total),
+tv AS (SELECT template, licence, word, n * idf AS w FROM tw JOIN idf USING (word)),
+tn AS (SELECT template, sqrt(sum(w * w)) AS size FROM tv GROUP BY 1),
+l AS (SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS i FROM files),
+lw AS (SELECT doc_id, i, unnest(regexp_extract_all(line, '[a-z0-9]+')) AS word FROM l),
+notice AS (SELECT doc_id, i, i - dense_rank() OVER (PARTITION BY doc_id ORDER BY i) AS run
+           FROM (SELECT doc_id, i FROM lw LEFT JOIN (SELECT DISTINCT word, 1 AS known FROM tw) USING (word)
+                 GROUP BY 1, 2 HAVING count(known) >= {line_share} * count(*))),
+unit AS (SELECT doc_id, i, 'line ' || i AS unit FROM notice UNION ALL SELECT doc_id, i, 'run ' || run FROM notice),
+uw AS (SELECT doc_id, unit, word, count(*) AS n FROM unit JOIN lw USING (doc_id, i) GROUP BY 1, 2, 3),
+weighed AS (SELECT doc_id, unit, word, n, n * coalesce(idf, ln(files + 1.0) + 1) AS w
+            FROM uw LEFT JOIN idf USING (word), total),
+size AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS size, sum(n) AS n_words FROM weighed GROUP BY 1, 2),
+scored AS (SELECT w.doc_id, w.unit, t.licence, s.n_words, round(sum(w.w * t.w) / (any_value(s.size) * any_value(tn.size)), 6) AS cosine
+           FROM weighed w JOIN tv t USING (word) JOIN tn USING (template) JOIN size s ON s.doc_id = w.doc_id AND s.unit = w.unit
+           GROUP BY w.doc_id, w.unit, t.template, t.licence, s.n_words),
+own AS (SELECT doc_id, first(licence ORDER BY cosine DESC, licence) AS licence, max(cosine) AS cosine, max(n_words) AS n_words
+        FROM scored WHERE cosine >= {least} GROUP BY 1),
+words AS (SELECT doc_id, count(*) AS all_words FROM fw GROUP BY 1),
+homes AS (SELECT doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS home FROM files),
+given AS (SELECT home AS directory, first(licence ORDER BY cosine DESC, licence, path) AS licence, max(cosine) AS cosine
+          FROM own JOIN words USING (doc_id) JOIN homes USING (doc_id) WHERE n_words >= {licence_share} * all_words GROUP BY 1),
+nearest AS (SELECT h.doc_id, first(g.directory ORDER BY length(g.directory) DESC) AS directory
+            FROM homes h JOIN given g ON g.directory = '' OR h.home = g.directory OR starts_with(h.home, g.directory || '/')
+            GROUP BY 1)
+SELECT h.doc_id, h.path, coalesce(o.licence, g.licence) AS licence, coalesce(o.cosine, g.cosine) AS cosine,
+       CASE WHEN o.licence IS NOT NULL THEN 'notice' WHEN g.licence IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       CASE WHEN o.licence IS NULL THEN g.directory END AS directory
+FROM homes h LEFT JOIN own o USING (doc_id) LEFT JOIN nearest n USING (doc_id) LEFT JOIN given g ON g.directory = n.directory
+"""

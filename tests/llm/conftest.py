@@ -30,7 +30,7 @@ def texts():
 def docs(spark, texts):
     """Two ids repeat: one with an equal text, one with another; and a null id."""
     rows = [(i, t, "en", "s", 1, 2.0) for i, t in enumerate(texts)]
-    rows += [(3, texts[3], "en", "s", 1, 2.0), (None, texts[4], None, None, None, None)]
+    rows += [(3, texts[3], "en", "s", 1, 2.0), (6, texts[45], "en", "s", 1, 2.0), (None, texts[4], None, None, None, None)]
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n int, rank double").repartition(3)
 
 
