@@ -16,13 +16,17 @@ No group is expanded into all its pairs:
 2. in each band bucket every member is compared with one head, the member whose
    buckets are largest (for copies of one text: the text itself);
 3. links give components; only members of one bucket that are still in different
-   components are compared with each other, and of those only pairs that the
-   triangle inequality of the Jaccard distance through the bucket's head and the
-   set sizes leave possible. Pairs inside a component add nothing to it.
+   components are compared with each other, and of those only pairs left possible
+   by two exact bounds: shingles that a set shares with no other there are in no
+   intersection (an edited copy has many), and what two sets have in common with
+   the bucket's head limits what they share inside and outside it, as does the
+   triangle inequality of the Jaccard distance. Pairs inside a component add
+   nothing to it.
 
-Defined cases: null or wordless texts have an empty set and stay alone; repeated
-doc_ids are treated as separate rows of one vertex; an empty table gives an
-empty result; other columns are ignored.
+Defined cases: null or wordless texts have an empty set and stay alone; rows
+that repeat a doc_id are one vertex, linked by any of their sets; a null doc_id
+has no component; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 
 from audix.llm.batches import mix64, ragged, random_words, spread, text_slices
 from audix.llm.components import components
-from audix.llm.shared import join_by_key, small, stored
+from audix.llm.shared import discard, join_by_key, ship, small, stored
 
 SHINGLE_WORDS = 5
 BANDS, BAND_ROWS = 32, 4
@@ -172,7 +176,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = SHINGLE_WOR
                     bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links
     with 100 * |A and B| >= percent * |A or B|) and kept, one row per document."""
-    spark = docs.sparkSession
+    ship(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = stored(base.mapInArrow(
         _sketched(bands, rows, words),
@@ -193,14 +197,18 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = SHINGLE_WOR
     rows_ = stored(reps.select("doc_id", "n_shingles", F.explode("bands").alias("key")), "bands")
     buckets = stored(rows_.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1), "buckets")
     inside = stored(join_by_key(rows_, buckets, ["key"], "n", n_rows), "inside")
+    discard(rows_, buckets, repeated)
     weight = inside.groupBy("doc_id").agg(F.sum("n").alias("weight"))
     placed = stored(inside.join(weight, "doc_id"), "placed")
+    discard(inside)
     heads = (placed.groupBy("key")
              .agg(F.max(F.struct("weight", (-F.col("doc_id")).alias("neg"), "n_shingles")).alias("h"),
                   F.count("*").alias("n"))
              .select("key", "n", (-F.col("h.neg")).alias("head"), F.col("h.n_shingles").alias("head_size")))
     headed = stored(join_by_key(placed.drop("n"), heads, ["key"], "n", n_rows), "headed")
 
+    discard(placed)
+
     # 3. members against heads, on full sets
     need = stored(headed.select("doc_id").distinct(), "need")
     sets = stored(base.join(small(need, 16), "doc_id", "left_semi")
@@ -214,31 +222,59 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = SHINGLE_WOR
     # 4. members of one bucket that are still apart
     distance = 1 - F.col("common") / F.col("both")
     member_of = (headed
-                 .join(checked.select(F.col("a").alias("doc_id"), F.col("b").alias("head"), distance.alias("d")),
+                 .join(checked.select(F.col("a").alias("doc_id"), F.col("b").alias("head"), distance.alias("d"),
+                                      F.col("common").alias("with_head")),
                        ["doc_id", "head"], "left")
                  .join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
                  .select("key", "doc_id", "n_shingles",
                          F.when(F.col("doc_id") == F.col("head"), 0.0).otherwise(F.col("d")).alias("d"),
+                         F.when(F.col("doc_id") == F.col("head"), F.col("n_shingles"))
+                         .otherwise(F.col("with_head")).alias("with_head"),
                          F.coalesce("component", "doc_id").alias("component")))
     member_of = stored(member_of, "placement")
+    discard(headed)
     per = member_of.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.count("*").alias("parts"),
                                    F.sum("n").alias("n")) \
         .where(F.col("parts") > 1).select("key", "n", F.col("m.component").alias("major"))
     apart = stored(join_by_key(member_of, mixed, ["key"], "n", n_rows), "apart")
+    discard(member_of)
+
+    # shingles that no other set in such a bucket holds are in no intersection here
+    still = stored(apart.select("doc_id").distinct(), "still")
+    single = (sets.join(small(still, 16), "doc_id", "left_semi").select("doc_id", F.explode("items").alias("item"))
+              .groupBy("item").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("other"))
+              .where(F.col("doc_id") == F.col("other")))
+    shared = stored(single.groupBy("doc_id").agg(F.count("*").alias("own")), "own")
+    # the bounds hold for one set a vertex: ids of several texts go without them
+    several = sets.groupBy("doc_id").agg((F.count("*") > 1).alias("several"))
+    rows_ = (apart.join(shared, "doc_id", "left").join(several, "doc_id")
+             .withColumn("common", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
+             .where(F.col("several") | (100 * F.col("common") >= percent * F.col("n_shingles"))))
+    # with the band keys, a pair is named by its first common bucket alone
+    own_bands = sketched.join(small(still, 16), "doc_id", "left_semi").select("doc_id", "bands").dropDuplicates(["doc_id"])
+    rows_ = stored(rows_.join(own_bands, "doc_id"), "left_apart")
     slack = 1 - percent / 100 + 1e-9
-    x, y = apart.where(F.col("component") != F.col("major")).alias("x"), apart.alias("y")
+    x, y = rows_.where(F.col("component") != F.col("major")).alias("x"), rows_.alias("y")
+    # common shingles lie in the head, or outside it among the shared ones
+    most = F.least("x.with_head", "y.with_head") + F.least(F.col("x.common") - F.col("x.with_head"),
+                                                           F.col("y.common") - F.col("y.with_head"))
+    here = F.array_position("x.bands", F.col("x.key"))
+    first = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True)
     pairs = (x.join(y, (F.col("x.key") == F.col("y.key"))
                     & (F.col("x.component") != F.col("y.component"))
                     & ((F.col("y.component") == F.col("y.major")) | (F.col("x.doc_id") < F.col("y.doc_id")))
-                    & (100 * F.least("x.n_shingles", "y.n_shingles")
-                       >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
-                    & (F.abs(F.col("x.d") - F.col("y.d")) <= slack))
+                    & (F.col("x.several") | F.col("y.several")
+                       | ((100 * most >= percent * (F.col("x.n_shingles") + F.col("y.n_shingles") - most))
+                          & (F.abs(F.col("x.d") - F.col("y.d")) <= slack)
+                          & (first == here))))
              .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
              .distinct())
     tried = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = stored(_verified(pairs.join(tried, ["a", "b"], "left_anti"), sets).where(linked).select("a", "b"), "more")
 
+    discard(sets, apart, rows_)
+
     # components of all links; equal sets hang on their representative
     final = components(links.unionByName(more)) if not more.isEmpty() else found
     rep_of = (member.select("doc_id", "rep").join(final.select(F.col("id").alias("rep"), "component"), "rep", "left")
