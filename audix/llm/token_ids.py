@@ -16,7 +16,7 @@ import pyarrow as pa
 from audix.llm.batches import spread
 
 # Words a worker remembers; later words are encoded each time they occur.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 
 # ASCII white space: dropped by the word tokenizer, and never inside one of its
 # tokens, special tokens or composed characters.
