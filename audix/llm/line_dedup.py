@@ -5,7 +5,9 @@ trimming. Grams of NOISE lines are hashed, and in every window of WINDOW grams
 the smallest one (the rightmost of equal ones) is a fingerprint; a window spans
 RUN = NOISE + WINDOW - 1 lines, so any run of RUN or more equal lines in two
 places has a common fingerprint at the same place in both (the guarantee of
-winnowing), and shorter agreements of less than NOISE lines are never seen.
+winnowing). Shorter agreements are seen by their content: with ``least``, each
+run of fewer than RUN lines that holds at least so many bytes (trimmed) is a
+window and its own fingerprint; without it they stay.
 
 Fingerprints that occur more than once are joined by position: the windows they
 were chosen in are matched with the first place (smallest document, then line)
@@ -38,26 +40,37 @@ from audix.llm.rolling import RollingHash
 from audix.llm.shared import discard, join_by_key, packed, small, stored
 
 NOISE, WINDOW = 2, 2
+# Bytes from which a repeated line, or two, is boilerplate and not a mere phrase.
+LEAST_BYTES = 40
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _NOT_BLANK = "[^\\x09-\\x0D\\x20]"
 
 
-def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each line that is not blank, trimmed; such lines per text)."""
+def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each line that is not blank, trimmed; such lines per text; bytes
+    of each)."""
     breaks = np.flatnonzero(data == 0x0A)
     start = np.unique(np.concatenate((offsets[:-1], breaks + 1)))
     start = start[start < len(data)]
     end = np.append(start[1:], len(data))
     solid = np.flatnonzero(~_SPACE[data])
     if len(solid) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64), np.zeros(0, np.int64)
     lo, hi = np.searchsorted(solid, start), np.searchsorted(solid, end)
     full = hi > lo
     a, b = solid[lo[full]], solid[hi[full] - 1] + 1
     hashes = mix64(RollingHash(data).of(a, b) ^ (b - a).astype(np.uint64))
-    return hashes, np.diff(np.searchsorted(a, offsets))
+    return hashes, np.diff(np.searchsorted(a, offsets)), b - a
+
+
+def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
+    m = max(len(hashes) - size + 1, 0)
+    g = np.zeros(m, np.uint64)
+    for k in range(size):
+        g = mix64(g * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + m])
+    return g
 
 
 def fingerprints(hashes: np.ndarray, counts: np.ndarray, noise: int, window: int) -> tuple[np.ndarray, ...]:
@@ -70,15 +83,7 @@ def fingerprints(hashes: np.ndarray, counts: np.ndarray, noise: int, window: int
     none = np.zeros(0, np.int64)
     if n <= 0:
         return none, none, none, none, none
-
-    def grams(size):
-        m = len(hashes) - size + 1
-        g = np.zeros(m, np.uint64)
-        for k in range(size):
-            g = mix64(g * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + m])
-        return g
-
-    short, whole = grams(noise), grams(run)
+    short, whole = _grams(hashes, noise), _grams(hashes, run)
     low, at = short[:n].copy(), np.zeros(n, np.int64)
     for k in range(1, window):
         less = short[k:k + n] <= low
@@ -89,25 +94,42 @@ def fingerprints(hashes: np.ndarray, counts: np.ndarray, noise: int, window: int
             whole[inside].view(np.int64))
 
 
-def _windows(noise: int, window: int):
+def short_windows(hashes: np.ndarray, counts: np.ndarray, sizes: np.ndarray, lines: int,
+                  least: int) -> tuple[np.ndarray, ...]:
+    """The same of every run of ``lines`` lines of at least ``least`` bytes."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
+    n = max(len(hashes) - lines + 1, 0)
+    total = np.concatenate(([0], np.cumsum(sizes)))
+    use = (owner[:n] == owner[len(owner) - n:]) & (total[lines:lines + n] - total[:n] >= least)
+    mark = mix64(_grams(hashes, lines)[use] ^ np.uint64(lines * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)).view(np.int64)
+    return owner[:n][use], place[:n][use], mark, place[:n][use], mark
+
+
+def _windows(noise: int, window: int, least: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        full = noise + window - 1
         for s in text_slices(batches):
-            owner, start, mark, at, lines = fingerprints(*line_hashes(s.data, s.offsets), noise, window)
-            take = pa.array(owner)
-            yield pa.RecordBatch.from_arrays(
-                [s.rows.column(0).take(take), s.rows.column(1).take(take), pa.array(start.astype(np.int32)),
-                 pa.array(mark), pa.array(at.astype(np.int32)), pa.array(lines)],
-                ["did", "th", "start", "mark", "at", "run"])
+            hashes, counts, sizes = line_hashes(s.data, s.offsets)
+            found = [(full, fingerprints(hashes, counts, noise, window))]
+            if least is not None:
+                found += [(k, short_windows(hashes, counts, sizes, k, least)) for k in range(1, full)]
+            for lines, (owner, start, mark, at, whole) in found:
+                take = pa.array(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [s.rows.column(0).take(take), s.rows.column(1).take(take), pa.array(start.astype(np.int32)),
+                     pa.array(mark), pa.array(at.astype(np.int32)), pa.array(whole),
+                     pa.array(np.full(len(owner), lines, np.int32))],
+                    ["did", "th", "start", "mark", "at", "run", "lines"])
     return run
 
 
-def repeated_runs(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) -> DataFrame:
+def repeated_runs(docs: DataFrame, noise: int = NOISE, window: int = WINDOW, least: int | None = None) -> DataFrame:
     """(did, th, first, last, from_did, from_th, from_line): maximal runs of
     lines (numbered without blank ones, from 0) that repeat an earlier place."""
-    run = noise + window - 1
     listed = stored(docs.select("did", "th", "text")
-                    .mapInArrow(_windows(noise, window), "did long, th long, start int, mark long, at int, run long"),
-                    "windows")
+                    .mapInArrow(_windows(noise, window, least),
+                                "did long, th long, start int, mark long, at int, run long, lines int"), "windows")
     total = listed.count()
 
     # fingerprints at two or more positions
@@ -125,35 +147,34 @@ def repeated_runs(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) ->
              .where(F.col("n") > 1))
     later = (join_by_key(joined, stored(first, "first"), ["mark", "run"], "n", total)
              .where(F.struct("did", "th", "start") != F.col("f"))
-             .select("did", "th", "start", F.col("f.did").alias("from_did"), F.col("f.th").alias("from_th"),
-                     F.col("f.start").alias("from_line")).distinct())
-
-    # neighbours on one diagonal extend each other
-    order = Window.partitionBy("did", "th").orderBy("from_did", "from_th", F.col("start") - F.col("from_line"), "start")
-
-    def step(c, by):
-        return F.lag(c).over(order) == F.col(c) - by
-
-    same = step("from_did", 0) & step("from_th", 0) & step("start", 1) & step("from_line", 1)
-    return (later.withColumn("new", F.when(same, 0).otherwise(1))
+             .select("did", "th", "start", (F.col("start") + F.col("lines") - 1).alias("end"),
+                     F.col("f.did").alias("from_did"), F.col("f.th").alias("from_th"),
+                     F.col("f.start").alias("from_line")).distinct()
+             .withColumn("diagonal", F.col("start") - F.col("from_line")))
+
+    # neighbours on one diagonal extend each other; a window inside others is theirs
+    one = ["did", "th", "from_did", "from_th", "diagonal"]
+    order = Window.partitionBy(*one).orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = (F.col("start") - F.lag("start").over(order) > 1) & (F.col("end") > reach)
+    return (later.withColumn("new", F.when(apart, 1).otherwise(0))
             .withColumn("part", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-            .groupBy("did", "th", "part")
-            .agg(F.min("start").alias("first"), (F.max("start") + (run - 1)).alias("last"),
-                 F.min("from_did").alias("from_did"), F.min("from_th").alias("from_th"),
-                 F.min("from_line").alias("from_line"))
-            .drop("part"))
+            .groupBy(*one, "part")
+            .agg(F.min("start").alias("first"), F.max("end").alias("last"), F.min("from_line").alias("from_line"))
+            .select("did", "th", "first", "last", "from_did", "from_th", "from_line"))
 
 
 RESULTS = ["n_lines", "n_removed", "n_runs"]
 
 
-def line_dedup(docs: DataFrame, noise: int = NOISE, window: int = WINDOW) -> DataFrame:
+def line_dedup(docs: DataFrame, noise: int = NOISE, window: int = WINDOW, least: int | None = None) -> DataFrame:
     """All rows and columns of ``docs``, the text without its later repeated
-    runs, with n_lines and n_removed (lines that are not blank) and n_runs."""
+    runs (of whole windows, and with ``least`` also shorter ones of so many
+    bytes), with n_lines and n_removed (lines that are not blank) and n_runs."""
     base = (packed(docs, RESULTS)
             .withColumn("did", F.coalesce(F.col("doc_id"), F.lit(-2**63)))
             .withColumn("th", F.xxhash64(F.coalesce("text", F.lit("")))))
-    runs = repeated_runs(base.select("did", "th", "text"), noise, window)
+    runs = repeated_runs(base.select("did", "th", "text"), noise, window, least)
     per_doc = runs.groupBy("did", "th").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     covered = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["first"], r["last"]))))
     hit = stored(per_doc.select("did", "th", F.size("runs").alias("n_runs"), covered.alias("covered")), "covered")

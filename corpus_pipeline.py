@@ -5,7 +5,8 @@ the documents it keeps with their columns, the last one the packed pieces. Each
 stage decides on all that its predecessor kept:
 
 1. language_id: documents without a letter, or that no language claims, go;
-2. line_dedup: later occurrences of repeated runs of lines are cut from texts;
+2. line_dedup: later occurrences of repeated runs of lines are cut from texts,
+   whatever their length from 3 lines on, and of one or two lines from 40 bytes on;
 3. near_dedup: of each class of near-duplicates the smallest doc_id stays;
 4. suffix_dedup: long byte strings that occur more than once are cut from texts;
 5. packing: the texts left, as token ids, in sequences of 4096.
@@ -48,7 +49,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later repeated runs of lines."""
-    return _with_text(line_dedup.line_dedup(_packed(docs)), docs.columns, "text")
+    return _with_text(line_dedup.line_dedup(_packed(docs), least=line_dedup.LEAST_BYTES), docs.columns, "text")
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -100,6 +100,40 @@ def test_line_dedup_equals_brute_force(docs):
     assert sum(r.n_removed for r in got) > 0 and all(r.n_removed <= r.n_lines for r in got)
 
 
+def test_short_runs_of_enough_bytes_go(spark, docs, texts):
+    parts = [(900 + i, "\n".join([*t.split("\n")[i % 3:i % 3 + 1 + i % 2], f"own {i}"])) for i, t in enumerate(texts[:30])]
+    docs = docs.where("doc_id is null or doc_id <> 3").select("doc_id", "text") \
+        .unionByName(spark.createDataFrame(parts, "doc_id long, text string"))
+    rows = docs.collect()
+    places = sorted({(r.doc_id if r.doc_id is not None else -2**63, r.text or "") for r in rows}, key=lambda x: x[0])
+    seen, expected, lone = set(), collections.Counter(), 0
+    texts = [[x for x in t.split("\n") if x.strip(SPACE)] for _, t in places]
+    for (d, t), solid in zip(places, texts):
+        words, gone = [x.strip(SPACE) for x in solid], set()
+        for run in (1, 2, 3):
+            for j in range(len(words) - run + 1):
+                k = tuple(words[j:j + run])
+                if run == 3 or len("".join(k).encode()) >= 40:
+                    gone |= set(range(j, j + run)) if k in seen else set()
+                    seen.add(k)
+        lone += len(gone) in (1, 2)
+        at = [i for i, x in enumerate(t.split("\n")) if x.strip(SPACE)]
+        cut = {at[i] for i in gone}
+        expected[d, "\n".join(x for i, x in enumerate(t.split("\n")) if i not in cut)] += 1
+    got = line_dedup.line_dedup(docs, least=40).collect()
+    assert len(got) == len(rows) and lone > 0
+    assert collections.Counter((r.doc_id if r.doc_id is not None else -2**63, r.text or "") for r in got) == expected
+
+
+def test_pipeline_cuts_single_lines(spark):
+    import corpus_pipeline
+    line, short = "All rights to this page are with its owners.", "Read more."
+    docs = spark.createDataFrame([(1, f"one\n{line}\n{short}"), (2, line), (3, f"two\n{line}"), (4, f"{short}\nthree")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.dedup_lines(spark, docs, "").collect()}
+    assert got == {1: f"one\n{line}\n{short}", 2: "", 3: "two", 4: f"{short}\nthree"}
+
+
 def test_line_runs_extend(spark):
     shared = [f"line {i}" for i in range(10)]
     docs = spark.createDataFrame([(1, "\n".join(["a", *shared, "b"])), (2, "\n".join(["c", "", *shared[:6], " ", *shared[6:]])),
