@@ -5,8 +5,9 @@ Every id is coded in one step by a mixture of four predictions. Orders 2, 1 and
 followed the id before, and that is ahead in the block so far. A prediction has
 a confidence (how often it came true), and for every order and confidence the
 block learns how often such predictions hold; that is the share of the range the
-order gets of what the higher orders leave. The rest goes to all ids by their
-counts in the group of blocks, which the group's header holds.
+order gets of what the higher orders leave. The rest, and a reserve of one point
+for each of the header's counts, goes to all ids by their counts in the group of
+blocks, so no id of the header is ever without a range.
 
 Blocks start from a fresh state and end with their own words, so each can be
 decoded and checked alone, given the header. Many blocks are coded in step:
@@ -103,11 +104,11 @@ class _Mixture:
         p[1] *= one != two
         p[2] *= (top != two) & (top != one)
         share = np.empty((3, m), np.int64)
-        left = np.full(m, 1 << MIX_BITS, np.int64)
+        free = np.full(m, (1 << MIX_BITS) - (1 << COUNT_BITS), np.int64)
         for k in range(3):
-            share[k] = ((left >> 16) * p[k] * 15) >> 4
-            left -= share[k]
-        self.share, self.left = share, left
+            share[k] = (free * p[k]) >> 16
+            free -= share[k]
+        self.share, self.left = share, free + (1 << COUNT_BITS)
 
     def update(self, ids: np.ndarray) -> None:
         """Learn the ids that came."""

@@ -174,3 +174,20 @@ def test_blocks_round_trip_many():
         coded = mixing_coder.encode_blocks(blocks, header)
         back = mixing_coder.decode_blocks(coded, [len(b) for b in blocks], header)
         assert all(len(a) == len(b) and (a == b).all() for a, b in zip(back, blocks))
+
+
+def test_rare_ids_after_repeated_lines():
+    """Ids of count 1 in the header keep a range when all orders are confident."""
+    rng = np.random.default_rng(3)
+    blocks = []
+    for k in range(300):
+        line = rng.integers(0, 40, rng.integers(1, 12))
+        block = np.tile(line, 1024 // len(line) + 1)[:1024].astype(np.uint32)
+        block[rng.integers(100, 1024, 6)] = 1000 + 6 * k + np.arange(6)
+        blocks.append(block)
+    common = np.repeat(np.arange(40, dtype=np.uint32), 100_000)
+    header = mixing_coder.scaled_counts(np.concatenate([common, *blocks]))
+    assert (header[1][header[0] >= 1000] == 1).all()
+    coded = mixing_coder.encode_blocks(blocks, header)
+    back = mixing_coder.decode_blocks(coded, [len(b) for b in blocks], header)
+    assert all((a == b).all() for a, b in zip(back, blocks))
