@@ -63,6 +63,18 @@ def test_slots_keep_names(spark):
     assert w.count() == len({f for r in tr.collect() for f in r.feats})
 
 
+def test_default_slots_tell_features_apart(spark):
+    """Two features that meet in one of 2^18 slots have their own weights."""
+    names = spark.range(4000).select(F.concat(F.lit("demo^f"), "id").alias("f"))
+    at = names.select("f", learn.slot(F.col("f"), 18).alias("low"), learn.slot(F.col("f"), 24).alias("high"))
+    a, b = at.alias("x").join(at.alias("y"), "low").where("x.high < y.high").select("x.f", "y.f").first()
+    tr = spark.createDataFrame([(str(i), 1.0 if i % 3 else -1.0, 1.0, [a if i % 3 else b]) for i in range(30)],
+                               "row_id string, label double, importance double, feats array<string>")
+    predict, w = learn.train(tr, "squared", passes=10)
+    got = {f"demo^{r.token}": r.weight for r in w.collect()}
+    assert got == pytest.approx({a: 1.0, b: -1.0}, abs=1e-3) and learn.accuracy(predict(tr)) == 1.0
+
+
 def test_slot_is_the_vector_index(spark):
     df = spark.createDataFrame([([f"demo^{x}"],) for x in ("a", "bc", "éö", "日本", "long token"[:4], "x" * 17)], "feats array<string>")
     transform, _ = learn.vectorize(df, 10)
