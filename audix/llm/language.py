@@ -27,11 +27,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from audix.llm.batches import text_slices
-from audix.llm.shared import packed, ship
+from audix.llm.shared import packed, ship, small, stored
 
 DIMENSIONS = 8192
 GRAMS = (1, 2, 3, 4)
@@ -41,8 +41,11 @@ RIDGE = 1e-2
 UNKNOWN = "und"
 RESULTS = ["lang_pred", "score"]
 BATCH = 512
-# Most languages told apart: the most frequent labels.
-LANGUAGES = 100
+# Every label has so many training rows at least, if it has the documents, and
+# so many landmarks on average.
+LABEL_ROWS, LABEL_LANDMARKS = 20, 2
+# Parts in which the first rows of a label are found before they meet.
+SALTS = 64
 
 
 def presence(data: np.ndarray, offsets: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -81,6 +84,7 @@ def fit(marks: np.ndarray, languages: list[str], landmarks: int = LANDMARKS, rid
     """Nystroem features of all presence rows against evenly dealt landmarks,
     then one ridge regression per language with targets 1 and 0."""
     names = sorted(set(languages))
+    landmarks = max(landmarks, LABEL_LANDMARKS * len(names))
     marks = marks.astype(np.float64)
     marks /= np.sqrt(np.maximum(marks.sum(axis=1), 1))[:, None]
     chosen = np.unique(np.linspace(0, len(marks) - 1, min(landmarks, len(marks))).astype(int))
@@ -107,21 +111,22 @@ def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def training_sample(labelled: DataFrame, rows: int = LANDMARKS + TRAIN_ROWS) -> list:
     """(doc_id, lang, marks) of at most ``rows`` documents, dealt evenly over
     the languages in the order of a hash of doc_id, so that the sample is the
-    same each time. Whole texts count; a row is DIMENSIONS bits."""
-    ids = labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").where("doc_id is not null")
-    counts = ids.groupBy("lang").agg(F.count("*").alias("n"))
-    names = sorted(r.lang for r in counts.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect())
+    same each time; or of LABEL_ROWS a language, where that is more. No language
+    is left out. Whole texts count; a row is DIMENSIONS bits."""
+    ids = (labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "lang").where("doc_id is not null").distinct())
+    names = ids.select("lang").distinct().count()
     if not names:
         return []
     order = F.xxhash64(F.col("doc_id").cast("string"))
-    best = [ids.where(F.col("lang") == name).distinct().orderBy(order, "doc_id").limit(rows // len(names))
-            for name in names]
-    chosen = best[0]
-    for more in best[1:]:
-        chosen = chosen.unionByName(more)
+    each = max(rows // names, LABEL_ROWS)
+    chosen = ids.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit("salt")), F.lit(SALTS)))
+    for part in (["lang", "salt"], ["lang"]):
+        at = F.row_number().over(Window.partitionBy(*part).orderBy(order, "doc_id"))
+        chosen = chosen.withColumn("at", at).where(F.col("at") <= each)
+    chosen = small(stored(chosen.select("doc_id", "lang"), "sample"), 64)
     lettered = labelled.where(F.col("text").rlike(r"\p{L}"))
     marks = (lettered.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", F.lower("text").alias("text"))
-             .join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+             .join(chosen, ["doc_id", "lang"], "left_semi")
              .mapInArrow(_present, "doc_id long, lang string, marks binary"))
     return marks.groupBy("doc_id", "lang").agg(F.min("marks").alias("marks")).orderBy(order, "doc_id", "lang").collect()
 

@@ -3,6 +3,7 @@
 import collections
 import math
 import os
+import random
 import re
 import zlib
 
@@ -27,6 +28,19 @@ def test_language_held_out_accuracy(spark):
     assert sum(r.lang_pred == docs[r.doc_id].lang for r in held) >= 0.95 * len(held)
 
 
+def test_no_language_is_left_out(spark):
+    """130 labels, one document of each held out."""
+    rng = random.Random(6)
+    rows = []
+    for k in range(130):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(6)]
+        rows += [(10 * k + i, " ".join(rng.choice(words) for _ in range(30)), f"l{k:03d}") for i in range(5 + (k < 100))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.lang for r in language.training_sample(docs)} == {f"l{k:03d}" for k in range(130)}
+    got = language.identify(docs.where("doc_id % 10 = 0"), docs.where("doc_id % 10 > 0")).collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= 128
+
+
 def test_language_cases(spark):
     rows = [(1, "der die das und nicht", "de", "q"), (2, "the and of with this", "en", None), (3, None, "en", "x"),
             (4, "", None, "x"), (5, "123 !? 456", "de", "x"), (6, "the and the of", None, "x"), (None, "und nicht das", "de", "x")]
