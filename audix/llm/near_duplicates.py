@@ -189,9 +189,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = SHINGLE_WOR
     repeated = stored(groups.where(F.col("n") > 1), "repeated")
     n_rows = sketched.count()
     member = stored(join_by_key(full.select("doc_id", *key), repeated, key, "n", n_rows)
-                    .select("doc_id", "rep"), "members")
-    spare = member.where(F.col("doc_id") != F.col("rep")).select("doc_id")
-    reps = full.join(spare, "doc_id", "left_anti")
+                    .select("doc_id", "rep", *key), "members")
+    spare = member.where(F.col("doc_id") != F.col("rep")).select("doc_id", *key)
+    reps = full.join(spare, ["doc_id", *key], "left_anti")
+    # an id of several sets keeps the others, and links them to its copies
+    sets_of = F.struct(*key)
+    twofold = (full.where(F.col("doc_id").isNotNull()).groupBy("doc_id")
+               .agg(F.min(sets_of).alias("lo"), F.max(sets_of).alias("hi")).where(F.col("lo") != F.col("hi")))
+    equal = stored(member.where(F.col("doc_id") != F.col("rep")).join(twofold.select("doc_id"), "doc_id", "left_semi")
+                   .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "equal")
 
     # 2. band buckets of at least two sets
     rows_ = stored(reps.select("doc_id", "n_shingles", F.explode("bands").alias("key")), "bands")
@@ -216,7 +222,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = SHINGLE_WOR
     star = headed.where(F.col("doc_id") != F.col("head")).select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
     checked = stored(_verified(star.distinct(), sets), "checked")
     linked = 100 * F.col("common") >= percent * F.col("both")
-    links = checked.where(linked).select("a", "b")
+    links = checked.where(linked).select("a", "b").unionByName(equal)
     found = components(links)
 
     # 4. members of one bucket that are still apart

@@ -60,6 +60,14 @@ def test_sketches_fill_and_estimate():
     assert (empty == near_duplicates._EMPTY).all()
 
 
+def test_repeated_id_links_all_its_texts(spark):
+    """Id 50 is a copy of 3, and also has a text of which 60 is a near copy."""
+    a, b = " ".join(f"a{i}" for i in range(100)), " ".join(f"b{i}" for i in range(100))
+    rows = [(3, a), (50, a), (50, b), (60, b + " more"), (70, " ".join(f"c{i}" for i in range(100)))]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(3, 3), (50, 3), (50, 3), (60, 3), (70, 70)]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 101), (101, 102), (7, 7)] + [(500, 500 + k) for k in range(1, 40)]
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
