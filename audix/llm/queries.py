@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audix.llm import near_duplicates as near
-from audix.llm import byte_bpe, graph_search, id_files, language, licences, line_dedup, packing, suffix_dedup, top_k, twins
+from audix.llm import (byte_bpe, graph_search, id_files, language, licences, line_dedup, merkle, packing,
+                       suffix_dedup, top_k, twins)
 from audix.llm.shared import read_table
 
 
@@ -86,6 +89,21 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document in the Merkle tree of all, checked on rows of which
+    one in five shows its text in lower case."""
+    docs = read_table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    rows = docs.select("doc_id", "source", merkle.leaf([F.col(c) for c in merkle.FIELDS]).alias("leaf"), F.when(
+        tampered, merkle.leaf([lower if c == "text" else F.col(c) for c in merkle.FIELDS])).alias("tampered"))
+    found = merkle.manifest(rows, "source", "doc_id", "leaf", ["doc_id", "tampered"])
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return (found.select("doc_id", "leaf", "subroot", "root",
+                         F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 QUERIES = {
     "op1_licence_scan": op1_licence_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -97,6 +115,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_byte_bpe": op10_byte_bpe,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE: dict[str, str] = {
     "op1_licence_scan": twins.licence_scan(licences.template_words(licences.TEMPLATES), licences.LINE_SHARE,
@@ -104,4 +123,5 @@ ORACLE: dict[str, str] = {
     "op2_line_dedup": twins.LINE_DEDUP,
     "op7_near_duplicates": twins.NEAR_DUPLICATES,
     "op9_exact_top_k": twins.EXACT_TOP_K,
+    "op13_merkle_manifest": twins.merkle_manifest(),
 }

@@ -103,3 +103,61 @@ SELECT h.doc_id, h.path, coalesce(o.licence, g.licence) AS licence, coalesce(o.c
        CASE WHEN o.licence IS NULL THEN g.directory END AS directory
 FROM homes h LEFT JOIN own o USING (doc_id) LEFT JOIN nearest n USING (doc_id) LEFT JOIN given g ON g.directory = n.directory
 """
+
+
+def merkle_manifest(levels: int = 5, fanout: int = 16) -> str:
+    """Merkle proofs of sources of at most ``fanout ** levels`` documents, as many sources at most."""
+    leaf = " || ".join(f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+                       for c in ("doc_id", "source", "lang", "n_chars", "text"))
+    lower = leaf.replace("CAST(text AS", "CAST(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+                         "'abcdefghijklmnopqrstuvwxyz') AS")
+
+    def forest(name: str, tree: str) -> str:
+        """Levels 1, 2, ... of the nodes of level 0, and the siblings of every node."""
+        out = []
+        for k in range(levels):
+            out.append(f"""{name}{k + 1} AS (SELECT {tree}, i // {fanout} AS i, (n + {fanout - 1}) // {fanout} AS n,
+  CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE max(h) END AS h
+  FROM {name}{k} GROUP BY {tree}, i // {fanout}, n)""")
+            run = f"OVER (PARTITION BY {tree}, i // {fanout} ORDER BY i ROWS BETWEEN"
+            out.append(f"""{name}w{k} AS (SELECT {tree}, i, n,
+  coalesce(string_agg(h, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+  coalesce(string_agg(h, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM {name}{k})""")
+        return ",\n".join(out)
+
+    def climb(start: str, name: str, tree: str, on: str) -> tuple[str, str]:
+        """Steps from table ``start`` (columns p, x, i) up the levels of a forest."""
+        out, last = [], start
+        for k in range(levels):
+            out.append(f"""{start}{name}{k} AS (SELECT r.* REPLACE (r.p || w.a || w.b AS p,
+  CASE WHEN w.n > 1 THEN sha256(w.a || r.x || w.b) ELSE r.x END AS x)
+  FROM {last} r JOIN {name}w{k} w ON {on} AND w.i = r.{tree}i // {fanout ** k})""")
+            last = f"{start}{name}{k}"
+        return ",\n".join(out), last
+
+    low, last = climb("c", "s", "", "w.source IS NOT DISTINCT FROM r.source")
+    high, top = climb(last, "t", "s", "true")
+    return f"""
+WITH RECURSIVE e(k, s, v) AS (
+  SELECT range, 0, range FROM range(256)
+  UNION ALL SELECT k, s + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM e WHERE s < 8),
+crc AS (SELECT list(v ORDER BY k) AS t FROM e WHERE s = 8),
+f AS (SELECT doc_id, source, sha256({leaf}) AS leaf,
+  CASE WHEN xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS BIGINT) + 1]))) % 5 = 0
+    THEN sha256({lower}) ELSE sha256({leaf}) END AS shown
+  FROM documents, crc),
+s0 AS (SELECT doc_id, source, leaf, shown, leaf AS h, count(*) OVER (PARTITION BY source) AS n,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM f),
+{forest("s", "source")},
+t0 AS (SELECT 0 AS z, source, h, h AS subroot, count(*) OVER () AS n,
+  row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i FROM s{levels}),
+{forest("t", "z")},
+c AS (SELECT s0.doc_id, s0.source, s0.leaf, t0.subroot, s0.i, t0.i AS si, s0.shown AS x, '' AS p
+  FROM s0 JOIN t0 ON s0.source IS NOT DISTINCT FROM t0.source),
+{low},
+{high}
+SELECT doc_id, leaf, subroot, (SELECT h FROM t{levels}) AS root, sha256(p) AS proof_sha256, x AS folded_root,
+       x = (SELECT h FROM t{levels}) AS verified
+FROM {top}
+"""
