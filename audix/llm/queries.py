@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audix.llm import near_duplicates as near
-from audix.llm import (byte_bpe, graph_search, id_files, language, licences, line_dedup, merkle, packing,
+from audix.llm import (byte_bpe, graph_search, id_files, language, lexical, licences, line_dedup, merkle, packing,
                        suffix_dedup, top_k, twins)
 from audix.llm.shared import read_table
 
@@ -89,6 +89,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 highest-scoring documents of every benchmark item."""
+    return lexical.rank_all(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                            read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Proof of every document in the Merkle tree of all, checked on rows of which
     one in five shows its text in lower case."""
@@ -115,6 +121,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_lexical_search": op12_lexical_search,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 ORACLE: dict[str, str] = {
@@ -123,5 +130,6 @@ ORACLE: dict[str, str] = {
     "op2_line_dedup": twins.LINE_DEDUP,
     "op7_near_duplicates": twins.NEAR_DUPLICATES,
     "op9_exact_top_k": twins.EXACT_TOP_K,
+    "op12_lexical_search": twins.LEXICAL_SEARCH,
     "op13_merkle_manifest": twins.merkle_manifest(),
 }

@@ -104,6 +104,27 @@ SELECT h.doc_id, h.path, coalesce(o.licence, g.licence) AS licence, coalesce(o.c
 FROM homes h LEFT JOIN own o USING (doc_id) LEFT JOIN nearest n USING (doc_id) LEFT JOIN given g ON g.directory = n.directory
 """
 
+LEXICAL_SEARCH = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+i AS (SELECT item_id, text, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT item_id, text, t, count(*) AS q FROM i GROUP BY ALL),
+p AS (SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM d)
+      WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+           FROM p, s GROUP BY t),
+scored AS (SELECT item_id, text, r, doc_id, CAST(sum(q * w * ((1000000000 * tf) //
+             (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // total)))) AS BIGINT) AS score
+           FROM q JOIN p USING (t) JOIN weight USING (t), s GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+  FROM scored WHERE score > 0) WHERE rank <= 20
+"""
+
 
 def merkle_manifest(levels: int = 5, fanout: int = 16) -> str:
     """Merkle proofs of sources of at most ``fanout ** levels`` documents, as many sources at most."""
