@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from audix.llm import near_duplicates as near
 from audix.llm import (byte_bpe, graph_search, id_files, language, lexical, licences, line_dedup, merkle, packing,
-                       suffix_dedup, top_k, twins)
+                       suffix_dedup, top_k, toxicity, twins)
 from audix.llm.shared import read_table
 
 
@@ -89,6 +89,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels of those that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~toxicity.held_out())
+    found = toxicity.find_toxic(docs, toxicity.learn(docs, labels))
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                        (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_passages")
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """20 highest-scoring documents of every benchmark item."""
     return lexical.rank_all(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -121,6 +130,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_toxicity": op11_toxicity,
     "op12_lexical_search": op12_lexical_search,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
