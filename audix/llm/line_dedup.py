@@ -1,7 +1,8 @@
 """Line dedup by winnowing.
 
 A document is the sequence of its lines that are not blank, each hashed after
-trimming. Grams of NOISE lines are hashed, and in every window of WINDOW grams
+trimming, by 128 bits of BLAKE2 (two lines are taken as equal only where all of
+them agree). Grams of NOISE lines are hashed, and in every window of WINDOW grams
 the smallest one (the rightmost of equal ones) is a fingerprint; a window spans
 RUN = NOISE + WINDOW - 1 lines, so any run of RUN or more equal lines in two
 places has a common fingerprint at the same place in both (the guarantee of
@@ -29,6 +30,7 @@ one place, which keeps its lines; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from audix.llm.batches import mix64, text_slices
-from audix.llm.rolling import RollingHash
 from audix.llm.shared import discard, join_by_key, packed, small, stored
 
 NOISE, WINDOW = 2, 2
@@ -49,20 +50,21 @@ _NOT_BLANK = "[^\\x09-\\x0D\\x20]"
 
 
 def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of each line that is not blank, trimmed; such lines per text; bytes
-    of each)."""
+    """(hashes of each line that is not blank, trimmed, as two columns of 64 bits;
+    such lines per text; bytes of each)."""
     breaks = np.flatnonzero(data == 0x0A)
     start = np.unique(np.concatenate((offsets[:-1], breaks + 1)))
     start = start[start < len(data)]
     end = np.append(start[1:], len(data))
     solid = np.flatnonzero(~_SPACE[data])
     if len(solid) == 0:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64), np.zeros(0, np.int64)
+        return np.zeros((0, 2), np.uint64), np.zeros(len(offsets) - 1, np.int64), np.zeros(0, np.int64)
     lo, hi = np.searchsorted(solid, start), np.searchsorted(solid, end)
     full = hi > lo
     a, b = solid[lo[full]], solid[hi[full] - 1] + 1
-    hashes = mix64(RollingHash(data).of(a, b) ^ (b - a).astype(np.uint64))
-    return hashes, np.diff(np.searchsorted(a, offsets)), b - a
+    text = data.tobytes()
+    hashes = b"".join([blake2b(text[i:j], digest_size=16).digest() for i, j in zip(a.tolist(), b.tolist())])
+    return np.frombuffer(hashes, np.uint64).reshape(-1, 2), np.diff(np.searchsorted(a, offsets)), b - a
 
 
 def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -74,16 +76,16 @@ def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
 
 
 def fingerprints(hashes: np.ndarray, counts: np.ndarray, noise: int, window: int) -> tuple[np.ndarray, ...]:
-    """(text, first line, fingerprint, its line, hash of all its lines) of every
-    window of the texts of a slice."""
+    """(text, first line, fingerprint, its line, two hashes of all its lines) of
+    every window of the texts of a slice."""
     run = noise + window - 1
     owner = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
     n = len(hashes) - run + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
-        return none, none, none, none, none
-    short, whole = _grams(hashes, noise), _grams(hashes, run)
+        return none, none, none, none, none, none
+    short, whole, check = _grams(hashes[:, 0], noise), _grams(hashes[:, 0], run), _grams(hashes[:, 1], run)
     low, at = short[:n].copy(), np.zeros(n, np.int64)
     for k in range(1, window):
         less = short[k:k + n] <= low
@@ -91,7 +93,7 @@ def fingerprints(hashes: np.ndarray, counts: np.ndarray, noise: int, window: int
     inside = owner[:n] == owner[run - 1:]
     start = place[:n]
     return (owner[:n][inside], start[inside], low[inside].view(np.int64), (start + at)[inside],
-            whole[inside].view(np.int64))
+            whole[inside].view(np.int64), check[inside].view(np.int64))
 
 
 def short_windows(hashes: np.ndarray, counts: np.ndarray, sizes: np.ndarray, lines: int,
@@ -102,8 +104,9 @@ def short_windows(hashes: np.ndarray, counts: np.ndarray, sizes: np.ndarray, lin
     n = max(len(hashes) - lines + 1, 0)
     total = np.concatenate(([0], np.cumsum(sizes)))
     use = (owner[:n] == owner[len(owner) - n:]) & (total[lines:lines + n] - total[:n] >= least)
-    mark = mix64(_grams(hashes, lines)[use] ^ np.uint64(lines * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)).view(np.int64)
-    return owner[:n][use], place[:n][use], mark, place[:n][use], mark
+    salt = np.uint64(lines * 0x632BE59BD9B4E019 & 0xFFFFFFFFFFFFFFFF)
+    mark, check = (mix64(_grams(hashes[:, i], lines)[use] ^ salt).view(np.int64) for i in (0, 1))
+    return owner[:n][use], place[:n][use], mark, place[:n][use], mark, check
 
 
 def _windows(noise: int, window: int, least: int | None):
@@ -114,13 +117,13 @@ def _windows(noise: int, window: int, least: int | None):
             found = [(full, fingerprints(hashes, counts, noise, window))]
             if least is not None:
                 found += [(k, short_windows(hashes, counts, sizes, k, least)) for k in range(1, full)]
-            for lines, (owner, start, mark, at, whole) in found:
+            for lines, (owner, start, mark, at, whole, check) in found:
                 take = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
                     [s.rows.column(0).take(take), s.rows.column(1).take(take), pa.array(start.astype(np.int32)),
-                     pa.array(mark), pa.array(at.astype(np.int32)), pa.array(whole),
+                     pa.array(mark), pa.array(at.astype(np.int32)), pa.array(whole), pa.array(check),
                      pa.array(np.full(len(owner), lines, np.int32))],
-                    ["did", "th", "start", "mark", "at", "run", "lines"])
+                    ["did", "th", "start", "mark", "at", "run", "check", "lines"])
     return run
 
 
@@ -129,7 +132,7 @@ def repeated_runs(docs: DataFrame, noise: int = NOISE, window: int = WINDOW, lea
     lines (numbered without blank ones, from 0) that repeat an earlier place."""
     listed = stored(docs.select("did", "th", "text")
                     .mapInArrow(_windows(noise, window, least),
-                                "did long, th long, start int, mark long, at int, run long, lines int"), "windows")
+                                "did long, th long, start int, mark long, at int, run long, check long, lines int"), "windows")
     total = listed.count()
 
     # fingerprints at two or more positions
@@ -142,10 +145,10 @@ def repeated_runs(docs: DataFrame, noise: int = NOISE, window: int = WINDOW, lea
     discard(listed, marks)
 
     # every window against the first place with the same lines
-    first = (joined.groupBy("mark", "run")
+    first = (joined.groupBy("mark", "run", "check")
              .agg(F.count("*").alias("n"), F.min(F.struct("did", "th", "start")).alias("f"))
              .where(F.col("n") > 1))
-    later = (join_by_key(joined, stored(first, "first"), ["mark", "run"], "n", total)
+    later = (join_by_key(joined, stored(first, "first"), ["mark", "run", "check"], "n", total)
              .where(F.struct("did", "th", "start") != F.col("f"))
              .select("did", "th", "start", (F.col("start") + F.col("lines") - 1).alias("end"),
                      F.col("f.did").alias("from_did"), F.col("f.th").alias("from_th"),

@@ -32,6 +32,7 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,9 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+# Bytes of a word up to which a polynomial modulo 2**64 tells words apart. Longer ones of the
+# Thue-Morse kind would collide under any base; they are hashed by BLAKE2.
+SHORT_WORD = 64
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,13 +76,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     where = np.flatnonzero(inside)
     word = word[where]
     place = where - start[word]
-    power = np.cumprod(np.full(int(place.max()) + 1, _BASE, np.uint64))
-    terms = _BYTE[_LOWER[data[where]]] * power[place]
+    power = np.cumprod(np.full(SHORT_WORD, _BASE, np.uint64))
+    terms = _BYTE[_LOWER[data[where]]] * power[np.minimum(place, SHORT_WORD - 1)]
     begin = np.searchsorted(where, start)
     sums = np.add.reduceat(terms, begin)
     size = np.diff(np.append(begin, len(where))).astype(np.uint64)
     counts = np.diff(np.searchsorted(start, offsets))
-    return mix64(sums ^ (size * np.uint64(0xD6E8FEB86659FD93))), counts
+    hashes = mix64(sums ^ (size * np.uint64(0xD6E8FEB86659FD93)))
+    for i in np.flatnonzero(size > SHORT_WORD):
+        word = _LOWER[data[start[i]:start[i] + int(size[i])]]
+        hashes[i] = int.from_bytes(blake2b(word.tobytes(), digest_size=8).digest(), "little")
+    return hashes, counts
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
