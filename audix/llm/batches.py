@@ -17,6 +17,15 @@ import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
 
+# What tasks of one operator leave in a Python worker for its next ones.
+CACHES: list = []
+
+
+def forget() -> None:
+    """Drop what other operators' tasks left in this worker."""
+    for cache in CACHES:
+        cache.cache_clear()
+
 
 @dataclass
 class TextSlice:

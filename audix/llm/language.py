@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from audix.llm.batches import text_slices
+from audix.llm.batches import forget, text_slices
 from audix.llm.shared import packed, ship, small, stored
 
 DIMENSIONS = 8192
@@ -133,6 +133,7 @@ def training_sample(labelled: DataFrame, rows: int = LANDMARKS + TRAIN_ROWS) ->
 
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for s in text_slices(batches):
             best, top = np.zeros(len(s), np.int64), np.zeros(len(s), np.float32)
             for a in range(0, len(s), BATCH):

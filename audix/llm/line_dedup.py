@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from audix.llm.batches import mix64, text_slices
+from audix.llm.batches import forget, mix64, text_slices
 from audix.llm.shared import discard, join_by_key, packed, small, stored
 
 NOISE, WINDOW = 2, 2
@@ -111,6 +111,7 @@ def short_windows(hashes: np.ndarray, counts: np.ndarray, sizes: np.ndarray, lin
 
 def _windows(noise: int, window: int, least: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         full = noise + window - 1
         for s in text_slices(batches):
             hashes, counts, sizes = line_hashes(s.data, s.offsets)

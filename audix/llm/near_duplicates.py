@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audix.llm.batches import mix64, ragged, random_words, spread, text_slices
+from audix.llm.batches import forget, mix64, ragged, random_words, spread, text_slices
 from audix.llm.components import components
 from audix.llm.shared import discard, join_by_key, ship, small, stored
 
@@ -146,6 +146,7 @@ def band_keys(sketch: np.ndarray, bands: int = BANDS, rows: int = BAND_ROWS) ->
 
 def _sketched(bands: int, rows: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for s in text_slices(batches):
             sets, sizes = shingle_sets(s.data, s.offsets, words)
             keys = band_keys(sketches(sets, sizes, bands * rows), bands, rows)

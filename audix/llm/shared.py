@@ -43,11 +43,15 @@ def discard(*tables: DataFrame) -> None:
 
 
 _SHIPPED: set[str] = set()
+# Arrow batches between the JVM and Python hold 10,000 rows, or so many bytes of them.
+ARROW_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per application: their Python
-    workers import the operators' task code by name, wherever the driver runs."""
+    workers import the operators' task code by name, wherever the driver runs.
+    Batches sent to them are bounded by bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from audix.llm.batches import spread
+from audix.llm.batches import CACHES, spread
 
 # Words a worker remembers; later words are encoded each time they occur.
 CACHE_WORDS = 400_000
@@ -103,6 +103,9 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+CACHES.append(word_encoder)
+
+
 def with_end(ids: np.ndarray, sizes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The end id after every text's ids."""
     out = np.full(len(ids) + len(sizes), end, np.uint32)
