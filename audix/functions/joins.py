@@ -26,3 +26,18 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (e.g. the output
     of a ``limit(k)`` top-k, or one row per fixed vocabulary entry)."""
     return F.broadcast(df)
+
+
+# A key is heavy when more than one in HEAVY_SHARE rows has it: there are fewer of them.
+HEAVY_SHARE = 1000
+
+
+def split_join(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Equi-join of ``rows`` with ``table`` (one row a key) that no hot key of ``rows``
+    sends to one task: the heavy keys, counted on ``rows``, are broadcast with their
+    table rows, the others are shuffled."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    total = rows.count()
+    heavy = F.broadcast(counts.where(F.col("_n") > max(1000, total // HEAVY_SHARE)).select(key).join(table, key))
+    light = rows.join(heavy.select(key), key, "left_anti")
+    return rows.join(heavy, key).unionByName(light.join(table, key))

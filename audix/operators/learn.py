@@ -1,30 +1,26 @@
 """Sparse linear click models and their evaluation.
 
-The reference trains an external online learner on text lines. Here the same
-objectives are Spark ML estimators over binary sparse features named
-``namespace^token`` and hashed to 2^bits slots (M1), weighted by importance,
-without intercept:
-squared (LinearRegression), logistic (LogisticRegression), hinge (LinearSVC).
-Quantile loss has no Spark ML estimator and is a full-batch subgradient
-DataFrame loop (explode, join weights, group by feature). The weights of an
-online learner are not reproduced exactly; the objective and the ranking of
-strong features are.
+The reference trains an external online learner on text lines. Here features named
+``namespace^token`` are hashed to 2^bits slots (M1) and the weights of the slots are a
+table (operators/linear.py): ``train`` minimises squared, logistic, hinge or quantile
+loss over all rows, weighted by importance and without intercept; ``train_online`` takes
+adaptive steps in one pass over the rows, as the reference's feature dumps do;
+``cross_validate`` fits the models of all folds together. Models are saved and loaded as
+files. An online learner's exact weights are not reproduced; the objective and the
+ranking of strong features are.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import HashingTF
-from pyspark.ml.linalg import VectorUDT
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 from audix.functions.features import NAMESPACES, namespaced_tokens
 from audix.functions.rank import row_index
+from audix.operators import linear
 from audix.session import cut_lineage
 
 LOSSES = ("squared", "logistic", "hinge", "quantile")
@@ -65,56 +61,15 @@ def vectorize(train: DataFrame, bits: int = DEFAULT_BITS):
     return transform, transform(train)
 
 
-def _estimator(loss: str, passes: int):
-    if loss == "squared":
-        return LinearRegression(fitIntercept=False, weightCol="importance", maxIter=passes,
-                                regParam=0.0, standardization=False, solver="l-bfgs", labelCol="label")
-    if loss == "logistic":
-        return LogisticRegression(fitIntercept=False, weightCol="importance", maxIter=passes,
-                                  regParam=0.0, standardization=False, labelCol="label01")
-    if loss == "hinge":
-        return LinearSVC(fitIntercept=False, weightCol="importance", maxIter=passes,
-                         regParam=0.0, standardization=False, labelCol="label01")
-    raise ValueError(loss)
+def slots(feats, bits: int) -> Column:
+    """The distinct slots of an array of features."""
+    return F.array_distinct(F.transform(F.coalesce(feats, F.array().cast("array<string>")),
+                                        lambda f: slot(f, bits).cast("int")))
 
 
-def _with_label01(df: DataFrame) -> DataFrame:
-    return df.withColumn("label01", F.when(F.col("label") > 0, 1.0).otherwise(0.0))
-
-
-def _slots(df: DataFrame, bits: int) -> DataFrame:
-    """(_row, slot) of the distinct slots of every row."""
-    taken = F.array_distinct(F.transform("feats", lambda f: slot(f, bits).cast("int")))
-    return df.select("_row", F.explode(taken).alias("slot"))
-
-
-def _numbered(df: DataFrame) -> DataFrame:
-    return cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()))
-
-
-def _compact(train: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
-    """(train with ``features`` over the slots that occur, (slot, index) of
-    those). A slot without a feature has weight 0, so leaving it out changes no
-    weight, and a dense vector takes 8 bytes a used slot instead of 8 * 2^bits."""
-    rows = _numbered(train)
-    pairs = cut_lineage(_slots(rows, bits))
-    used = cut_lineage(row_index(pairs.select("slot").distinct(), [F.col("slot")], "index")
-                       .select("slot", (F.col("index") - 1).cast("int").alias("index")))
-    size = max(1, used.count())
-    held = pairs.join(used, "slot").groupBy("_row").agg(F.sort_array(F.collect_list("index")).alias("indices"))
-    indices = F.coalesce("indices", F.array().cast("array<int>"))
-    sparse = F.struct(F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), indices.alias("indices"),
-                               F.transform(indices, lambda i: F.lit(1.0)).alias("values")).alias("v"))
-    vector = F.from_json(F.to_json(sparse), StructType([StructField("v", VectorUDT())]))
-    return rows.join(held, "_row", "left").withColumn("features", vector["v"]).drop("indices", "_row"), used
-
-
-def _slot_weights(used: DataFrame, coef) -> DataFrame:
-    """(slot, weight) of the coefficients that are not 0."""
-    values = coef.toArray()
-    pairs = [(int(i), float(values[i])) for i in values.nonzero()[0]]
-    weights = used.sparkSession.createDataFrame(pairs, "index int, weight double")
-    return cut_lineage(used.join(weights, "index").select("slot", "weight"))
+def _slotted(df: DataFrame, bits: int, *more: str) -> DataFrame:
+    return df.select(F.monotonically_increasing_id().alias("_row"), "label", "importance", *more,
+                     slots(F.col("feats"), bits).alias("slots"))
 
 
 def _named(train: DataFrame, weights: DataFrame, bits: int) -> DataFrame:
@@ -131,49 +86,34 @@ def _split_feature(df: DataFrame, weight_col: str) -> DataFrame:
                      F.col(weight_col).alias("weight"))
 
 
-def quantile_weights(train: DataFrame, passes: int = DEFAULT_PASSES, tau: float = 0.5,
-                     lr: float = 0.5) -> DataFrame:
-    """M2d: quantile loss by full-batch subgradient descent.
-    Per pass: score each row (explode, join weights, sum by row), per-row
-    subgradient (-tau above, 1-tau below, times importance), summed per
-    feature with map-side partial aggregation. Returns (feature, w)."""
-    rows = cut_lineage(train.select("row_id", "label", "importance", "feats"))
-    n = float(rows.agg(F.sum("importance")).first()[0] or 1.0)
-    pairs = cut_lineage(rows.select("row_id", F.explode("feats").alias("feature")))
-    w = cut_lineage(pairs.select("feature").distinct().withColumn("w", F.lit(0.0)))
-    for p in range(passes):
-        scores = (pairs.join(w, "feature").groupBy("row_id").agg(F.sum("w").alias("pred")))
-        g = (rows.join(scores, "row_id", "left").fillna(0.0, ["pred"])
-             .select("row_id", (F.when(F.col("label") > F.col("pred"), -tau).otherwise(1 - tau)
-                                * F.col("importance")).alias("g")))
-        grad = pairs.join(g, "row_id").groupBy("feature").agg(F.sum("g").alias("grad"))
-        step = lr / math.sqrt(p + 1) / n
-        w = cut_lineage(w.join(grad, "feature", "left").fillna(0.0, ["grad"])
-                        .select("feature", (F.col("w") - F.lit(step) * F.col("grad")).alias("w")))
-    return w
+def train_model(rows: DataFrame, loss: str = "squared", passes: int = DEFAULT_PASSES,
+                bits: int = DEFAULT_BITS) -> linear.Model:
+    """M2 + M4: the model that ``passes`` steps over all rows lead to."""
+    weights, _ = linear.fit(_slotted(rows, bits), loss, passes)
+    return linear.Model(loss, bits, weights.select("slot", "weight"))
+
+
+def train_online(rows: DataFrame, loss: str = "squared", passes: int = 1, bits: int = DEFAULT_BITS,
+                 **options) -> linear.Model:
+    """M2 + M4: the model after one pass, or more, of adaptive steps row by row."""
+    ready = rows.select("row_id", "label", "importance", slots(F.col("feats"), bits).alias("slots"))
+    return linear.Model(loss, bits, linear.fit_online(ready, loss, passes, **options))
+
+
+def named_weights(rows: DataFrame, model: linear.Model) -> DataFrame:
+    """M3: (ns, token, weight) of the features of ``rows``."""
+    return _named(rows, model.weights, model.bits)
+
+
+def predict(model: linear.Model, df: DataFrame) -> DataFrame:
+    """M5: ``df`` with ``score`` by a model, trained or loaded."""
+    return model.score(df, slots(F.col("feats"), model.bits))
 
 
 def train(rows: DataFrame, loss: str = "squared", passes: int = DEFAULT_PASSES, bits: int = DEFAULT_BITS):
     """M2 + M4: returns (predict_fn, weights DataFrame[ns, token, weight])."""
-    if loss == "quantile":
-        w = quantile_weights(rows, passes)
-        named = _split_feature(w, "w")
-
-        def predict(df):
-            pairs = df.select("row_id", F.explode("feats").alias("feature"))
-            s = pairs.join(w, "feature").groupBy("row_id").agg(F.sum("w").alias("score"))
-            return df.join(s, "row_id", "left").fillna(0.0, ["score"])
-        return predict, named
-    vec, used = _compact(rows, bits)
-    model = _estimator(loss, passes).fit(_with_label01(vec))
-    weights = _slot_weights(used, model.coefficients)
-    named = _named(rows, weights, bits)
-
-    def predict(df):
-        numbered = _numbered(df)
-        score = _slots(numbered, bits).join(weights, "slot").groupBy("_row").agg(F.sum("weight").alias("score"))
-        return numbered.join(score, "_row", "left").fillna(0.0, ["score"]).drop("_row")
-    return predict, named
+    model = train_model(rows, loss, passes, bits)
+    return (lambda df: predict(model, df)), named_weights(rows, model)
 
 
 def binary_prediction(scored: DataFrame) -> DataFrame:
@@ -200,22 +140,21 @@ def accuracy(scored: DataFrame) -> float:
 
 def cross_validate(rows: DataFrame, loss: str = "squared", k: int = 10, passes: int = DEFAULT_PASSES,
                    seed: int = 42, bits: int = CV_BITS) -> DataFrame:
-    """M7 + M9 + A15: train on k-1 folds, test on one, for each fold made;
-    mean accuracy over the folds actually made (K6). The driver loops over
-    folds only; every fit and score is a cluster job.
+    """M7 + M9 + A15: train on k-1 folds, test on one, for each fold made; mean
+    accuracy over the folds actually made (K6). The models of all folds are
+    fitted together: a pass over the rows steps every one of them, and a row's
+    margin under the model that left it out is its test.
     Returns (loss, fold, n_test, accuracy) rows plus a fold = -1 mean row."""
     spark = rows.sparkSession
     folded = cut_lineage(assign_folds(rows, k, seed))
     made = sorted(r["fold"] for r in folded.select("fold").distinct().collect())
     out = []
-    for f in made:
-        tr = folded.where(F.col("fold") != f)
-        te = folded.where(F.col("fold") == f)
-        if tr.limit(1).count() == 0:
-            continue
-        predict, _ = train(tr, loss, passes, bits)
-        scored = predict(te)
-        out.append((loss, int(f), int(te.count()), accuracy(scored)))
+    if len(made) > 1:       # a single fold leaves nothing to train on
+        _, scored = linear.fit(_slotted(folded, bits, "fold"), loss, passes, made)
+        own = F.get("margins", F.array_position(F.array(*[F.lit(f) for f in made]), F.col("fold")).cast("int") - 1)
+        right = binary_prediction(scored.withColumn("score", own)).groupBy("fold").agg(
+            F.count("*").alias("n"), F.avg((F.col("pred") == F.col("label")).cast("double")).alias("accuracy"))
+        out = [(loss, int(r.fold), r.n, r.accuracy) for r in right.orderBy("fold").collect()]
     mean = sum(a for *_, a in out) / len(out) if out else float("nan")
     out.append((loss, -1, int(sum(n for _, _, n, _ in out)), mean))
     return spark.createDataFrame(out, "loss string, fold int, n_test long, accuracy double")
@@ -226,5 +165,5 @@ def fold_sizes(rows: DataFrame, k: int = 10, seed: int = 42) -> DataFrame:
     return assign_folds(rows, k, seed).groupBy("fold").agg(F.count("*").alias("n"))
 
 
-__all__ = ["LOSSES", "NAMESPACES", "training_frame", "vectorize", "train", "quantile_weights",
-           "binary_prediction", "assign_folds", "accuracy", "cross_validate", "fold_sizes"]
+__all__ = ["LOSSES", "NAMESPACES", "training_frame", "vectorize", "slots", "train", "train_model", "train_online",
+           "named_weights", "predict", "binary_prediction", "assign_folds", "accuracy", "cross_validate", "fold_sizes"]

@@ -356,7 +356,7 @@ QUERIES.update({
 
 # ---- learning and community detection (rows-only: no SQL twin) -------------
 
-from audix.operators import communities, learn  # noqa: E402
+from audix.operators import communities, learn, linear  # noqa: E402
 
 CV_FOLDS = 10
 CV_PASSES = 10
@@ -405,6 +405,49 @@ def _learn_one_hot(loss):
     return q
 
 
+LONG_TEXT = 1000
+
+
+def two_feature_training(spark, sf_dir) -> DataFrame:
+    """Labelled documents with two features that overlap, ``demo^en`` and
+    ``keywords^long``: the optimum of squared loss solves two equations."""
+    rows = standins.labelled_documents(spark, sf_dir)
+    def feature(when, token):
+        return F.when(when, F.array(F.lit(token))).otherwise(F.array().cast("array<string>"))
+    arrays = {"demo": feature(F.col("lang") == "en", "en"), "keywords": feature(F.length("text") >= LONG_TEXT, "long")}
+    return learn.training_frame(rows.select(
+        F.col("raw_id").alias("sid"), *feats.label_importance("clicks"),
+        *[arrays.get(ns, F.array().cast("array<string>")).alias(ns) for ns in feats.NAMESPACES]))
+
+
+def q_learn_two_features(spark, sf_dir):
+    """M1-M3: weights of two overlapping features, kept as a table of slots."""
+    _, w = learn.train(two_feature_training(spark, sf_dir), "squared", CV_PASSES)
+    return w.select("ns", "token", F.round("weight", 5).alias("weight"))
+
+
+def q_predict_saved(spark, sf_dir):
+    """M5: a model is trained, saved, loaded and used: score and class of every row."""
+    rows = two_feature_training(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex[:12]}"
+    learn.train_model(rows, "squared", CV_PASSES).save(path)
+    scored = learn.binary_prediction(learn.predict(linear.load(spark, path), rows))
+    return scored.select("row_id", F.round("score", 5).alias("score"), F.col("pred").cast("int").alias("pred"))
+
+
+def q_learn_online(spark, sf_dir):
+    """M2 + M4: one adaptive pass over the rows, as a feature dump is trained."""
+    rows = doc_training(spark, sf_dir)
+    return learn.named_weights(rows, learn.train_online(rows, "squared"))
+
+
+def q_learn_online_one_hot(spark, sf_dir):
+    """One pass over rows with one feature: the sign of every language's weight."""
+    rows = one_hot_training(spark, sf_dir)
+    w = learn.named_weights(rows, learn.train_online(rows, "logistic", passes=3))
+    return w.select("ns", "token", F.signum("weight").alias("weight"))
+
+
 def q_feature_topk_learned(spark, sf_dir):
     _, w = learn.train(doc_training(spark, sf_dir), "squared", CV_PASSES)
     return feats.top_features(w, GRAPH_TOP_K)
@@ -452,6 +495,10 @@ QUERIES.update({
     "learn_one_hot_logistic": _learn_one_hot("logistic"),
     "learn_one_hot_hinge": _learn_one_hot("hinge"),
     "learn_one_hot_quantile": _learn_one_hot("quantile"),
+    "learn_two_features": q_learn_two_features,
+    "predict_saved": q_predict_saved,
+    "learn_online": q_learn_online,
+    "learn_online_one_hot": q_learn_online_one_hot,
     "feature_topk_learned": q_feature_topk_learned,
     "cv_accuracy": q_cv_accuracy,
     "communities_greedy": _communities(communities.greedy_modularity),

@@ -284,6 +284,22 @@ ORACLE.update({
     "learn_one_hot_quantile": _ONE_HOT.format(value="sign(p - n)"),
 })
 
+ORACLE["learn_online_one_hot"] = _ONE_HOT.format(value="sign(p - n)")
+
+# Normal equations of two features: a = English, b = long text, k = importance, y = label.
+_TWO = """WITH r AS (SELECT CAST(d.doc_id AS VARCHAR) AS row_id, CASE WHEN d.lang = 'en' THEN 1 ELSE 0 END AS a,
+    CASE WHEN length(d.text) >= 1000 THEN 1 ELSE 0 END AS b, CASE WHEN l.quality = 1 THEN 1 + l.toxic ELSE 1 END AS k,
+    CASE WHEN l.quality = 1 THEN 1 ELSE -1 END AS y FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+s AS (SELECT sum(k * a) AS aa, sum(k * b) AS bb, sum(k * a * b) AS ab, sum(k * y * a) AS ya, sum(k * y * b) AS yb FROM r),
+w AS (SELECT (ya * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ya * ab) / (aa * bb - ab * ab) AS wb FROM s)
+"""
+ORACLE.update({
+    "learn_two_features": _TWO + """SELECT 'demo' AS ns, 'en' AS token, round(wa, 5) AS weight FROM w
+UNION ALL SELECT 'keywords', 'long', round(wb, 5) FROM w""",
+    "predict_saved": _TWO + """SELECT row_id, round(a * wa + b * wb, 5) AS score,
+  CASE WHEN a * wa + b * wb > 0 THEN 1 ELSE -1 END AS pred FROM r, w""",
+})
+
 # Sinks: what the last run left, read back.
 ORACLE.update({
     "sink_by_key": """

@@ -5,8 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from audix.functions.joins import split_join
 from audix.functions.rank import row_index
-from audix.operators import learn
+from audix.operators import learn, linear
 
 
 def frame(spark, n):
@@ -95,3 +96,127 @@ def test_one_hot_optimum(spark):
     for loss in ("hinge", "quantile"):
         w = weights(loss)
         assert w["a"] > 0 > w["b"]
+
+
+def test_folds_together_like_refits(spark):
+    """Every fold's accuracy is that of a model trained on the others alone."""
+    rows = planted(spark, 120, seed=11).withColumn("importance", F.lit(1.0) + F.length("row_id"))
+    for loss in ("squared", "logistic"):
+        got = {r.fold: (r.n_test, r.accuracy) for r in learn.cross_validate(rows, loss, k=3, passes=4, bits=20).collect()}
+        folded = learn.assign_folds(rows, 3)
+        for f in (0, 1, 2):
+            model = learn.train_model(folded.where(F.col("fold") != f), loss, 4, 20)
+            test = learn.predict(model, folded.where(F.col("fold") == f))
+            assert got[f] == (test.count(), pytest.approx(learn.accuracy(test)))
+
+
+def test_margins_are_the_scores(spark):
+    rows = learn._slotted(planted(spark, 80), 20)
+    weights, scored = linear.fit(rows, "logistic", 4)
+    model = linear.Model("logistic", 20, weights.select("slot", "weight"))
+    want = {r._row: r.score for r in model.score(scored, F.col("slots")).collect()}
+    assert {r._row: r.margins[0] for r in scored.collect()} == pytest.approx(want)
+
+
+def dense(rows, loss, steps=4000):
+    """Weights by plain gradient descent on a dense matrix."""
+    import numpy as np
+    names = sorted({f for r in rows for f in r[3]})
+    x = np.array([[f in r[3] for f in names] for r in rows], float)
+    y, k = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    w = np.zeros(len(names))
+    for _ in range(steps):
+        m = x @ w
+        g = m - y if loss == "squared" else -y / (1 + np.exp(y * m))
+        w -= 0.9 / (k[:, None] * x).sum(1).sum() * (x.T @ (k * g)) * (1 if loss == "squared" else 4)
+    return dict(zip(names, w))
+
+
+@pytest.mark.parametrize("loss", ["squared", "logistic"])
+def test_optimum_of_overlapping_features(spark, loss):
+    rng = random.Random(1)
+    rows = []
+    for i in range(60):
+        feats = sorted({f"demo^{rng.choice('abc')}", f"geo^{rng.choice('xyz')}"})
+        rows.append((str(i), 1.0 if rng.random() < 0.3 + 0.4 * ("demo^a" in feats) else -1.0, rng.choice([1.0, 3.0]), feats))
+    df = spark.createDataFrame(rows, "row_id string, label double, importance double, feats array<string>")
+    got = {f"{r.ns}^{r.token}": r.weight for r in learn.train(df, loss, passes=25)[1].collect()}
+    want = dense(rows, loss, 20000)
+    # the features of a namespace sum to one another, so only sums are determined
+    assert {(a, b): got[a] + got[b] for a in "demo^a demo^b demo^c".split() for b in "geo^x geo^y geo^z".split()} == \
+        pytest.approx({(a, b): want[a] + want[b] for a in "demo^a demo^b demo^c".split() for b in "geo^x geo^y geo^z".split()}, abs=2e-3)
+
+
+def test_shuffled_weights_like_broadcast_ones(spark, monkeypatch):
+    """Slots beyond the broadcast bound, and slots of very many rows, give the same model."""
+    rows = planted(spark, 200)
+    want = {(r.ns, r.token): r.weight for r in learn.train(rows, "squared", 5)[1].collect()}
+    monkeypatch.setattr(linear, "BROADCAST_BYTES", 0)
+    assert {(r.ns, r.token): r.weight for r in learn.train(rows, "squared", 5)[1].collect()} == pytest.approx(want)
+    pairs = spark.range(5000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 50).cast("int").alias("slot"), "id")
+    table = spark.createDataFrame([(i, float(i)) for i in range(40)], "slot int, weight double")
+    plain = sorted(map(tuple, pairs.join(table, "slot").collect()))
+    assert sorted(map(tuple, split_join(pairs, table, "slot").collect())) == plain
+
+
+@pytest.mark.parametrize("loss", ["squared", "logistic", "hinge", "quantile"])
+def test_one_pass_ranks_planted_weights(spark, loss):
+    tr = planted(spark, 600)
+    model = learn.train_online(tr, loss, shard_rows=200)
+    w = learn.named_weights(tr, model)
+    assert {r.token for r in w.orderBy(F.abs("weight").desc()).limit(2).collect()} == {"good", "bad"}
+    assert learn.accuracy(learn.predict(model, tr)) > 0.95
+    # the result does not depend on how the rows are stored
+    again = learn.train_online(tr.repartition(5, F.rand(2)), loss, shard_rows=200)
+    assert {r.slot: r.weight for r in again.weights.collect()} == pytest.approx({r.slot: r.weight for r in model.weights.collect()})
+
+
+def test_online_steps_like_a_loop(spark):
+    """One shard, two passes: the weights of a plain loop over the rows in their order."""
+    rows = planted(spark, 60).withColumn("importance", F.when(F.col("label") > 0, 5.0).otherwise(1.0))
+    model = learn.train_online(rows, "squared", passes=2)
+    order = rows.withColumn("o", F.xxhash64("row_id")).orderBy("o").withColumn("slots", learn.slots(F.col("feats"), 24)).collect()
+    w, seen = {}, {}
+    for _ in range(2):
+        for r in order:
+            p = sum(w.get(s, 0.0) for s in r.slots)
+            g = r.importance * (p - r.label)
+            for s in r.slots:
+                seen[s] = seen.get(s, 0.0) + g * g
+            pace = {s: 0.5 / seen[s] ** 0.5 for s in r.slots}
+            total = sum(pace.values())
+            a = r.importance * total
+            for s in r.slots:
+                w[s] = w.get(s, 0.0) + pace[s] * ((p + a * r.label) / (1 + a) - p) / total
+    assert {r.slot: r.weight for r in model.weights.collect()} == pytest.approx(w)
+
+
+def test_implicit_steps_solve_their_equation():
+    for loss in linear.LOSSES:
+        for p in (-2.0, -0.3, 0.0, 0.7, 3.0):
+            for y in (-1.0, 1.0):
+                for a in (0.01, 0.5, 40.0):
+                    q = linear._moved(loss, p, y, a)
+                    step = (p - q) / a
+                    low, high = sorted((linear._slope(loss, q - 1e-7, y), linear._slope(loss, q + 1e-7, y)))
+                    assert low - 1e-5 <= step <= high + 1e-5, (loss, p, y, a)
+
+
+def test_saved_model(spark, tmp_out):
+    tr = planted(spark, 100)
+    model = learn.train_online(tr, "logistic", bits=20)
+    model.save(f"{tmp_out}/m")
+    again = linear.load(spark, f"{tmp_out}/m")
+    assert (again.loss, again.bits) == ("logistic", 20)
+    want = {r.row_id: r.score for r in learn.predict(model, tr).collect()}
+    assert {r.row_id: r.score for r in learn.predict(again, tr).collect()} == pytest.approx(want)
+    # rows without a known feature score 0, and are negative
+    odd = spark.createDataFrame([("a", ["demo^never"]), ("b", []), ("c", None)], "row_id string, feats array<string>")
+    assert [(r.score, r.pred) for r in learn.binary_prediction(learn.predict(again, odd)).collect()] == [(0.0, -1.0)] * 3
+
+
+def test_no_rows(spark):
+    none = planted(spark, 5).limit(0)
+    assert learn.train(none, "logistic", 3)[1].count() == 0
+    assert learn.train_online(none, "hinge").weights.count() == 0
+    assert [(r.fold, r.n_test) for r in learn.cross_validate(none, k=3, passes=2).collect()] == [(-1, 0)]
