@@ -1,67 +1,107 @@
 """Row-reason counters of the expansion (A14), as a (stage, counter, value) table.
 
-The reference increments job counters per record; here each counter is a
-conditional count over the same joins the expansion uses, all distributed,
-and the pieces are stacked with a union (no cross join of one-row results).
+The reference increments job counters while its two jobs run. Here they are observed
+metrics of the expansion itself: every stage is tapped where its rows pass, the
+expansion is written once, and the counters of that one run are read afterwards.
+To see the records without a partner, the two joins keep both sides.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from audix.operators.expansion import (_nonempty, clean_seeds, cluster_sid_rows,
-                                       reached_clusters, seed_clusters)
-
-
-def _stack(stage: str, agg_df: DataFrame, names: list[str]) -> DataFrame:
-    """One-row aggregate -> len(names) rows of (stage, counter, value)."""
-    pairs = ", ".join(f"'{n}', cast({n} as bigint)" for n in names)
-    return agg_df.select(F.lit(stage).alias("stage"),
-                         F.expr(f"stack({len(names)}, {pairs}) as (counter, value)"))
-
-
-def expansion_counters(seeds: DataFrame, user_clusters: DataFrame,
-                       cluster_users: DataFrame) -> DataFrame:
-    s = clean_seeds(seeds)
-    # Step 1, map side.
-    m1 = user_clusters.agg(
-        F.count_if(F.coalesce(F.col("id_type") != "SID", F.lit(True))).alias("NonSidId"),
-        F.count_if((F.col("id_type") == "SID") & ~_nonempty("cluster_ids")).alias("EmptyClusterIdList"),
-        F.count_if((F.col("id_type") == "SID") & _nonempty("cluster_ids")).alias("NumOfClusterIdList"))
-    seed_rows = s.agg(F.count("*").alias("SeedRecord"))
-    # Step 1, reduce side: per distinct id, is there a seed and/or a cluster list.
-    inv_ids = (user_clusters.where((F.col("id_type") == "SID") & _nonempty("cluster_ids"))
-               .select(F.col("raw_id").alias("sid")).distinct().withColumn("has_list", F.lit(True)))
-    seed_ids = s.distinct().withColumn("has_seed", F.lit(True))
-    r1 = (inv_ids.join(seed_ids, "sid", "full_outer").agg(
-        F.count_if(F.col("has_list") & F.col("has_seed")).alias("ValidRecord"),
-        F.count_if(F.col("has_list") & F.col("has_seed").isNull()).alias("EmptyUserId"),
-        F.count_if(F.col("has_seed") & F.col("has_list").isNull()).alias("EmptyClusterId")))
-    # Step 2, map side.
-    m2 = cluster_users.agg(
-        F.count_if(~_nonempty("user_raw_ids")).alias("EmptyRawIds"),
-        F.count_if(_nonempty("user_raw_ids") & (F.size(F.filter(
-            "user_raw_ids", lambda x: (x["id_type"] == "SID") & x["raw_id"].isNotNull())) == 0))
-        .alias("EmptySidList"))
-    seed_cl = seed_clusters(seeds, user_clusters)
-    payload = seed_cl.agg(F.count("*").alias("ClusterPayloadRecord"))
-    # Step 2, reduce side.
-    reached = reached_clusters(seed_cl).withColumn("has_event", F.lit(True))
-    cl_rows = cluster_sid_rows(cluster_users)
-    matrix = cl_rows.select("cluster_id", F.size("sids").alias("n_sids"))
-    r2 = (matrix.join(reached, "cluster_id", "full_outer").agg(
-        F.count_if(F.col("n_sids").isNotNull() & F.col("has_event").isNull()).alias("NoEventsInClusterId"),
-        F.count_if(F.col("has_event") & F.col("n_sids").isNull()).alias("NoMatchClusterId"),
-        F.count_if(F.col("has_event") & F.col("n_sids").isNotNull()).alias("MatchedClusterId")))
-    out_rows = (cl_rows.join(reached.select("cluster_id"), "cluster_id", "left_semi")
-                .select(F.explode(F.array_distinct("sids")).alias("sid"))
-                .agg(F.count("*").alias("ValidRecord")))
-    return (_stack("user_to_cluster_map", m1, ["NonSidId", "EmptyClusterIdList", "NumOfClusterIdList"])
-            .unionByName(_stack("seed_map", seed_rows, ["SeedRecord"]))
-            .unionByName(_stack("user_to_cluster_reduce", r1, ["ValidRecord", "EmptyUserId", "EmptyClusterId"]))
-            .unionByName(_stack("cluster_to_user_map", m2, ["EmptyRawIds", "EmptySidList"]))
-            .unionByName(_stack("cluster_payload_map", payload, ["ClusterPayloadRecord"]))
-            .unionByName(_stack("cluster_to_user_reduce", r2,
-                                ["NoEventsInClusterId", "NoMatchClusterId", "MatchedClusterId"]))
-            .unionByName(_stack("cluster_to_user_output", out_rows, ["ValidRecord"])))
+from audix.operators.expansion import _nonempty, clean_seeds, cluster_sid_rows, user_cluster_rows
+from audix.session import write_shared
+
+
+def _counted(condition: Column) -> Column:
+    return F.count(F.when(condition, True))
+
+
+def _seen(observation: Observation) -> dict:
+    """The values of a tap. One that Spark left out, its input known to be empty, has none."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
+@contextmanager
+def _every_stage(spark):
+    """Plans in which a side without rows does not make Spark leave out the others, whose
+    taps would then see nothing."""
+    rules = {"spark.sql.optimizer.excludedRules": "org.apache.spark.sql.catalyst.optimizer.PropagateEmptyRelation",
+             "spark.sql.adaptive.optimizer.excludedRules":
+                 "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"}
+    before = {k: spark.conf.get(k, None) for k in rules}
+    for k, rule in rules.items():
+        spark.conf.set(k, ",".join(filter(None, [before[k], rule])))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+class Counters:
+    """Counters by stage, tapped from frames, in the order of the taps."""
+
+    def __init__(self):
+        self.taps: list[tuple[str, list[str], Observation]] = []
+
+    def tap(self, df: DataFrame, stage: str, **counters: Column) -> DataFrame:
+        seen = Observation()
+        self.taps.append((stage, list(counters), seen))
+        return df.observe(seen, *[c.alias(name) for name, c in counters.items()])
+
+    def table(self, spark) -> DataFrame:
+        """(stage, counter, value) of the run."""
+        rows = [(stage, name, seen.get(name) or 0) for stage, names, o in self.taps for seen in [_seen(o)] for name in names]
+        return spark.createDataFrame(rows, "stage string, counter string, value long")
+
+
+def expand_counted(seeds: DataFrame, user_clusters: DataFrame, cluster_users: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The expansion, distinct (cluster_id, sid), written to the shared folder, and the
+    counters of the run that wrote it."""
+    c = Counters()
+    is_sid = F.col("id_type") == "SID"
+    matrix = c.tap(user_clusters, "user_to_cluster_map",
+                   NonSidId=_counted(F.coalesce(F.col("id_type") != "SID", F.lit(True))),
+                   EmptyClusterIdList=_counted(is_sid & ~_nonempty("cluster_ids")),
+                   NumOfClusterIdList=_counted(is_sid & _nonempty("cluster_ids")))
+    events = c.tap(clean_seeds(seeds), "seed_map", SeedRecord=F.count("*"))
+    # one row per id: its clusters, if it has a list, and whether it is a seed
+    listed = user_cluster_rows(matrix).select("sid", "cids", F.lit(False).alias("seed"))
+    ids = (listed.unionByName(events.select("sid", F.lit(None).cast(listed.schema["cids"].dataType).alias("cids"),
+                                            F.lit(True).alias("seed")))
+           .groupBy("sid").agg(F.max("seed").alias("seed"), F.count("cids").alias("lists"),
+                               F.array_distinct(F.flatten(F.collect_list("cids"))).alias("cids")))
+    has_list = F.col("lists") > 0
+    ids = c.tap(ids, "user_to_cluster_reduce", ValidRecord=_counted(has_list & F.col("seed")),
+                EmptyUserId=_counted(has_list & ~F.col("seed")), EmptyClusterId=_counted(F.col("seed") & ~has_list))
+    clusters = c.tap(cluster_users, "cluster_to_user_map",
+                     EmptyRawIds=_counted(~_nonempty("user_raw_ids")),
+                     EmptySidList=_counted(_nonempty("user_raw_ids") & (F.size(F.filter(
+                         "user_raw_ids", lambda x: (x["id_type"] == "SID") & x["raw_id"].isNotNull())) == 0)))
+    payload = c.tap(ids.where(has_list & F.col("seed")).select(F.explode("cids").alias("cluster_id")),
+                    "cluster_payload_map", ClusterPayloadRecord=F.count("*"))
+    reached = payload.distinct().withColumn("event", F.lit(True))
+    met = c.tap(cluster_sid_rows(clusters).join(reached, "cluster_id", "full_outer"), "cluster_to_user_reduce",
+                NoEventsInClusterId=_counted(F.col("sids").isNotNull() & F.col("event").isNull()),
+                NoMatchClusterId=_counted(F.col("event") & F.col("sids").isNull()),
+                MatchedClusterId=_counted(F.col("event") & F.col("sids").isNotNull()))
+    found = c.tap(met.where(F.col("event") & F.col("sids").isNotNull())
+                  .select("cluster_id", F.explode(F.array_distinct("sids")).alias("sid")),
+                  "cluster_to_user_output", ValidRecord=F.count("*"))
+    with _every_stage(seeds.sparkSession):
+        expanded = write_shared(found.distinct(), "expanded")
+    return expanded, c.table(seeds.sparkSession)
+
+
+def expansion_counters(seeds: DataFrame, user_clusters: DataFrame, cluster_users: DataFrame) -> DataFrame:
+    """(stage, counter, value) of an expansion."""
+    return expand_counted(seeds, user_clusters, cluster_users)[1]

@@ -10,19 +10,12 @@ files survive the loss of any executor.
 from __future__ import annotations
 
 import functools
-import uuid
 
-from audix.session import checkpoint_dir
+from audix.session import write_shared
 
 _CACHE: dict = {}
 
 
-def _stored(spark, df, name: str):
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def memoized(fn):
     @functools.wraps(fn)
     def wrapper(spark, sf_dir, *args):
@@ -30,8 +23,8 @@ def memoized(fn):
         hit = _CACHE.get(key)
         if hit is None:
             out = fn(spark, sf_dir, *args)
-            hit = (tuple(_stored(spark, d, fn.__name__) for d in out) if isinstance(out, tuple)
-                   else _stored(spark, out, fn.__name__))
+            hit = (tuple(write_shared(d, fn.__name__) for d in out) if isinstance(out, tuple)
+                   else write_shared(out, fn.__name__))
             _CACHE[key] = hit
         return hit
     return wrapper

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -85,6 +86,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+def write_shared(df, name: str):
+    """``df`` written once as Parquet into the shared checkpoint folder and read again."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df, spark: SparkSession | None = None):
     """Reliable checkpoint into the shared checkpoint dir (survives executor loss).
 

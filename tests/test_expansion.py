@@ -66,3 +66,58 @@ def test_counters(spark):
     assert c[("cluster_to_user_reduce", "NoMatchClusterId")] == 2     # 12 (no SID), 99
     assert c[("cluster_to_user_reduce", "NoEventsInClusterId")] == 1  # 13
     assert c[("cluster_to_user_output", "ValidRecord")] == 4
+
+
+def _counted_by_hand(seeds, users, clusters):
+    """The counters by a loop over the records."""
+    seeds = [s.strip() for s in seeds if s and s.strip()]
+    sid = {}
+    for kind, raw, cl in users:
+        if kind == "SID" and cl:
+            sid.setdefault(raw, set()).update(x for x in cl if x is not None)
+    payload = [(u, x) for u in sid if u in set(seeds) for x in sid[u]]
+    reached = {x for _, x in payload}
+    rows = [(cid, [r for k, r in raw if k == "SID" and r is not None]) for cid, raw in clusters if raw]
+    rows = [r for r in rows if r[1]]
+    return {
+        ("user_to_cluster_map", "NonSidId"): sum(k != "SID" for k, *_ in users),
+        ("user_to_cluster_map", "EmptyClusterIdList"): sum(k == "SID" and not cl for k, _, cl in users),
+        ("user_to_cluster_map", "NumOfClusterIdList"): sum(k == "SID" and bool(cl) for k, _, cl in users),
+        ("seed_map", "SeedRecord"): len(seeds),
+        ("user_to_cluster_reduce", "ValidRecord"): len(set(sid) & set(seeds)),
+        ("user_to_cluster_reduce", "EmptyUserId"): len(set(sid) - set(seeds)),
+        ("user_to_cluster_reduce", "EmptyClusterId"): len(set(seeds) - set(sid)),
+        ("cluster_to_user_map", "EmptyRawIds"): sum(not raw for _, raw in clusters),
+        ("cluster_to_user_map", "EmptySidList"): sum(bool(raw) and not [r for k, r in raw if k == "SID" and r is not None] for _, raw in clusters),
+        ("cluster_payload_map", "ClusterPayloadRecord"): len(payload),
+        ("cluster_to_user_reduce", "NoEventsInClusterId"): sum(c not in reached for c, _ in rows),
+        ("cluster_to_user_reduce", "NoMatchClusterId"): len(reached - {c for c, _ in rows}),
+        ("cluster_to_user_reduce", "MatchedClusterId"): sum(c in reached for c, _ in rows),
+        ("cluster_to_user_output", "ValidRecord"): sum(len(set(s)) for c, s in rows if c in reached),
+    }
+
+
+def test_counters_of_one_run(spark):
+    """Counters and expansion of one run, against a loop; and of no records at all."""
+    from audix.operators import expansion, quality
+    seeds = ["a", " b\t", "a", "", None, "zz"]
+    users = [("SID", "a", ["1", "2", None]), ("SID", "b", []), ("SID", "b", ["2", "9"]), ("MID", "a", ["3"]),
+             (None, "c", ["1"]), ("SID", "d", ["4"]), ("SID", "e", None)]
+    clusters = [("1", [("SID", "a"), ("SID", "x"), ("SID", "x"), ("MID", "y")]), ("2", [("MID", "y"), ("SID", None)]),
+                ("4", [("SID", "q")]), ("5", []), ("6", None), ("2", [("SID", "w")])]
+    s = spark.createDataFrame([(x,) for x in seeds], "sid string")
+    u = spark.createDataFrame([(k, r, None if c is None else [(x,) for x in c]) for k, r, c in users],
+                              "id_type string, raw_id string, cluster_ids array<struct<id:string>>")
+    c = spark.createDataFrame(clusters, "cluster_id string, user_raw_ids array<struct<id_type:string,raw_id:string>>")
+    expanded, counters = quality.expand_counted(s, u, c)
+    assert {(r.stage, r.counter): r.value for r in counters.collect()} == _counted_by_hand(seeds, users, clusters)
+    want = expansion.expand(s, u, c)
+    assert sorted(map(tuple, expanded.collect())) == sorted(map(tuple, want.collect()))
+    # no seed, no user list or no cluster: the other counters stay
+    for got, want in ((quality.expansion_counters(s.limit(0), u, c), _counted_by_hand([], users, clusters)),
+                      (quality.expansion_counters(s.where("sid = '?'"), u, c), _counted_by_hand([], users, clusters)),
+                      (quality.expansion_counters(s, u.where("raw_id = '?'"), c), _counted_by_hand(seeds, [], clusters)),
+                      (quality.expansion_counters(s, u, c.where("cluster_id = '?'")), _counted_by_hand(seeds, users, []))):
+        assert {(r.stage, r.counter): r.value for r in got.collect()} == want
+    none = quality.expansion_counters(s.limit(0), u.limit(0), c.limit(0)).collect()
+    assert len(none) == 14 and {r.value for r in none} == {0}
