@@ -236,15 +236,20 @@ def q_feature_lines_roundtrip(spark, sf_dir):
     return feats.features_long(feats.parse_feature_lines(lines))
 
 
-def q_training_rows(spark, sf_dir):
+def training_features(spark, sf_dir) -> DataFrame:
+    """Labelled documents as rows of training lines, with their source."""
     d = standins.labelled_documents(spark, sf_dir)
     toks = F.filter(F.transform(feats.split_ws(F.lower("text")), lambda t: feats.clean_keyword(t)),
                     lambda t: t != "")
-    rows = d.select(F.col("raw_id").alias("doc_id"), *feats.label_importance("clicks"),
+    return d.select(F.col("raw_id").alias("doc_id"), "clicks", "source",
                     F.array("lang").alias("demo"), F.array("source").alias("device"),
                     F.lit(None).cast("array<string>").alias("app_activities"),
                     F.lit(None).cast("array<string>").alias("geo"),
                     F.array_sort(F.array_distinct(toks)).alias("keywords"))
+
+
+def q_training_rows(spark, sf_dir):
+    rows = training_features(spark, sf_dir).select("*", *feats.label_importance("clicks"))
     return rows.select("doc_id", "label", "importance", feats.training_line().alias("value"))
 
 
@@ -545,6 +550,41 @@ def q_sink_two_keys(spark, sf_dir):
     return spark.read.schema("value string, nation string, part string").text(out).select("nation", "part", "value")
 
 
+def q_sink_graph_lines(spark, sf_dir):
+    """Graph lines by segment, bzip2; a first run under other segments is replaced."""
+    members = segments.segment_members(profiles(spark, sf_dir), top_segments(spark, sf_dir), PROFILE_DT)
+    f = feats.profile_features(members, keep=["segment_id"])
+    out = _output(spark, "graph-lines")
+    sinks.write_graph_lines(f.withColumn("segment_id", F.concat("segment_id", F.lit("/old"))), out, compression="bz2")
+    sinks.write_graph_lines(f, out, compression="bz2")
+    return spark.read.schema("value string, segment_id string").text(out).select("segment_id", "value")
+
+
+def q_sink_graph_features(spark, sf_dir):
+    """The written graph lines read again as (sid, ns, token)."""
+    return feats.features_long(feats.parse_feature_lines(q_sink_graph_lines(spark, sf_dir).select("value")))
+
+
+def q_sink_training_lines(spark, sf_dir):
+    """Training lines by source, gzip, written twice and read back."""
+    rows = training_features(spark, sf_dir).withColumnRenamed("source", "segment_id")
+    out = _output(spark, "training-lines")
+    for _ in range(2):
+        sinks.write_training_lines(rows, out, compression="gz")
+    return spark.read.schema("value string, segment_id string").text(out).select("segment_id", "value")
+
+
+def q_sink_retention(spark, sf_dir):
+    """Events by day, of which a run deletes one day, and another run all days up
+    to RETENTION_DAYS before it: (dt, n) of what is left."""
+    ev = tables.read_table(spark, sf_dir, "events").select(F.date_format("ts", "yyyyMMdd").alias("dt"), "event_id")
+    out = _output(spark, "dated")
+    ev.write.partitionBy("dt").parquet(out)
+    sinks.delete_dated(spark, out, RETENTION_RUN_DATE, RETENTION_DAYS - 3)
+    sinks.delete_dated(spark, out, RETENTION_RUN_DATE, RETENTION_DAYS, exact_day_only=False)
+    return spark.read.schema("event_id long, dt string").parquet(out).groupBy("dt").agg(F.count("*").alias("n"))
+
+
 def q_sink_plain(spark, sf_dir):
     """Tab-separated text and gzip ids, read back as id lists."""
     ids = tables.read_table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), F.col("c_custkey")).alias("sid"))
@@ -568,7 +608,9 @@ def q_sink_records(spark, sf_dir):
 
 
 QUERIES.update({"sink_by_key": q_sink_by_key, "sink_two_keys": q_sink_two_keys, "sink_plain": q_sink_plain,
-                "sink_records": q_sink_records})
+                "sink_records": q_sink_records, "sink_graph_lines": q_sink_graph_lines,
+                "sink_graph_features": q_sink_graph_features, "sink_training_lines": q_sink_training_lines,
+                "sink_retention": q_sink_retention})
 
 
 # ---- detection and learned features, checked --------------------------------

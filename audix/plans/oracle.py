@@ -318,6 +318,15 @@ UNION ALL SELECT 'urgent', count(*) FROM orders WHERE o_orderpriority = '1-URGEN
 UNION ALL SELECT 'none', 0""",
 })
 
+ORACLE.update({
+    "sink_graph_lines": ORACLE["graph_lines"],
+    "sink_graph_features": ORACLE["feature_lines_roundtrip"],
+    "sink_training_lines": f"""SELECT coalesce(d.source, 'null') AS segment_id, t.value
+FROM ({ORACLE["training_rows"]}) t JOIN documents d ON CAST(d.doc_id AS VARCHAR) = t.doc_id""",
+    "sink_retention": """SELECT strftime(ts, '%Y%m%d') AS dt, count(*) AS n FROM events
+WHERE strftime(ts, '%Y%m%d') <> '20240105' AND strftime(ts, '%Y%m%d') > '20240102' GROUP BY 1""",
+})
+
 # Detection: every vertex of the graph in one community, and no worse than
 # single vertices.
 ORACLE.update({f"communities_{name}_check": _with(

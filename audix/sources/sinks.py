@@ -1,4 +1,4 @@
-"""Sinks (S7-S16, S19): key-partitioned text, graph lines, training lines,
+"""Sinks (S7-S16, S19, S20): key-partitioned text, graph lines, training lines,
 plain text and compressed id lists. All are DataFrameWriter calls; Spark's
 commit protocol makes each write atomic per task, and ``overwrite`` replaces
 the whole output, so reruns leave nothing stale (S19).
@@ -9,7 +9,9 @@ value is sanitised first (S10) so it is a valid single path segment.
 
 from __future__ import annotations
 
+import re
 import warnings
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +92,24 @@ def delete_output(spark, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def delete_dated(spark, root: str, run_date: str, keep_days: int = 400, dt_col: str = "dt",
+                 exact_day_only: bool = True) -> list[str]:
+    """Deletes the partition ``root/dt=...`` dated ``run_date`` minus ``keep_days``, as
+    the daily run does; without ``exact_day_only`` also all earlier ones, which days
+    without a run would leave. Other folders stay, also those whose name is no date.
+    Returns the deleted dates."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{dt_col}=*")
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    cut = (datetime.strptime(run_date, "%Y%m%d") - timedelta(days=keep_days)).strftime("%Y%m%d")
+    gone = []
+    for found in fs.globStatus(pattern) or []:
+        day = found.getPath().getName().split("=", 1)[1]
+        if day == cut or (not exact_day_only and re.fullmatch(r"\d{8}", day) and day < cut):
+            if fs.delete(found.getPath(), True):
+                gone.append(day)
+    return sorted(gone)
+
+
 def output_exists(spark, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -81,3 +81,16 @@ def test_latest_committed_partition(spark, tmp_out):
     assert [r.v for r in snapshot.collect()] == [1]
     plan = snapshot._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan and "20240101" in plan
+
+
+def test_delete_dated(spark, tmp_out):
+    """Only the folder of the day goes, or all of the days before it; other names stay."""
+    days = ["20230101", "20231230", "20240101", "20240102", "__HIVE_DEFAULT_PARTITION__", "2024"]
+    for d in days:
+        spark.range(2).write.parquet(f"{tmp_out}/dt={d}")
+    spark.range(1).write.parquet(f"{tmp_out}/other")
+    assert sinks.delete_dated(spark, tmp_out, "20250204", 400) == ["20240101"]
+    assert sinks.delete_dated(spark, tmp_out, "20250204", 400) == []
+    assert sinks.delete_dated(spark, tmp_out, "20250204", 400, exact_day_only=False) == ["20230101", "20231230"]
+    assert sorted(os.listdir(tmp_out)) == sorted(["other", "dt=20240102", "dt=__HIVE_DEFAULT_PARTITION__", "dt=2024"])
+    assert sinks.delete_dated(spark, f"{tmp_out}/nowhere", "20250204") == []
