@@ -4,10 +4,10 @@ The encodings of byte strings form a monoid: two neighbours are joined by
 re-encoding a window around their border. A token sequence is the encoding of
 its bytes exactly when every two neighbours are the encoding of their own bytes,
 so the window grows, by doubling, until it meets the untouched tokens on either
-side in such pairs; everything outside is then proved to stay. A piece (a match
-of the split pattern) is encoded by halves up to leaves, which take the one sequence of settled pairs directly;
-pieces themselves never merge, so texts concatenate theirs. Decoding
-concatenates the bytes of the ids.
+side in such pairs; everything outside is then proved to stay. A piece (a match of the
+split pattern) is halved down to parts that are tokens, which are joined up again;
+pieces themselves never merge, so texts concatenate theirs. Decoding concatenates the
+bytes of the ids.
 
 Texts are cut before the first white space after other characters, a border no
 piece crosses; the distinct cuts of a slice are found in compiled code and a
@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from audix.llm.batches import ragged, spread, text_slices
 from audix.llm.shared import ship
 
-LEAF_BYTES = 48
+# Bytes from which merges are taken from a heap; their result is the same.
+HEAP_BYTES = 96
 CACHE_CUTS = 600_000
 CACHE_PAIRS = 500_000
 
@@ -48,9 +49,6 @@ class MonoidBpe:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.pairs: dict[int, bool] = {}
-        self.longest: dict[bytes, int] = {}      # longest token by its first two bytes
-        for token in ranks:
-            self.longest[token[:2]] = max(len(token), self.longest.get(token[:2], 0))
         size = max(ranks.values()) + 1
         tokens: list[bytes] = [b""] * size
         for token, i in ranks.items():
@@ -61,7 +59,7 @@ class MonoidBpe:
 
     def merge(self, piece: bytes) -> list[bytes]:
         """Plain encoding: the neighbours of lowest rank merge, leftmost first."""
-        if len(piece) > 2 * LEAF_BYTES:
+        if len(piece) > HEAP_BYTES:
             return self._merge_long(piece)
         ranks, parts = self.ranks, [piece[i:i + 1] for i in range(len(piece))]
         scores = [ranks.get(piece[i:i + 2]) for i in range(len(piece) - 1)]
@@ -121,30 +119,6 @@ class MonoidBpe:
                 self.pairs[key] = known
         return known
 
-    def leaf(self, piece: bytes) -> list[bytes]:
-        """The one sequence of tokens whose neighbours are all settled: longest
-        token first, back from places that no settled sequence goes on from."""
-        ranks, out, at, n, dead = self.ranks, [], 0, len(piece), set()
-        size = min(self.longest.get(piece[:2], 1), n)
-        while at < n:
-            before = out[-1] if out else None
-            while size:
-                token = piece[at:at + size]
-                if token in ranks and at + size not in dead and (before is None or self.settled(before, token)):
-                    break
-                size -= 1
-            if size:
-                out.append(token)
-                at += len(token)
-                size = min(self.longest.get(piece[at:at + 2], 1), n - at)
-            elif out:
-                dead.add(at)
-                size = len(out[-1]) - 1
-                at -= len(out.pop())
-            else:
-                return self.merge(piece)
-        return out
-
     def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
         """Encoding of the bytes of two encodings."""
         if not left or not right:
@@ -164,11 +138,9 @@ class MonoidBpe:
                 b = min(2 * b, len(right))
 
     def tokens(self, piece: bytes) -> list[bytes]:
-        """Encoding of one piece, by halves."""
+        """Encoding of one piece, by halves down to tokens."""
         if piece in self.ranks:
             return [piece]
-        if len(piece) <= LEAF_BYTES:
-            return self.leaf(piece)
         half = len(piece) // 2
         return self.join(self.tokens(piece[:half]), self.tokens(piece[half:]))
 

@@ -191,3 +191,32 @@ def test_rare_ids_after_repeated_lines():
     coded = mixing_coder.encode_blocks(blocks, header)
     back = mixing_coder.decode_blocks(coded, [len(b) for b in blocks], header)
     assert all((a == b).all() for a, b in zip(back, blocks))
+
+
+def test_pieces_beyond_the_vocabulary_are_joined(library, monkeypatch):
+    """Every piece that is no token is halved and joined, whatever its length, and the
+    windows at the borders grow where they must."""
+    joins, windows = [], []
+    join, merge = byte_bpe.MonoidBpe.join, byte_bpe.MonoidBpe.merge
+
+    def counted(self, left, right):
+        joins.append(len(left) + len(right))
+        before = len(windows)
+        out = join(self, left, right)
+        joins[-1] = (joins[-1], len(windows) - before)
+        return out
+    monkeypatch.setattr(byte_bpe.MonoidBpe, "join", counted)
+    monkeypatch.setattr(byte_bpe.MonoidBpe, "merge", lambda self, piece: windows.append(piece) or merge(self, piece))
+    encoder = byte_bpe.TextEncoder(BYTES, vocabularies.PATTERN)
+    rng = random.Random(12)
+    words = {"".join(rng.choice(["the", "on", "er", "zq", "x", "tion", "é", "ing"]) for _ in range(rng.randint(2, 40))) for _ in range(400)}
+    beyond = 0
+    for word in words:
+        got, before = [], len(joins)
+        for piece in encoder.split(word):
+            held = len(joins)
+            got += encoder.bpe.tokens(piece.encode())
+            assert (len(joins) > held) == (piece.encode() not in encoder.bpe.ranks)
+        beyond += len(joins) > before
+        assert [encoder.bpe.ranks[t] for t in got] == library.encode_ordinary(word)
+    assert beyond > 300 and any(n > 2 for _, n in joins)
