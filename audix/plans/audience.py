@@ -2,7 +2,8 @@
 
 1. rank segments, take the best segment's members (originals);
 2. expand them through the user-cluster matrices, drop the originals;
-3. project both sides on the top-k features, build the originals' graph;
+3. learn feature weights from the day's clicks (or count support), project both sides
+   on the top-k features, build the originals' graph;
 4. find communities, admit candidates that raise modularity, keep the top N;
 5. compare audience size and revenue of the raw and filtered lists.
 
@@ -18,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audix.functions import features as feats
-from audix.operators import assign, communities, evaluate, expansion, graph, segments
+from audix.operators import assign, communities, evaluate, expansion, graph, learn, segments
 from audix.session import cut_lineage
+from audix.sources import tables
 
 
 @dataclass
@@ -36,6 +38,7 @@ class RunParams:
     spend_hi: str = ""
     spend_source: str = evaluate.DEFAULT_SOURCE
     method: str = "fastgreedy"
+    learn_loss: str | None = "squared"      # None: features are ranked by how many members have them
     counters: dict = field(default_factory=dict)
 
 
@@ -56,7 +59,12 @@ def run(spark: SparkSession, segment_revenue: DataFrame, profiles: DataFrame, us
     fresh = cut_lineage(expansion.expansion_minus_seed(expanded, seeds, profiles, p.profile_dt))
 
     orig_feat = feats.profile_features(members)
-    if weights is None:  # no learner output given: most supported features
+    if weights is None and p.learn_loss:
+        # M1-M4: one pass of the learner over the day's profiles and clicks
+        rows = learn.training_frame(feats.profile_features(tables.as_of(profiles, p.profile_dt), keep=["clicks"])
+                                    .select("*", *feats.label_importance("clicks")))
+        weights = learn.named_weights(rows, learn.train_online(rows, p.learn_loss))
+    elif weights is None:
         weights = (feats.features_long(orig_feat).groupBy("ns", "token")
                    .agg(F.count("*").cast("double").alias("weight")))
     sel = feats.top_features(weights, p.top_features)

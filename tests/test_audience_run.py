@@ -13,10 +13,11 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
 
-def test_run(spark):
+@pytest.mark.parametrize("loss", ["squared", None])
+def test_run(spark, loss):
     p = audience.RunParams(segment_dt=standins.SEGMENT_REVENUE_DT, profile_dt=standins.PROFILE_DT,
                            divisor=10, spend_lo="2024010700", spend_hi="2024011400", spend_source="purchase",
-                           method="label_propagation")
+                           method="label_propagation", learn_loss=loss)
     out = audience.run(spark, standins.segment_revenue(spark, SF), standins.profiles(spark, SF),
                        standins.user_clusters(spark, SF), standins.cluster_users(spark, SF),
                        standins.spend(spark, SF), None, p)
