@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from audix.functions.joins import split_join
-from audix.session import cut_lineage
+from audix.session import cut_lineage, drop_shared, write_shared
 
 TAU = 0.5
 HISTORY = 5                     # changes that a step remembers
@@ -137,7 +137,7 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
     def taught(j: int) -> Column:
         return F.col("fold") != folds[j] if folds else F.lit(True)
     margin = [F.get("margins", F.lit(j)) for j in range(k)]
-    state = cut_lineage(rows.withColumn("margins", F.array_repeat(F.lit(0.0), k)))
+    state = held_state = write_shared(rows.withColumn("margins", F.array_repeat(F.lit(0.0), k)), "learner-rows")
     total = [x or 0.0 for x in state.agg(*[F.sum(F.when(taught(j), importance)) for j in range(k)]).first()]
 
     def gradients(state: DataFrame) -> DataFrame:
@@ -148,7 +148,8 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
         return summed.select("slot", models.alias("m")).select("slot", "m.model", "m.g")
 
     none = F.array().cast("array<double>")
-    weights = cut_lineage(gradients(state).select("model", "slot", F.lit(0.0).alias("w"), "g", none.alias("s"), none.alias("y")))
+    weights = write_shared(gradients(state).select("model", "slot", F.lit(0.0).alias("w"), "g", none.alias("s"), none.alias("y")),
+                           "learner-weights")
     n_slots = weights.count() // k
     live = set(range(k))
     for step in range(steps):
@@ -186,8 +187,10 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
         wide = moved.groupBy("slot").agg(*[F.sum(F.when(F.col("model") == j, F.col("d"))).alias(f"d{j}") for j in range(k)])
         change = (_meet(state.select("_row", F.explode("slots").alias("slot")), wide, k, n_slots)
                   .groupBy("_row").agg(F.array(*[F.sum(f"d{j}") for j in range(k)]).alias("change")))
-        state = cut_lineage(state.drop("change").join(change, "_row", "left")
-                            .withColumn("change", F.coalesce("change", F.array_repeat(F.lit(0.0), k))))
+        state = write_shared(state.drop("change").join(change, "_row", "left")
+                             .withColumn("change", F.coalesce("change", F.array_repeat(F.lit(0.0), k))), "learner-rows")
+        drop_shared(held_state)
+        held_state = state
         delta_m = [F.get("change", F.lit(j)) for j in range(k)]
         if loss == "quantile":
             length = {j: 0.5 / math.sqrt(step + 1) / (total[j] or 1.0) for j in live}
@@ -201,9 +204,11 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
         new = gradients(state).select("model", "slot", F.col("g").alias("g_new"))
         went = F.col("d") * F.col("went")
         keep = lambda c, x: F.slice(F.concat(c, F.array(x)), F.greatest(F.size(c) + 2 - HISTORY, F.lit(1)), HISTORY)
-        weights = cut_lineage(moved.withColumn("went", F.get(lengths, F.col("model"))).join(new, ["model", "slot"])
-                              .select("model", "slot", (F.col("w") + went).alias("w"), F.col("g_new").alias("g"),
-                                      keep(F.col("s"), went).alias("s"), keep(F.col("y"), F.col("g_new") - F.col("g")).alias("y")))
+        after = (moved.withColumn("went", F.get(lengths, F.col("model"))).join(new, ["model", "slot"])
+                 .select("model", "slot", (F.col("w") + went).alias("w"), F.col("g_new").alias("g"),
+                         keep(F.col("s"), went).alias("s"), keep(F.col("y"), F.col("g_new") - F.col("g")).alias("y")))
+        held_weights, weights = weights, write_shared(after, "learner-weights")
+        drop_shared(held_weights)
     return weights.select("model", "slot", F.col("w").alias("weight")), state.drop("change")
 
 

@@ -91,7 +91,16 @@ def write_shared(df, name: str):
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.shared_path = path
+    return out
+
+
+def drop_shared(df) -> None:
+    """Delete a table of ``write_shared`` that nothing reads any more."""
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(df.shared_path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
