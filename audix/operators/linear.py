@@ -21,6 +21,7 @@ each has seen of a slot.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -37,6 +38,7 @@ TAU = 0.5
 HISTORY = 5                     # changes that a step remembers
 SHARD_ROWS = 1_000_000          # rows that the one-pass learner reads in a row
 BROADCAST_BYTES = 32 << 20
+MOST_BLOCKS = 32                # blocks of slots, each broadcast for itself
 # Lengths tried, as multiples of the step that a quadratic bound of the loss suggests.
 LENGTHS = tuple(2.0 ** i for i in range(-6, 7))
 
@@ -98,11 +100,18 @@ def load(spark: SparkSession, path: str) -> Model:
 
 def _meet(pairs: DataFrame, table: DataFrame, numbers: int, slots: int | None = None) -> DataFrame:
     """(row, slot) pairs with the numbers of their slots: a small table (``slots`` rows) is
-    broadcast; of a larger one the slots that many rows have, and the others are shuffled to."""
+    broadcast, a larger one block by block, so that no pair is shuffled. Beyond MOST_BLOCKS
+    the slots that many rows have are broadcast, and the others are shuffled to."""
     slots = table.count() if slots is None else slots
-    if slots * (16 + 8 * numbers) <= BROADCAST_BYTES:
+    blocks = max(1, math.ceil(slots * (16 + 8 * numbers) / BROADCAST_BYTES))
+    if blocks == 1:
         return pairs.join(F.broadcast(table), "slot")
-    return split_join(pairs, table, "slot")
+    if blocks > MOST_BLOCKS:
+        return split_join(pairs, table, "slot")
+    table = cut_lineage(table)
+    block = F.pmod(F.xxhash64("slot"), F.lit(blocks))
+    found = [pairs.where(block == b).join(F.broadcast(table.where(block == b)), "slot") for b in range(blocks)]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def _direction(dots: np.ndarray, held: int) -> np.ndarray:
@@ -137,12 +146,19 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
     def taught(j: int) -> Column:
         return F.col("fold") != folds[j] if folds else F.lit(True)
     margin = [F.get("margins", F.lit(j)) for j in range(k)]
-    state = held_state = write_shared(rows.withColumn("margins", F.array_repeat(F.lit(0.0), k)), "learner-rows")
-    total = [x or 0.0 for x in state.agg(*[F.sum(F.when(taught(j), importance)) for j in range(k)]).first()]
+    # The slots are written once; what a step changes of a row is kept without them.
+    whole = write_shared(rows, "learner-rows")
+    held_rows, held_state = whole.select("_row", "slots"), None
+    state = whole.drop("slots").withColumn("margins", F.array_repeat(F.lit(0.0), k))
+    n_rows, *total = state.agg(F.count("*"), *[F.sum(F.when(taught(j), importance)) for j in range(k)]).first()
+    total = [x or 0.0 for x in total]
+    few_rows = n_rows * (16 + 8 * k) <= BROADCAST_BYTES
 
     def gradients(state: DataFrame) -> DataFrame:
         slopes = [F.when(taught(j), importance * kind.slope(margin[j], label)).otherwise(0.0).alias(f"g{j}") for j in range(k)]
-        summed = (state.select(*slopes, F.explode("slots").alias("slot"))
+        sloped = state.select("_row", *slopes)
+        summed = (held_rows.join(F.broadcast(sloped) if few_rows else sloped, "_row")
+                  .select(*[f"g{j}" for j in range(k)], F.explode("slots").alias("slot"))
                   .groupBy("slot").agg(*[F.sum(f"g{j}").alias(f"g{j}") for j in range(k)]))
         models = F.explode(F.array(*[F.struct(F.lit(j).alias("model"), F.col(f"g{j}").alias("g")) for j in range(k)]))
         return summed.select("slot", models.alias("m")).select("slot", "m.model", "m.g")
@@ -185,11 +201,12 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
                     for i in range(size)]
         moved = weights.withColumn("d", sum((c * b for c, b in zip(of_model, basis)), F.lit(0.0)))
         wide = moved.groupBy("slot").agg(*[F.sum(F.when(F.col("model") == j, F.col("d"))).alias(f"d{j}") for j in range(k)])
-        change = (_meet(state.select("_row", F.explode("slots").alias("slot")), wide, k, n_slots)
+        change = (_meet(held_rows.select("_row", F.explode("slots").alias("slot")), wide, k, n_slots)
                   .groupBy("_row").agg(F.array(*[F.sum(f"d{j}") for j in range(k)]).alias("change")))
         state = write_shared(state.drop("change").join(change, "_row", "left")
                              .withColumn("change", F.coalesce("change", F.array_repeat(F.lit(0.0), k))), "learner-rows")
-        drop_shared(held_state)
+        if held_state is not None:
+            drop_shared(held_state)
         held_state = state
         delta_m = [F.get("change", F.lit(j)) for j in range(k)]
         if loss == "quantile":
@@ -283,14 +300,15 @@ def _shard(loss: str, rate: float):
             get = batch.schema.get_field_index
             held = batch.column(get("slots"))
             off, slots = held.offsets.to_numpy() - held.offsets[0].as_py(), held.flatten().to_numpy()
-            first = batch.column(get("start")).flatten().to_numpy()
-            before = batch.column(get("before")).flatten().to_numpy()
             distinct, at, back = np.unique(slots, return_index=True, return_inverse=True)
             known = np.array([place.setdefault(s, len(place)) for s in distinct.tolist()], np.int64)
             if len(place) > len(w):
                 w, seen = (np.append(x, np.zeros(2 * len(place) - len(x))) for x in (w, seen))
-            new = (seen[known] == 0) & (w[known] == 0)
-            w[known[new]], seen[known[new]] = first[at[new]], before[at[new]]
+            if get("start") >= 0:       # not in the first pass: all weights start from 0
+                first = batch.column(get("start")).flatten().to_numpy()
+                before = batch.column(get("before")).flatten().to_numpy()
+                new = (seen[known] == 0) & (w[known] == 0)
+                w[known[new]], seen[known[new]] = first[at[new]], before[at[new]]
             index = known[back]
             y, importance = batch.column(get("label")).to_numpy(), batch.column(get("importance")).to_numpy()
             for i in range(batch.num_rows):
@@ -322,15 +340,14 @@ def fit_online(rows: DataFrame, loss: str = "squared", passes: int = 1, rate: fl
     weights = None
     for _ in range(passes):
         if weights is None:
-            zeros = F.transform("slots", lambda s: F.lit(0.0))
-            given = ready.withColumn("start", zeros).withColumn("before", zeros)
+            given = ready
         else:
             known = (_meet(ready.select("row_id", F.posexplode("slots").alias("at", "slot")), weights, 2)
                      .groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("at", "weight", "seen"))).alias("of")))
             given = (ready.join(known, "row_id", "left").withColumn("start", F.coalesce("of.weight", F.array().cast("array<double>")))
                      .withColumn("before", F.coalesce("of.seen", F.array().cast("array<double>"))).drop("of"))
         dealt = given.repartition(shards, "order").sortWithinPartitions("order", "row_id")
-        found = dealt.select("label", "importance", "slots", "start", "before").mapInArrow(
+        found = dealt.drop("order", "row_id").mapInArrow(
             _shard(loss, rate), "slot int, weight double, seen double")
         weights = cut_lineage(found.groupBy("slot").agg(
             F.when(F.sum("seen") > 0, F.sum(F.col("weight") * F.col("seen")) / F.sum("seen")).otherwise(0.0).alias("weight"),

@@ -220,3 +220,33 @@ def test_no_rows(spark):
     assert learn.train(none, "logistic", 3)[1].count() == 0
     assert learn.train_online(none, "hinge").weights.count() == 0
     assert [(r.fold, r.n_test) for r in learn.cross_validate(none, k=3, passes=2).collect()] == [(-1, 0)]
+
+
+def test_pairs_meet_a_large_table_in_blocks(spark, monkeypatch):
+    """A table beyond one broadcast is met block by block: the same rows, no pair shuffled."""
+    pairs = spark.range(600).select((F.col("id") % 30).alias("_row"), (F.col("id") % 97).cast("int").alias("slot"))
+    table = spark.range(90).select(F.col("id").cast("int").alias("slot"), (F.col("id") * 0.5).alias("weight"))
+    expected = sorted(map(tuple, pairs.join(table, "slot").select("_row", "slot", "weight").collect()))
+    monkeypatch.setattr(linear, "BROADCAST_BYTES", 500)
+    met = linear._meet(pairs, table, 1)
+    assert sorted(map(tuple, met.select("_row", "slot", "weight").collect())) == expected
+    assert "SortMergeJoin" not in met._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_a_fit_are_kept_without_their_slots(spark):
+    rows = spark.createDataFrame([(i, 1.0 if i % 2 else -1.0, 1.0, [i % 2, 5]) for i in range(20)],
+                                 "_row long, label double, importance double, slots array<int>")
+    weights, state = linear.fit(rows, "squared", 2)
+    assert "slots" not in state.columns and state.count() == 20
+    assert {r.slot: round(r.weight, 3) for r in weights.collect()} == {0: -1.0, 1: 1.0, 5: 0.0}
+
+
+def test_first_online_pass_carries_no_starting_weights(spark, monkeypatch):
+    seen, shard = [], linear._shard
+    rows = spark.createDataFrame([(i, 1.0 if i % 2 else -1.0, 1.0, [i % 2]) for i in range(20)],
+                                 "row_id long, label double, importance double, slots array<int>")
+    original = type(rows).mapInArrow
+    monkeypatch.setattr(type(rows), "mapInArrow", lambda self, *a, **b: seen.append(self.columns) or original(self, *a, **b))
+    got = {r.slot: r.weight for r in linear.fit_online(rows, "squared", 2).collect()}
+    assert seen[0] == ["label", "importance", "slots"] and "start" in seen[1]
+    assert got[0] < 0 < got[1] and shard is linear._shard
