@@ -4,7 +4,9 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from audix.operators import simjoin
 from audix.operators.simjoin import similarity_join, similarity_self_join
 
 
@@ -83,3 +85,25 @@ def test_independent_of_partitioning(spark):
     one = {tuple(r) for r in similarity_self_join(df.repartition(1), cutoff=0.7).collect()}
     many = {tuple(r) for r in similarity_self_join(df.repartition(13), cutoff=0.7).collect()}
     assert one == many
+
+
+def test_texts_that_share_a_rare_word_are_no_candidates(spark):
+    """Sets with one token in common, rare enough to be in every prefix, end in the join."""
+    rows = [(i, ["shared"] + [f"w{i % 4}x{j}" for j in range(30)] + [f"own{i}"]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    freq = simjoin._token_freq(df).withColumn("df", F.when(F.col("token") == "shared", 0).otherwise(F.col("df")))
+    pref = simjoin._prefix_rows(df.withColumn("h", F.xxhash64("tokens")), freq, 0.8)
+    got = {(r.id_a, r.id_b) for r in simjoin._candidates(pref, pref, 0.8, True).collect()}
+    assert got == {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 4 == b % 4}
+
+
+@pytest.mark.parametrize("n", [1, 300, 900, 3000])
+def test_bitmaps_lose_no_long_pair(spark, n):
+    rng = random.Random(n)
+    sets = []
+    for i in range(6):
+        base = {f"t{i}-{j}" for j in range(n)}
+        sets += [(3 * i, base), (3 * i + 1, base - set(rng.sample(sorted(base), n // 5))),
+                 (3 * i + 2, base | {f"u{i}-{j}" for j in range(n // 4)})]
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in sets], "id long, tokens array<string>")
+    assert {(r.id_a, r.id_b) for r in similarity_self_join(df, cutoff=0.8).collect()} == brute(sets, sets, 0.8, True)
