@@ -220,7 +220,9 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
         state = state.withColumn("margins", F.zip_with("margins", ahead, lambda m, c: m + c))
         new = gradients(state).select("model", "slot", F.col("g").alias("g_new"))
         went = F.col("d") * F.col("went")
-        keep = lambda c, x: F.slice(F.concat(c, F.array(x)), F.greatest(F.size(c) + 2 - HISTORY, F.lit(1)), HISTORY)
+        # the median's steps use no history, so none is kept, moved and written for them
+        keep = lambda c, x: c if loss == "quantile" else \
+            F.slice(F.concat(c, F.array(x)), F.greatest(F.size(c) + 2 - HISTORY, F.lit(1)), HISTORY)
         after = (moved.withColumn("went", F.get(lengths, F.col("model"))).join(new, ["model", "slot"])
                  .select("model", "slot", (F.col("w") + went).alias("w"), F.col("g_new").alias("g"),
                          keep(F.col("s"), went).alias("s"), keep(F.col("y"), F.col("g_new") - F.col("g")).alias("y")))

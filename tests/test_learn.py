@@ -250,3 +250,17 @@ def test_first_online_pass_carries_no_starting_weights(spark, monkeypatch):
     got = {r.slot: r.weight for r in linear.fit_online(rows, "squared", 2).collect()}
     assert seen[0] == ["label", "importance", "slots"] and "start" in seen[1]
     assert got[0] < 0 < got[1] and shard is linear._shard
+
+
+
+@pytest.mark.parametrize("loss,size", [("quantile", 0), ("squared", 5)])
+def test_history_only_where_steps_use_it(spark, monkeypatch, loss, size):
+    kept, write = [], linear.write_shared
+    def spy(df, name):
+        out = write(df, name)
+        if name == "learner-weights":
+            kept.append(max(r.n for r in out.select(F.size("s").alias("n")).collect()))
+        return out
+    monkeypatch.setattr(linear, "write_shared", spy)
+    linear.fit(learn._slotted(planted(spark, 60), 20), loss, 7)
+    assert kept[-1] == size
