@@ -103,7 +103,7 @@ def _meet(pairs: DataFrame, table: DataFrame, numbers: int, slots: int | None =
     broadcast, a larger one block by block, so that no pair is shuffled. Beyond MOST_BLOCKS
     the slots that many rows have are broadcast, and the others are shuffled to."""
     slots = table.count() if slots is None else slots
-    blocks = max(1, math.ceil(slots * (16 + 8 * numbers) / BROADCAST_BYTES))
+    blocks = _blocks(slots, numbers)
     if blocks == 1:
         return pairs.join(F.broadcast(table), "slot")
     if blocks > MOST_BLOCKS:
@@ -114,6 +114,28 @@ def _meet(pairs: DataFrame, table: DataFrame, numbers: int, slots: int | None =
     return functools.reduce(DataFrame.unionByName, found)
 
 
+def _blocks(slots: int, numbers: int) -> int:
+    """Blocks, each small enough to broadcast, of a table of ``slots`` rows."""
+    return max(1, math.ceil(slots * (16 + 8 * numbers) / max(1, BROADCAST_BYTES)))
+
+
+def _dealt(rows: DataFrame, blocks: int) -> list[DataFrame]:
+    """(_row, slots) rows written once for every block of slots, so that a pass that meets
+    a table block by block reads every slot of a row once, however many blocks there are."""
+    def own(b: int) -> Column:
+        return F.filter("slots", lambda s: F.pmod(s, F.lit(blocks)) == b)
+    return [write_shared(rows.select("_row", own(b).alias("slots")).where(F.size("slots") > 0), "learner-block")
+            for b in range(blocks)]
+
+
+def _meet_dealt(parts: list[DataFrame], table: DataFrame) -> DataFrame:
+    """(row, slot) pairs of ``_dealt`` rows with the numbers of their slots."""
+    blocks = len(parts)
+    found = [p.select("_row", F.explode("slots").alias("slot"))
+             .join(F.broadcast(table.where(F.pmod("slot", F.lit(blocks)) == b)), "slot") for b, p in enumerate(parts)]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 def _direction(dots: np.ndarray, held: int) -> np.ndarray:
     """Coefficients of the quasi-Newton direction over the basis s_1.., y_1.., g, from the
     inner products of the basis (``held`` changes, oldest first): the two-loop recursion."""
@@ -167,6 +189,8 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
     weights = write_shared(gradients(state).select("model", "slot", F.lit(0.0).alias("w"), "g", none.alias("s"), none.alias("y")),
                            "learner-weights")
     n_slots = weights.count() // k
+    blocks = _blocks(n_slots, k)
+    parts = _dealt(held_rows, blocks) if 1 < blocks <= MOST_BLOCKS and steps > 0 else []
     live = set(range(k))
     for step in range(steps):
         held = min(step, HISTORY) if loss != "quantile" else 0
@@ -200,11 +224,20 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
         of_model = [F.get(F.lit([float(coefficients[j][i]) if j in coefficients else 0.0 for j in range(k)]), F.col("model"))
                     for i in range(size)]
         moved = weights.withColumn("d", sum((c * b for c, b in zip(of_model, basis)), F.lit(0.0)))
-        wide = moved.groupBy("slot").agg(*[F.sum(F.when(F.col("model") == j, F.col("d"))).alias(f"d{j}") for j in range(k)])
-        change = (_meet(held_rows.select("_row", F.explode("slots").alias("slot")), wide, k, n_slots)
-                  .groupBy("_row").agg(F.array(*[F.sum(f"d{j}") for j in range(k)]).alias("change")))
+        if k == 1:
+            wide = moved.select("slot", F.col("d").alias("d0"))
+        else:
+            wide = moved.groupBy("slot").agg(*[F.sum(F.when(F.col("model") == j, F.col("d"))).alias(f"d{j}") for j in range(k)])
+        if parts:
+            wide = write_shared(wide, "learner-step")
+            met = _meet_dealt(parts, wide)
+        else:
+            met = _meet(held_rows.select("_row", F.explode("slots").alias("slot")), wide, k, n_slots)
+        change = (met.groupBy("_row").agg(F.array(*[F.sum(f"d{j}") for j in range(k)]).alias("change")))
         state = write_shared(state.drop("change").join(change, "_row", "left")
                              .withColumn("change", F.coalesce("change", F.array_repeat(F.lit(0.0), k))), "learner-rows")
+        if parts:
+            drop_shared(wide)
         if held_state is not None:
             drop_shared(held_state)
         held_state = state
@@ -228,6 +261,8 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
                          keep(F.col("s"), went).alias("s"), keep(F.col("y"), F.col("g_new") - F.col("g")).alias("y")))
         held_weights, weights = weights, write_shared(after, "learner-weights")
         drop_shared(held_weights)
+    for p in parts:
+        drop_shared(p)
     return weights.select("model", "slot", F.col("w").alias("weight")), state.drop("change")
 
 

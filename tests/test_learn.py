@@ -264,3 +264,18 @@ def test_history_only_where_steps_use_it(spark, monkeypatch, loss, size):
     monkeypatch.setattr(linear, "write_shared", spy)
     linear.fit(learn._slotted(planted(spark, 60), 20), loss, 7)
     assert kept[-1] == size
+
+
+
+def test_a_pass_in_blocks_reads_every_slot_once(spark, monkeypatch):
+    """Weights beyond one broadcast: the model is the same, and a step meets each slot of a row once."""
+    rows = learn._slotted(planted(spark, 100), 20)
+    want = {r.slot: r.weight for r in linear.fit(rows, "squared", 4)[0].collect()}
+    seen, meet = [], linear._meet_dealt
+    monkeypatch.setattr(linear, "_meet_dealt", lambda parts, table: seen.append(
+        [p.select(F.explode("slots")).count() for p in parts]) or meet(parts, table))
+    monkeypatch.setattr(linear, "BROADCAST_BYTES", 200)
+    got = {r.slot: r.weight for r in linear.fit(rows, "squared", 4)[0].collect()}
+    assert got == pytest.approx(want)
+    pairs = rows.select(F.explode("slots")).count()
+    assert len(seen) >= 3 and all(len(x) == 6 and sum(x) == pairs for x in seen)
