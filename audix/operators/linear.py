@@ -37,6 +37,8 @@ from audix.session import cut_lineage, drop_shared, write_shared
 TAU = 0.5
 HISTORY = 5                     # changes that a step remembers
 SHARD_ROWS = 1_000_000          # rows that the one-pass learner reads in a row
+ROUND_ROWS = 100_000            # rows of a shard that a task sorts at a time
+LIST_SLOTS = 1 << 14            # slots in a row of the lists between rounds
 BROADCAST_BYTES = 32 << 20
 MOST_BLOCKS = 32                # blocks of slots, each broadcast for itself
 # Lengths tried, as multiples of the step that a quadratic bound of the loss suggests.
@@ -328,26 +330,50 @@ def _slope(loss: str, p: float, y: float) -> float:
 
 
 def _shard(loss: str, rate: float):
-    """Adaptive steps over the rows of a shard, in their order: (slot, weight, seen), seen
-    the sum of the squared gradients."""
+    """Adaptive steps over the rows of a shard, in their order: lists of slots with their
+    weight and seen, the sum of the squared gradients. A shard goes on from its own lists
+    (kind 0), which come before its rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place: dict[int, int] = {}
-        w, seen = np.zeros(1024), np.zeros(1024)
+        shard, keys, w, seen = 0, np.zeros(0, np.int32), np.zeros(0), np.zeros(0)
+
+        def placed(slots: np.ndarray) -> np.ndarray:
+            """Where the ascending, distinct ``slots`` are; new ones are put in with zeros."""
+            nonlocal keys, w, seen
+            at = np.searchsorted(keys, slots)
+            new = np.append(keys, -1)[at] != slots
+            if new.any():
+                keys, w, seen = np.insert(keys, at[new], slots[new]), np.insert(w, at[new], 0.0), np.insert(seen, at[new], 0.0)
+                at = np.searchsorted(keys, slots)
+            return at
+
+        def numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
+            return batch.column(name).flatten().to_numpy()
         for batch in batches:
-            get = batch.schema.get_field_index
-            held = batch.column(get("slots"))
+            if batch.num_rows == 0:
+                continue
+            given = batch.schema.names
+            if "shard" in given:        # rounds follow each other
+                shard = batch.column("shard")[0].as_py()
+            lists = int((batch.column("kind").to_numpy() == 0).sum()) if "kind" in given else 0
+            if lists:
+                own, batch = batch.slice(0, lists), batch.slice(lists)
+                slots = numbers(own, "slots")
+                order = np.argsort(slots)
+                at = placed(slots[order])
+                w[at], seen[at] = numbers(own, "start")[order], numbers(own, "before")[order]
+                if batch.num_rows == 0:
+                    continue
+            held = batch.column("slots")
             off, slots = held.offsets.to_numpy() - held.offsets[0].as_py(), held.flatten().to_numpy()
-            distinct, at, back = np.unique(slots, return_index=True, return_inverse=True)
-            known = np.array([place.setdefault(s, len(place)) for s in distinct.tolist()], np.int64)
-            if len(place) > len(w):
-                w, seen = (np.append(x, np.zeros(2 * len(place) - len(x))) for x in (w, seen))
-            if get("start") >= 0:       # not in the first pass: all weights start from 0
-                first = batch.column(get("start")).flatten().to_numpy()
-                before = batch.column(get("before")).flatten().to_numpy()
+            distinct, first, back = np.unique(slots, return_index=True, return_inverse=True)
+            known = placed(distinct)
+            # not in the first pass: all weights start from 0
+            if "start" in given and not batch.column("start").null_count:
                 new = (seen[known] == 0) & (w[known] == 0)
-                w[known[new]], seen[known[new]] = first[at[new]], before[at[new]]
+                w[known[new]] = numbers(batch, "start")[first[new]]
+                seen[known[new]] = numbers(batch, "before")[first[new]]
             index = known[back]
-            y, importance = batch.column(get("label")).to_numpy(), batch.column(get("importance")).to_numpy()
+            y, importance = batch.column("label").to_numpy(), batch.column("importance").to_numpy()
             for i in range(batch.num_rows):
                 own = index[off[i]:off[i + 1]]
                 if not len(own):
@@ -360,33 +386,56 @@ def _shard(loss: str, rate: float):
                 pace = rate / np.sqrt(seen[own])
                 total = float(pace.sum())
                 w[own] += pace * ((_moved(loss, p, float(y[i]), importance[i] * total) - p) / total)
-        n = len(place)
-        yield pa.RecordBatch.from_arrays([pa.array(np.fromiter(place, np.int32, n)), pa.array(w[:n]), pa.array(seen[:n])],
-                                         ["slot", "weight", "seen"])
+        for a in range(0, len(keys), LIST_SLOTS):
+            some = slice(a, a + LIST_SLOTS)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([shard], pa.int32()), pa.array([keys[some]], pa.list_(pa.int32())),
+                 *[pa.array([x[some]], pa.list_(pa.float64())) for x in (w, seen)]], ["shard", "slots", "start", "before"])
     return run
 
 
 def fit_online(rows: DataFrame, loss: str = "squared", passes: int = 1, rate: float = 0.5,
-               shard_rows: int = SHARD_ROWS) -> DataFrame:
+               shard_rows: int = SHARD_ROWS, round_rows: int = ROUND_ROWS) -> DataFrame:
     """(slot, weight) after ``passes`` over ``rows`` (row_id, label, importance, slots). Rows
     are dealt to shards, and ordered in them, by a hash of row_id, so the result does not
     depend on how they are stored. Before another pass every shard starts from the average
-    of all: each slot's weights are averaged by the squared gradients that a shard saw."""
-    ready = cut_lineage(rows.select(F.xxhash64("row_id").alias("order"), "row_id", "label", "importance", "slots"))
-    shards = max(1, math.ceil(ready.count() / shard_rows))
+    of all: each slot's weights are averaged by the squared gradients that a shard saw.
+
+    A shard is read in rounds, by ranges of that hash, so that a task sorts about
+    ``round_rows`` rows at a time; its weights are handed on from round to round, and the
+    steps are those of a single round."""
+    ready = write_shared(rows.select(F.xxhash64("row_id").alias("order"), "row_id", "label", "importance", "slots"), "learner-online")
+    n_rows = ready.count()
+    shards = max(1, math.ceil(n_rows / shard_rows))
+    rounds = max(1, math.ceil(n_rows / shards / round_rows))
     weights = None
     for _ in range(passes):
         if weights is None:
-            given = ready
+            given, columns = ready, ["label", "importance", "slots"]
         else:
             known = (_meet(ready.select("row_id", F.posexplode("slots").alias("at", "slot")), weights, 2)
                      .groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("at", "weight", "seen"))).alias("of")))
             given = (ready.join(known, "row_id", "left").withColumn("start", F.coalesce("of.weight", F.array().cast("array<double>")))
                      .withColumn("before", F.coalesce("of.seen", F.array().cast("array<double>"))).drop("of"))
-        dealt = given.repartition(shards, "order").sortWithinPartitions("order", "row_id")
-        found = dealt.drop("order", "row_id").mapInArrow(
-            _shard(loss, rate), "slot int, weight double, seen double")
+            given, columns = write_shared(given, "learner-given") if rounds > 1 else given, ["label", "importance", "slots", "start", "before"]
+        given = given.withColumn("shard", F.pmod(F.hash("order"), F.lit(shards)))
+        columns, lists = columns + (["shard"] if rounds > 1 else []), None
+        for r in range(rounds):
+            low, high = (((i << 64) // rounds - (1 << 63)) for i in (r, r + 1))
+            part, own = given.where((F.col("order") >= low) & (F.col("order") <= high - 1)), columns
+            if lists is not None:
+                part = part.withColumn("kind", F.lit(1)).unionByName(lists.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+                own = [*dict.fromkeys([*columns, "start", "before", "kind"])]
+            first = ["kind"] if lists is not None else []
+            dealt = part.repartitionById(shards, "shard").sortWithinPartitions(*first, "order", "row_id")
+            held, lists = lists, write_shared(dealt.select(own).mapInArrow(
+                _shard(loss, rate), "shard int, slots array<int>, start array<double>, before array<double>"), "learner-lists")
+            if held is not None:
+                drop_shared(held)
+        found = lists.select(F.inline(F.arrays_zip("slots", "start", "before"))).toDF("slot", "weight", "seen")
         weights = cut_lineage(found.groupBy("slot").agg(
             F.when(F.sum("seen") > 0, F.sum(F.col("weight") * F.col("seen")) / F.sum("seen")).otherwise(0.0).alias("weight"),
             F.sum("seen").alias("seen")))
+        drop_shared(lists)
+    drop_shared(ready)
     return weights.select("slot", "weight")

@@ -252,6 +252,36 @@ def test_first_online_pass_carries_no_starting_weights(spark, monkeypatch):
     assert got[0] < 0 < got[1] and shard is linear._shard
 
 
+def test_rounds_of_a_shard_are_one_pass(spark):
+    """Shards read in rounds hand their weights on: those of one round, in every pass."""
+    rng = random.Random(5)
+    rows = spark.createDataFrame(
+        [(i, 1.0 if rng.random() < 0.5 else -1.0, float(rng.randint(1, 3)), rng.sample(range(60), rng.randint(0, 9))) for i in range(200)],
+        "row_id long, label double, importance double, slots array<int>")
+    for loss, passes in (("squared", 1), ("logistic", 2)):
+        want = {r.slot: r.weight for r in linear.fit_online(rows, loss, passes, shard_rows=70).collect()}
+        got = {r.slot: r.weight for r in linear.fit_online(rows, loss, passes, shard_rows=70, round_rows=11).collect()}
+        assert len(want) == 60 and got == pytest.approx(want)
+
+
+def test_a_shard_of_many_slots_stays_small():
+    """The lists of a shard take 20 bytes a slot, not a Python object for each."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    n, per = 400, 1000
+    def batches():
+        for a in range(0, n, 50):
+            slots = [np.arange(i * per, (i + 1) * per, dtype=np.int32) for i in range(a, a + 50)]
+            yield pa.RecordBatch.from_arrays([pa.array([1.0] * 50), pa.array([1.0] * 50), pa.array(slots, pa.list_(pa.int32()))],
+                                             ["label", "importance", "slots"])
+    tracemalloc.start()
+    held = sum(len(x) for b in linear._shard("squared", 0.5)(batches()) for x in b.column("slots").to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert held == n * per and peak < 64 * n * per
+
 
 @pytest.mark.parametrize("loss,size", [("quantile", 0), ("squared", 5)])
 def test_history_only_where_steps_use_it(spark, monkeypatch, loss, size):
@@ -266,7 +296,6 @@ def test_history_only_where_steps_use_it(spark, monkeypatch, loss, size):
     assert kept[-1] == size
 
 
-
 def test_a_pass_in_blocks_reads_every_slot_once(spark, monkeypatch):
     """Weights beyond one broadcast: the model is the same, and a step meets each slot of a row once."""
     rows = learn._slotted(planted(spark, 100), 20)
