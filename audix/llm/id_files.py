@@ -34,6 +34,7 @@ from audix.llm.token_ids import with_end, word_encoder
 
 END_ID = 2
 FILE_BYTES = 32 << 20           # of text
+SLICE_BYTES = 4 << 20           # encoded at once
 GROUP_IDS = BLOCK_IDS * LANES
 
 GROUP = ("file int, part int, n_ids long, doc_ids array<long>, sizes array<long>, ids array<int>, counts array<int>, "
@@ -57,7 +58,7 @@ def _write(path: str):
         from pyspark import TaskContext
         file, part, encoder = TaskContext.get().partitionId(), 0, word_encoder(path)
         docs, sizes, held, n = [], [], [], 0
-        for s in text_slices(batches):
+        for s in text_slices(batches, max_bytes=SLICE_BYTES):
             ids, counts = with_end(*encoder.encode(s.data, s.offsets), END_ID)
             bound = np.concatenate(([0], np.cumsum(counts)))
             done = 0

@@ -220,3 +220,43 @@ def test_pieces_beyond_the_vocabulary_are_joined(library, monkeypatch):
         beyond += len(joins) > before
         assert [encoder.bpe.ranks[t] for t in got] == library.encode_ordinary(word)
     assert beyond > 300 and any(n > 2 for _, n in joins)
+
+
+def test_words_of_letters_need_the_model_alone(word_ids, monkeypatch):
+    """Only cuts with other signs than small ASCII letters go through the whole tokenizer."""
+    from audix.llm.token_ids import WordEncoder
+    whole = []
+
+    class Tokenizer:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def encode_batch_fast(self, words, **options):
+            whole.extend(words)
+            return self.tokenizer.encode_batch_fast(words, **options)
+
+    rng = random.Random(8)
+    plain = [" ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 20))) for _ in range(50)) for _ in range(40)]
+    texts = plain + ["It's THE 3rd café, don't!", "s t re", "áb ab"]
+    encoder = WordEncoder(WORDS)
+    monkeypatch.setattr(encoder, "tokenizer", Tokenizer(encoder.tokenizer))
+    ids, sizes = encoder.encode(*flat(texts))
+    for t, part in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
+        assert part.tolist() == word_ids(t)[:-1].tolist()
+    assert "'s" in whole and "café" in whole and not [w for w in whole if w.isascii() and w.isalpha()]
+
+
+def test_damage_anywhere_is_found():
+    """A damaged word may lead a lane out of its ranges and its payload; it ends and its checksum tells."""
+    rng = np.random.default_rng(5)
+    blocks = [(rng.zipf(1.4, 300) % 900).astype(np.uint32) for _ in range(8)]
+    header = mixing_coder.scaled_counts(np.concatenate(blocks))
+    coded = mixing_coder.encode_blocks(blocks, header)
+    for at in range(0, 300, 7):
+        bad = []
+        for p in coded[:4]:
+            k = at % (len(p) - 8)       # not in the last words, of which a part may be unused
+            bad.append(p[:k] + bytes([p[k] ^ 0xFF]) + p[k + 1:])
+        cut = coded[4][:at % (len(coded[4]) - 8)]
+        found = mixing_coder.decode_blocks([*bad, cut, b"", *coded[6:]], [300] * 8, header)
+        assert [bool((a == b).all()) for a, b in zip(found, blocks)] == [False] * 6 + [True] * 2
