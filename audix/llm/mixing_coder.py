@@ -33,6 +33,7 @@ RATE = 2.0 ** -5
 _NONE = 0xFFFFFF00          # a slot is place * 256 + confidence
 _HASH, _HASH_TWO = np.array(0x9E3779B1, np.uint32), np.array(0x85EBCA6B, np.uint32)
 _SHIFT = np.array(32 - (SLOTS.bit_length() - 1), np.uint32)
+_BEYOND = np.array(1 << COUNT_BITS, np.uint32)      # any place
 _BYTE, _SURE, _ONE = np.array(8, np.uint32), np.array(STATES - 1, np.uint8), np.array(1, np.uint8)
 _MIX, _SHARE, _FREE = (np.array(x) for x in (2.0 ** MIX_BITS, 2.0 ** -MIX_BITS, 2.0 ** MIX_BITS - 1))
 _COUNT, _LAST = np.array(2.0 ** -COUNT_BITS), np.array(2.0 ** COUNT_BITS - 1)
@@ -82,7 +83,7 @@ class _Mixture:
 
     def __init__(self, lanes: int):
         self.table = np.full(2 * lanes * SLOTS, _NONE, "<u4")
-        self.base = np.arange(2 * lanes, dtype=np.int64) * SLOTS
+        self.base = np.arange(2 * lanes, dtype=np.uint32) * np.uint32(SLOTS)
         self.slot = np.full(3 * lanes, _NONE, "<u4")
         # chance that a prediction of an order and a confidence holds
         start = (np.arange(STATES) + 1) / (np.arange(STATES) + 6)
@@ -104,7 +105,7 @@ class _Mixture:
         self.hit, self.apart = np.empty(3 * m, bool), np.empty(3 * m, bool)
         self.own = np.empty(2 * m)
         self.first, self.size = np.zeros((4, m)), np.zeros((4, m))
-        self.fresh = np.empty(m, "<u4")
+        self.fresh, self.change, self.gone = np.empty(m, "<u4"), np.empty(3 * m, "<u4"), np.empty(3 * m, "<u4")
         self.lane = np.arange(m)
 
     def keep(self, m: int) -> None:
@@ -124,11 +125,13 @@ class _Mixture:
         np.add(one, self.context, out=two)
         np.multiply(one, _HASH_TWO, out=self.context)
         np.right_shift(self.hash, _SHIFT, out=self.hash)
-        np.add(self.base, self.hash, out=self.at)
+        np.add(self.hash, self.base, out=self.hash)
+        self.at[:] = self.hash
         self.table.take(self.at, out=self.slot[:2 * m], mode="clip")
         np.right_shift(self.slot, _BYTE, out=self.place)
         self.state[:] = self.byte
-        np.add(self.row, self.state, out=self.cell)
+        self.cell[:] = self.state
+        np.add(self.cell, self.row, out=self.cell)
         self.chance.take(self.cell, out=self.p, mode="clip")
         p[:] = self.p
         # a repeated prediction has no share of its own
@@ -158,8 +161,8 @@ class _Mixture:
         np.add(p, held, out=p)
         self.chance[self.cell] = p
         np.right_shift(self.state, _ONE, out=self.weaker)
-        np.add(self.state, _ONE, out=self.stronger)
-        np.minimum(self.stronger, _SURE, out=self.stronger)
+        np.less(self.state, _SURE, out=self.apart)
+        np.add(self.state, self.apart.view(np.uint8), out=self.stronger)
         np.subtract(self.stronger, self.weaker, out=self.stronger)
         np.multiply(self.stronger, hit.view(np.uint8), out=self.stronger)
         np.add(self.weaker, self.stronger, out=self.stronger)
@@ -167,7 +170,10 @@ class _Mixture:
         np.equal(self.stronger, 0, out=self.apart)          # predictions that are given up
         np.left_shift(now, _BYTE, out=self.fresh)
         np.add(self.fresh, 1, out=self.fresh)
-        np.copyto(self.slot.reshape(3, m), self.fresh, where=self.apart.reshape(3, m))
+        self.gone[:] = self.apart
+        np.subtract(self.fresh, self.slot.reshape(3, m), out=self.change.reshape(3, m))
+        np.multiply(self.change, self.gone, out=self.change)
+        np.add(self.slot, self.change, out=self.slot)
         self.table[self.at] = self.slot[:2 * m]
         self.last[:] = now
 
@@ -208,7 +214,7 @@ def _encode(blocks: list[np.ndarray], base: _Base) -> list[bytes]:
         mixture.keep(m)
         first, size, unit, word = (np.empty(m) for _ in range(4))
         hit, row, taken = np.empty((3, m), bool), np.empty(m, np.uint8), np.empty(m, np.int64)
-        more, counts = np.empty(m, bool), np.empty(m, bool)
+        more, counts = np.empty(m, bool), np.empty(m, np.uint32)
         named, sp, lo = mixture.place.reshape(3, m), span[:m], low[:m]
         for t in range(a, z):
             now = places[t, :m]
@@ -222,7 +228,8 @@ def _encode(blocks: list[np.ndarray], base: _Base) -> list[bytes]:
             np.add(row, two, out=row)
             np.add(row, top, out=row)
             # the part of the range
-            np.multiply(row, m, out=taken, dtype=np.int64)
+            taken[:] = row
+            np.multiply(taken, m, out=taken)
             np.add(taken, mixture.lane, out=taken)
             mixture.first.take(taken, out=first, mode="clip")
             mixture.size.take(taken, out=size, mode="clip")
@@ -231,9 +238,11 @@ def _encode(blocks: list[np.ndarray], base: _Base) -> list[bytes]:
             np.multiply(first, unit, out=first)
             np.add(lo, first, out=lo)
             np.multiply(size, unit, out=sp)
-            # and the id's range in the part of the counts
-            np.equal(row, 0, out=counts)
-            taken[:] = np.where(counts, now, base.none)
+            # and the id's range in the part of the counts; of other parts, all
+            counts[:] = row
+            np.multiply(counts, _BEYOND, out=counts)
+            np.add(counts, now, out=counts)
+            taken[:] = counts
             base.first.take(taken, out=first, mode="clip")
             base.size.take(taken, out=size, mode="clip")
             np.multiply(sp, _COUNT, out=unit)
@@ -318,7 +327,8 @@ def _decode(payloads: list[bytes], sizes: np.ndarray, base: _Base) -> list[np.nd
                 two, one, top = reach.view(np.uint8)
                 np.add(two, one, out=row)
                 np.add(row, top, out=row)
-                np.multiply(row, m, out=taken, dtype=np.int64)
+                taken[:] = row
+                np.multiply(taken, m, out=taken)
                 np.add(taken, mixture.lane, out=taken)
                 mixture.first.take(taken, out=first, mode="clip")
                 mixture.size.take(taken, out=size, mode="clip")

@@ -223,7 +223,7 @@ def test_pieces_beyond_the_vocabulary_are_joined(library, monkeypatch):
 
 
 def test_words_of_letters_need_the_model_alone(word_ids, monkeypatch):
-    """Only cuts with other signs than small ASCII letters go through the whole tokenizer."""
+    """Only cuts with other signs than ASCII and Latin-1 letters go through the whole tokenizer."""
     from audix.llm.token_ids import WordEncoder
     whole = []
 
@@ -236,14 +236,17 @@ def test_words_of_letters_need_the_model_alone(word_ids, monkeypatch):
             return self.tokenizer.encode_batch_fast(words, **options)
 
     rng = random.Random(8)
-    plain = [" ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 20))) for _ in range(50)) for _ in range(40)]
-    texts = plain + ["It's THE 3rd café, don't!", "s t re", "áb ab"]
+    plain = [" ".join("".join(rng.choice("etaoinshrdluéèßÿÀþ") for _ in range(rng.randint(1, 20)))
+                      for _ in range(50)) for _ in range(40)]
+    plain.append(" ".join(chr(c) + "nt" + chr(c) for c in range(0xC0, 0x100)))
+    texts = plain + ["It's THE 3rd café, don't!", "s t re", "ā a×b", "áb ab"]
     encoder = WordEncoder(WORDS)
     monkeypatch.setattr(encoder, "tokenizer", Tokenizer(encoder.tokenizer))
-    ids, sizes = encoder.encode(*flat(texts))
-    for t, part in zip(texts, np.split(ids, np.cumsum(sizes)[:-1])):
-        assert part.tolist() == word_ids(t)[:-1].tolist()
-    assert "'s" in whole and "café" in whole and not [w for w in whole if w.isascii() and w.isalpha()]
+    for some in (texts, ["<| ABC É", "", "Éa <|endoftext|>b"]):
+        ids, sizes = encoder.encode(*flat(some))
+        for t, part in zip(some, np.split(ids, np.cumsum(sizes)[:-1])):
+            assert part.tolist() == word_ids(t)[:-1].tolist()
+    assert "'s" in whole and "ā" in whole and not [w for w in whole if w.isalpha() and max(w) <= "ÿ"]
 
 
 def test_damage_anywhere_is_found():
