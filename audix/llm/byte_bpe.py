@@ -144,6 +144,8 @@ class MonoidBpe:
         half = len(piece) // 2
         return self.join(self.tokens(piece[:half]), self.tokens(piece[half:]))
 
+    leaf = tokens       # the name of an earlier form
+
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of the ids, concatenated."""
         ids = ids.astype(np.int64)
