@@ -28,12 +28,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from audix.llm.batches import flat, mix64, spread, text_slices
+from audix.llm.batches import flat, forget, mix64, spread, text_slices
 from audix.llm.rolling import RollingHash
 from audix.llm.run_index import RunIndex
 from audix.llm.shared import discard, join_by_key, packed, stored
@@ -89,6 +88,7 @@ def fragments(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram:
 
 def _list_fragments(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for s in text_slices(batches):
             owner, anchor, content, lo, n = fragments(s.data, s.offsets, window, gram)
             at = pa.array(owner)
@@ -121,37 +121,44 @@ def _cut_fragments(window: int):
     return run
 
 
-def mark_shard(rows: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
+MARKS = pa.schema([("did", pa.int64()), ("th", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+
+
+def mark_shard(rows: pa.Table, window: int = WINDOW) -> pa.Table:
     """Windows of a shard's fragments that match at least ``window`` bytes
     elsewhere in the shard: (did, th, lo, hi) runs of marked starts."""
-    rows = rows.sort_values(["did", "th", "lo"], kind="stable").reset_index(drop=True)
+    did, th, lo = (rows.column(c).to_numpy() for c in ("did", "th", "lo"))
+    order = np.lexsort((lo, th, did))
+    did, th, lo = did[order], th[order], lo[order]
     texts, region, within, last, end = [], [], [], None, 0
-    for did, th, lo, data in zip(rows["did"], rows["th"], rows["lo"], rows["bytes"]):
-        if (did, th) == last and lo <= end:
-            texts[-1].append(data[end - lo:])
+    for d, t, at, data in zip(did.tolist(), th.tolist(), lo.tolist(), rows.column("bytes").take(order).to_pylist()):
+        if (d, t) == last and at <= end:
+            texts[-1].append(data[end - at:])
         else:
             texts.append([data])
-            first, last = lo, (did, th)
-            end = lo
+            first, last = at, (d, t)
+            end = at
         region.append(len(texts) - 1)
-        within.append(lo - first)
-        end = max(end, lo + len(data))
+        within.append(at - first)
+        end = max(end, at + len(data))
     index = RunIndex([b"".join(t) for t in texts])
+    del texts
     hit = index.matching_statistics() >= window
-    alone = rows["alone"].to_numpy()
-    begin = index.starts[np.array(region, np.int64)] + np.array(within, np.int64)
-    begin, lo, n = begin[alone], rows["lo"].to_numpy()[alone], rows["n_starts"].to_numpy(np.int64)[alone]
+    alone = rows.column("alone").to_numpy()[order]
+    begin = (index.starts[np.array(region, np.int64)] + np.array(within, np.int64))[alone]
+    del index
+    did, th, lo, n = did[alone], th[alone], lo[alone], rows.column("n_starts").to_numpy()[order][alone].astype(np.int64)
     flags = hit[spread(begin, n)]
     owner, place = np.repeat(np.arange(len(n)), n), spread(np.zeros(len(n), np.int64), n)
     on = np.flatnonzero(flags)
-    if len(on) == 0:
-        return pd.DataFrame({"did": [], "th": [], "lo": [], "hi": []}, dtype="int64")
-    new = np.append(True, (on[1:] != on[:-1] + 1) | (owner[on[1:]] != owner[on[:-1]]))
-    head = on[new]
-    tail = on[np.append(np.flatnonzero(new)[1:], len(on)) - 1]
+    new = np.ones(len(on), bool)
+    new[1:] = (on[1:] != on[:-1] + 1) | (owner[on[1:]] != owner[on[:-1]])
+    ends = np.ones(len(on), bool)
+    ends[:-1] = new[1:]
+    head, tail = on[new], on[ends]
     who = owner[head]
-    return pd.DataFrame({"did": rows["did"].to_numpy()[alone][who], "th": rows["th"].to_numpy()[alone][who],
-                         "lo": lo[who] + place[head], "hi": lo[who] + place[tail]})
+    return pa.Table.from_arrays([pa.array(x) for x in (did[who], th[who], lo[who] + place[head], lo[who] + place[tail])],
+                                schema=MARKS)
 
 
 def _windows(window: int):
@@ -235,7 +242,7 @@ def marked_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     shards = max(1, -(-size // SHARD_BYTES))
     indexed = (cut.join(hot, "anchor", "left_anti")
                .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-               .groupBy("shard").applyInPandas(lambda rows: mark_shard(rows, window), "did long, th long, lo long, hi long"))
+               .groupBy("shard").applyInArrow(lambda rows: mark_shard(rows, window), "did long, th long, lo long, hi long"))
     out = same.unionByName(indexed)
 
     if not hot.isEmpty():
