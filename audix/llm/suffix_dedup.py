@@ -41,6 +41,7 @@ WINDOW, GRAM = 200, 64
 SHARD_BYTES = 2 << 20
 HOT_CONTENTS = 4096
 CHUNK = 1 << 20              # window starts handled at once
+LISTED_BYTES = 1 << 18       # texts whose fragments are listed at once, at least one
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -89,7 +90,7 @@ def fragments(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram:
 def _list_fragments(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        for s in text_slices(batches):
+        for s in text_slices(batches, max_bytes=LISTED_BYTES):
             owner, anchor, content, lo, n = fragments(s.data, s.offsets, window, gram)
             at = pa.array(owner)
             yield pa.RecordBatch.from_arrays(

@@ -238,6 +238,23 @@ def test_index_memory_is_bounded_per_letter(kind):
     assert peak < 80 * len(text)
 
 
+def test_listing_memory_is_bounded():
+    """A megabyte of texts was listed at once, with 68 MB of arrays."""
+    import pyarrow as pa
+    rng = random.Random(4)
+    texts = pa.array(["".join(rng.choices("abcdefgh ", k=4000)) for _ in range(500)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(500)), pa.array(range(500)), texts], ["did", "th", "text"])
+    listed = suffix_dedup._list_fragments(200, 64)
+    rows = sum(b.num_rows for b in listed(iter([batch])))
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in listed(iter([batch]))) == rows > 0
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 40e6
+
+
 def test_empty_tables(nothing):
     assert near_duplicates.near_duplicates(nothing).collect() == []
     assert line_dedup.line_dedup(nothing).collect() == []
