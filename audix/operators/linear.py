@@ -89,8 +89,16 @@ class Model:
     def score(self, rows: DataFrame, slots: Column) -> DataFrame:
         """``rows`` with ``score``, the sum of the weights of their slots."""
         numbered = cut_lineage(rows.withColumn("_held", slots).withColumn("_at", F.monotonically_increasing_id()))
-        total = (_meet(numbered.select("_at", F.explode("_held").alias("slot")), self.weights, 1)
-                 .groupBy("_at").agg(F.sum("weight").alias("score")))
+        slots_known = self.weights.count()
+        if 1 < (blocks := _blocks(slots_known, 1)) <= MOST_BLOCKS:
+            parts = _dealt(numbered.select(F.col("_at").alias("_row"), F.col("_held").alias("slots")), blocks)
+            met = functools.reduce(DataFrame.unionByName, _meet_dealt(parts, self.weights.select("slot", "weight"))) \
+                .withColumnRenamed("_row", "_at")
+            for p in parts:
+                drop_shared(p)
+        else:
+            met = _meet(numbered.select("_at", F.explode("_held").alias("slot")), self.weights, 1, slots_known)
+        total = met.groupBy("_at").agg(F.sum("weight").alias("score"))
         return numbered.drop("_held").join(total, "_at", "left").fillna(0.0, ["score"]).drop("_at")
 
 
@@ -130,12 +138,15 @@ def _dealt(rows: DataFrame, blocks: int) -> list[DataFrame]:
             for b in range(blocks)]
 
 
-def _meet_dealt(parts: list[DataFrame], table: DataFrame) -> DataFrame:
-    """(row, slot) pairs of ``_dealt`` rows with the numbers of their slots."""
-    blocks = len(parts)
-    found = [p.select("_row", F.explode("slots").alias("slot"))
-             .join(F.broadcast(table.where(F.pmod("slot", F.lit(blocks)) == b)), "slot") for b, p in enumerate(parts)]
-    return functools.reduce(DataFrame.unionByName, found)
+def _meet_dealt(parts: list[DataFrame], table: DataFrame) -> list[DataFrame]:
+    """Sums a row, of the slots that it has in a block, of the numbers of ``table``: a written
+    table (_row, sums) a block of ``_dealt`` rows. A block is broadcast when the one before is
+    done with, so the driver holds one of them, however many there are."""
+    blocks, numbers = len(parts), [c for c in table.columns if c != "slot"]
+    return [write_shared(p.select("_row", F.explode("slots").alias("slot"))
+                         .join(F.broadcast(table.where(F.pmod("slot", F.lit(blocks)) == b)), "slot")
+                         .groupBy("_row").agg(*[F.sum(c).alias(c) for c in numbers]), "learner-met")
+            for b, p in enumerate(parts)]
 
 
 def _direction(dots: np.ndarray, held: int) -> np.ndarray:
@@ -230,16 +241,18 @@ def fit(rows: DataFrame, loss: str = "squared", steps: int = 10, folds: list[int
             wide = moved.select("slot", F.col("d").alias("d0"))
         else:
             wide = moved.groupBy("slot").agg(*[F.sum(F.when(F.col("model") == j, F.col("d"))).alias(f"d{j}") for j in range(k)])
+        written = []
         if parts:
             wide = write_shared(wide, "learner-step")
-            met = _meet_dealt(parts, wide)
+            written = [wide, *_meet_dealt(parts, wide)]
+            met = functools.reduce(DataFrame.unionByName, written[1:])
         else:
             met = _meet(held_rows.select("_row", F.explode("slots").alias("slot")), wide, k, n_slots)
         change = (met.groupBy("_row").agg(F.array(*[F.sum(f"d{j}") for j in range(k)]).alias("change")))
         state = write_shared(state.drop("change").join(change, "_row", "left")
                              .withColumn("change", F.coalesce("change", F.array_repeat(F.lit(0.0), k))), "learner-rows")
-        if parts:
-            drop_shared(wide)
+        for w in written:
+            drop_shared(w)
         if held_state is not None:
             drop_shared(held_state)
         held_state = state

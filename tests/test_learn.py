@@ -308,3 +308,26 @@ def test_a_pass_in_blocks_reads_every_slot_once(spark, monkeypatch):
     assert got == pytest.approx(want)
     pairs = rows.select(F.explode("slots")).count()
     assert len(seen) >= 3 and all(len(x) == 6 and sum(x) == pairs for x in seen)
+
+
+def test_blocks_are_broadcast_one_at_a_time(spark, monkeypatch):
+    """No plan of a fit, or of a score, holds two blocks of weights."""
+    rows = learn._slotted(planted(spark, 100), 20)
+    weights = linear.fit(rows, "squared", 2)[0]
+    model = linear.Model("squared", 20, weights.select("slot", "weight"))
+    want = {r._row: r.score for r in model.score(rows, F.col("slots")).collect()}
+    held, write = [], linear.write_shared
+
+    def spy(df, name):
+        if name in ("learner-met", "learner-rows", "learner-weights"):
+            # what the optimiser broadcasts of itself is small; asked for are the hints
+            held.append(df._jdf.queryExecution().analyzed().toString().count("strategy=broadcast"))
+        return write(df, name)
+    monkeypatch.setattr(linear, "write_shared", spy)
+    monkeypatch.setattr(linear, "BROADCAST_BYTES", 200)
+    got = {r.slot: r.weight for r in linear.fit(rows, "squared", 2)[0].collect()}
+    assert got == pytest.approx({r.slot: r.weight for r in weights.collect()})
+    scored = model.score(rows, F.col("slots"))
+    assert {r._row: r.score for r in scored.collect()} == pytest.approx(want)
+    held.append(scored._jdf.queryExecution().analyzed().toString().count("strategy=broadcast"))
+    assert max(held) == 1
