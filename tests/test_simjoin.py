@@ -107,3 +107,29 @@ def test_bitmaps_lose_no_long_pair(spark, n):
                  (3 * i + 2, base | {f"u{i}-{j}" for j in range(n // 4)})]
     df = spark.createDataFrame([(i, sorted(s)) for i, s in sets], "id long, tokens array<string>")
     assert {(r.id_a, r.id_b) for r in similarity_self_join(df, cutoff=0.8).collect()} == brute(sets, sets, 0.8, True)
+
+
+@pytest.mark.parametrize("most", [2_000_000, 0])
+def test_tokens_that_share_their_hash_lose_no_pair(spark, monkeypatch, most):
+    """Tokens stand as 64 bits in the prefixes. With five values for all of them, and with
+    frequencies broadcast or shuffled, the pairs are those of brute force."""
+    few = lambda t: F.pmod(F.xxhash64(t), F.lit(5))
+    monkeypatch.setattr(simjoin, "_bits_of", few)
+    monkeypatch.setattr(simjoin, "VOCAB_BROADCAST_ROWS", most)
+    sets = random_sets(random.Random(9), 60, 30, 8)
+    df = spark.createDataFrame([(i, sorted(s)) for i, s in sets], "id long, tokens array<string>")
+    got = {(r.id_a, r.id_b) for r in similarity_self_join(df, cutoff=0.6).collect()}
+    assert got == brute(sets, sets, 0.6, True)
+
+
+def test_little_is_shuffled_for_a_token(spark):
+    """A prefix row has no text and no word that a single set has; sets are dealt once,
+    before their tokens are rows, and no bitmap is shuffled beside every token."""
+    df = spark.createDataFrame([(i, [f"own{i}", f"group{i // 2}", "all"]) for i in range(8)], "id long, tokens array<string>")
+    sets = df.withColumn("h", F.xxhash64("tokens"))
+    pref = simjoin._prefix_rows(sets, simjoin._token_freq(sets), 0.5)
+    assert dict(pref.dtypes)["token"] == "bigint"
+    assert pref.count() == 8 and {r.pos for r in pref.collect()} == {2}      # own comes first, all last
+    plan = pref._jdf.queryExecution().executedPlan().toString()
+    ranked = plan[plan.index("Window ["):]
+    assert "bit_xor" not in ranked.split("Exchange")[0]
